@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, records: int = BATCH_RECORDS) -> None:
-    """Bound the memory of Python workers for the queries of this session."""
+    """Get this session ready for Python workers: bound the memory of a batch,
+    and send this package to executors, which need not have it installed."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
+    sc = spark.sparkContext
+    if _shipped.get("to") != sc.applicationId:
+        package = Path(__file__).parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="spark-code-")) / "pitchlake_code.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        sc.addPyFile(str(archive))
+        _shipped["to"] = sc.applicationId
+
+
+_shipped: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:

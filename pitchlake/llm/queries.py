@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchlake.llm import byte_bpe, token_counts
+from pitchlake.llm import byte_bpe, chat_format, decontaminate, license_scan, quality, token_counts, url_filter
 from pitchlake.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -23,5 +23,29 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), Path(RANKS).read_bytes(), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_byte_bpe)}
-ORACLE: dict[str, str] = {}
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.digests(chat_format.with_tricky(table(spark, sf_dir, "conversations")))
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op3_byte_bpe, op5_quality, op6_url_filter, op7_license_scan, op8_chat_format, op9_decontaminate)}
+ORACLE: dict[str, str] = {
+    "op6_url_filter": url_filter.oracle(),
+    "op7_license_scan": license_scan.oracle(),
+    "op8_chat_format": chat_format.ORACLE,
+}
