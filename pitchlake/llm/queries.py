@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchlake.llm import byte_bpe, chat_format, decontaminate, license_scan, quality, token_counts, url_filter
+from pitchlake.llm import byte_bpe, chat_format, decontaminate, license_scan, near_dup, quality, token_counts, url_filter
 from pitchlake.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -43,7 +43,11 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_byte_bpe, op5_quality, op6_url_filter, op7_license_scan, op8_chat_format, op9_decontaminate)}
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op3_byte_bpe, op5_quality, op6_url_filter, op7_license_scan, op8_chat_format, op9_decontaminate, op10_near_dup)}
 ORACLE: dict[str, str] = {
     "op6_url_filter": url_filter.oracle(),
     "op7_license_scan": license_scan.oracle(),
