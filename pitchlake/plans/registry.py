@@ -296,7 +296,7 @@ def season_batting(ab, g):
 
 
 TURN = "(wind_direction_deg - azimuth_angle) * 3.141592653589793 / 180.0"
-OUT, CROSS = r(f"-wind_speed_mph * COS({TURN})", 6), r(f"wind_speed_mph * SIN({TURN})", 6)
+OUT, CROSS = (f"{r(x, 6)} + 0.0" for x in (f"-wind_speed_mph * COS({TURN})", f"wind_speed_mph * SIN({TURN})"))
 
 
 @register(
@@ -311,7 +311,7 @@ SELECT game_pk, venue_id, game_date, closed AS is_indoor_or_closed, {OUT} AS win
 )
 def weather_features(w, g, v):
     df = weather.weather_features(w, g, v)
-    df = df.withColumns({c: rounded(F.col(c), 6) for c in df.columns if c.endswith(("_cf_mph", "_cross_mph"))})  # sine and cosine differ in the last bit
+    df = df.withColumns({c: rounded(F.col(c), 6) + 0.0 for c in df.columns if c.endswith(("_cf_mph", "_cross_mph"))})  # sine and cosine differ in the last bit
     made = ["is_indoor_or_closed", "wind_out_to_cf_mph", "wind_cross_mph", "temp_band", "is_wet", "elevation_ft"]
     return df.select("game_pk", "venue_id", "game_date", *made, *[c for c in df.columns if c.startswith("effective_")])
 
