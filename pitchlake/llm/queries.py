@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchlake.llm import byte_bpe, chat_format, decontaminate, license_scan, near_dup, quality, token_counts, url_filter, vector_dedup
+from pitchlake.llm import byte_bpe, chat_format, decontaminate, katz, license_scan, near_dup, quality, token_counts, url_filter, vector_dedup
 from pitchlake.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -19,6 +19,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), Path(PIECES).read_bytes())
 
 
+def op2_katz_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.scored(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), Path(RANKS).read_bytes(), public_tokenizers.PATTERN)
 
@@ -51,7 +55,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_byte_bpe, op4_vector_dedup, op5_quality, op6_url_filter, op7_license_scan, op8_chat_format, op9_decontaminate, op10_near_dup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_katz_score, op3_byte_bpe, op4_vector_dedup, op5_quality, op6_url_filter, op7_license_scan, op8_chat_format, op9_decontaminate, op10_near_dup)}
 ORACLE: dict[str, str] = {
     "op4_vector_dedup": vector_dedup.ORACLE,
     "op6_url_filter": url_filter.oracle(),
