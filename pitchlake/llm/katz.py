@@ -91,8 +91,7 @@ class Words:
         self.d = discounts(n)
         ends = keys == END_KEY
         self.codes = {int(k): i for i, k in enumerate(keys[~ends], 2)}
-        end = int(counts[ends][0]) if ends.any() else 0
-        self.as_word = np.r_[end, 0, counts[~ends]].astype(np.int64)
+        self.as_word = np.r_[texts, 0, counts[~ends]].astype(np.int64)
         self.as_history = np.r_[0, texts, counts[~ends]].astype(np.int64)
         self.p = discounted(self.as_word, self.d) / max(1, total)
         self.base = np.log10((self.as_word + 0.1) / (total + 0.1 * (distinct + 1)))
