@@ -165,7 +165,8 @@ def score(docs: DataFrame, learn) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     folder, name = f"{shared_folder(spark)}/katz-{uuid.uuid4().hex}", uuid.uuid4().hex
-    docs = docs.select("doc_id", "text", F.coalesce(learn, F.lit(False)).alias("train"))
+    # Whole numbers with nulls among them would become floats in pandas.
+    docs = docs.select(F.col("doc_id").cast("string").alias("doc"), "text", F.coalesce(learn, F.lit(False)).alias("train"))
     word_counts(docs.where("train")).write.parquet(f"{folder}/words")
     words = spark.read.parquet(f"{folder}/words")
     first = words.agg(
@@ -191,10 +192,9 @@ def score(docs: DataFrame, learn) -> DataFrame:
             head = two >= 0
             sums = np.bincount(at[head], w.base[two[head]], len(part))
             many = np.bincount(at[head], w.as_word[two[head]] > 0, len(part)).astype(np.int64)
-            ids = pd.Series(part["doc_id"], dtype="Int64")
             yield pd.DataFrame({
                 "bucket": (base + np.arange(len(part))) % buckets, "text": base + np.arange(len(part)), "pairs": None,
-                "doc_id": ids, "n": sizes, "known": many, "base": sums,
+                "doc": part["doc"], "n": sizes, "known": many, "base": sums,
             })
             hot = (one >= 0) & w.hot[np.maximum(one, 0)]
             where = (mixed(one) ^ np.where(hot, mixed(mixed(two).astype(np.int64) + 7), np.uint64(0))) % np.uint64(buckets)
@@ -204,13 +204,13 @@ def score(docs: DataFrame, learn) -> DataFrame:
             out = [(b, _block(*(x[order[s:e]] for x in (one, two, mark)))) for b, (s, e) in enumerate(zip(edges, edges[1:], strict=False)) if e > s]
             yield pd.DataFrame({
                 "bucket": [b for b, _ in out], "text": base, "pairs": [x for _, x in out],
-                "doc_id": pd.array([None] * len(out), "Int64"), "n": 0, "known": 0, "base": 0.0,
+                "doc": None, "n": 0, "known": 0, "base": 0.0,
             })
             base += len(part)
 
-    blocks = docs.mapInPandas(cut_up, "bucket long, text long, pairs binary, doc_id long, n long, known long, base double")
+    blocks = docs.mapInPandas(cut_up, "bucket long, text long, pairs binary, doc string, n long, known long, base double")
 
-    def counted(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def counted(key, rows):
         words = _words(name, sent)
         frames = []
 
@@ -220,7 +220,7 @@ def score(docs: DataFrame, learn) -> DataFrame:
         info = rows["pairs"].isna()
         about = rows[info]
         if len(about):
-            put("text", about["text"].to_numpy(), about["doc_id"].to_numpy(), n=about["n"].to_numpy(), known=about["known"].to_numpy(), x=about["base"].to_numpy())
+            put("text", about["text"].to_numpy(), 0, doc=about["doc"].to_numpy(), n=about["n"].to_numpy(), known=about["known"].to_numpy(), x=about["base"].to_numpy())
         got = [(*_unblock(x), t) for x, t in zip(rows.loc[~info, "pairs"], rows.loc[~info, "text"], strict=True)]
         if got:
             h, w, mark = (np.concatenate([g[i] for g in got]) for i in (0, 1, 2))
@@ -260,14 +260,14 @@ def score(docs: DataFrame, learn) -> DataFrame:
             tail = w < 0
             put("word", w[tail], text[tail], n=1, known=(~e_seen[tail]).astype(np.int64))
         out = pd.concat(frames) if frames else pd.DataFrame({"kind": []})
-        out = out.reindex(columns=["kind", "a", "b", "n", "known", "x", "y", *K, *M])
+        out = out.reindex(columns=["kind", "a", "b", "doc", "n", "known", "x", "y", *K, *M])
         asked = out["kind"].isin(["weight", "word"])
         sums = out[asked].groupby(["kind", "a", "b"], as_index=False)[["n", "known"]].sum()
         out = pd.concat([out[~asked], sums])
         whole = ["a", "b", "n", "known", *K, *M]
         return out.astype({c: "Int64" for c in whole})
 
-    shape = "kind string, a long, b long, n long, known long, x double, y double, " + ", ".join(f"{c} long" for c in [*K, *M])
+    shape = "kind string, a long, b long, doc string, n long, known long, x double, y double, " + ", ".join(f"{c} long" for c in [*K, *M])
     blocks.groupBy("bucket").applyInPandas(counted, shape).write.partitionBy("kind").parquet(f"{folder}/counts")
     kind = lambda k: spark.read.schema(shape).parquet(f"{folder}/counts").where(F.col("kind") == k)
     seen = kind("history").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in K)).first()
@@ -297,7 +297,7 @@ def score(docs: DataFrame, learn) -> DataFrame:
     )
     low = sum((F.col(c) * float(np.log10(x)) for c, x in zip(M, d, strict=True)), F.lit(0.0))
     parts = kind("part").select(F.col("a").alias("text"), (F.col("x") + low).alias("score"))
-    about = kind("text").select(F.col("a").alias("text"), F.col("b").alias("doc_id"), F.col("n").alias("n_tokens"), "known", F.col("x").alias("base"))
+    about = kind("text").select(F.col("a").alias("text"), F.col("doc").cast("long").alias("doc_id"), F.col("n").alias("n_tokens"), "known", F.col("x").alias("base"))
     every = about
     for more in (parts, asked, rares):
         every = every.unionByName(more, allowMissingColumns=True)
