@@ -5,7 +5,8 @@ blank lines) and the whole of it.  A segment and a licence template are sets of
 word bigrams of their normalised words.  Dice is twice the shared bigrams over
 the sum of both counts.  A Dice of t needs sizes within t / (2 - t) of each
 other, so a segment's number of words rules out most templates before any set is
-compared; segments that fit none are dropped before their bigrams are built.
+compared.  Before that, texts and segments without any of the few words that a
+match can't do without are dropped.
 
 All of it is built-in column functions; nothing is shuffled but the final
 grouping of matches.  Templates are constants, a few dozen.
@@ -20,6 +21,7 @@ length are read whole.
 
 from __future__ import annotations
 
+import functools
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -85,20 +87,34 @@ def _segments(text: Column) -> Column:
     return F.concat(lines, blocks, whole)
 
 
+def tell_tales(templates: dict[str, list[str]], threshold: float) -> list[str]:
+    """Words of which a text must hold one to match any template.  A Dice of t
+    takes at least t / (2 - t) of a template's bigrams, so words that touch more
+    than the rest of them can't all be missing.  Long words are taken first."""
+    chosen: set[str] = set()
+    for found in templates.values():
+        spare = len(found) - -(-len(found) * threshold // (2 - threshold))
+        for word in sorted({w for b in found for w in b.split()}, key=lambda w: (w not in chosen, -len(w), w)):
+            if sum(bool(chosen & set(b.split())) for b in found) > spare:
+                break
+            if any(word in b.split() for b in found):
+                chosen.add(word)
+    return sorted(chosen)
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license, dice, n_segments."""
     known = {name: bigrams(text) for name, text in (templates or TEMPLATES).items()}
     low = {n: -(-len(b) * threshold // (2 - threshold)) for n, b in known.items()}
     high = {n: len(b) * (2 - threshold) // threshold for n, b in known.items()}
     least, most = min(low.values()), max(high.values())
-    segments = docs.select("doc_id", F.explode(_segments(F.coalesce("text", F.lit("")))).alias("segment"))
+    signs = tell_tales(known, threshold)
+    told = lambda c: functools.reduce(lambda p, q: p | q, (F.contains(F.col(c), F.lit(w)) for w in signs))
+    hopeful = docs.select("doc_id", F.lower("text").alias("text")).where(told("text"))
+    segments = hopeful.select("doc_id", F.explode(_segments(F.col("text"))).alias("segment")).where(told("segment"))
     # A set of n bigrams needs n + 1 words, which need 2 n + 1 characters.
     short = segments.where(F.length("segment") >= 2 * least + 1)
-    flat = short.select("doc_id", F.trim(F.regexp_replace(F.lower("segment"), "[^a-z0-9]+", " ")).alias("s"))
-    # A segment with a repeated bigram has more words than bigrams, so only the lower bound is safe here.
-    some = sorted({b for bs in known.values() for b in bs})
-    first = "|".join(sorted({re.escape(b) for b in some}))
-    near = flat.where(F.regexp_like("s", F.lit(rf"\b(?:{first})\b")))
+    near = short.select("doc_id", F.trim(F.regexp_replace("segment", "[^a-z0-9]+", " ")).alias("s"))
     split = near.withColumn("w", F.split("s", " ")).where(F.size("w") > least)
     pairs = F.array_distinct(
         F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat(a, F.lit(" "), b))
