@@ -224,7 +224,7 @@ def score(docs: DataFrame, learn) -> DataFrame:
         got = [(*_unblock(x), t) for x, t in zip(rows.loc[~info, "pairs"], rows.loc[~info, "text"], strict=True)]
         if got:
             h, w, mark = (np.concatenate([g[i] for g in got]) for i in (0, 1, 2))
-            text = np.concatenate([(g[2] >> 1) + g[3] for g in got])
+            text = np.concatenate([(g[2] >> 1).astype(np.int64) + int(g[3]) for g in got])
             order = np.lexsort((w, h))
             h, w, text, train = h[order], w[order], text[order], (mark[order] & 1).astype(np.int64)
             start = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (w[1:] != w[:-1])])
