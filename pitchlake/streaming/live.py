@@ -87,7 +87,8 @@ def new_pitches(stream: DataFrame) -> DataFrame:
 
 def state_changes(stream: DataFrame) -> DataFrame:
     """game_pk, old_state, new_state for each change; the first sighting of a game
-    is none.  ``stream``: game_pk, status, snapshot_ts."""
+    is none.  A final game is forgotten, so the state is as large as the games that
+    are not over.  ``stream``: game_pk, status, snapshot_ts."""
 
     def change(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         old = state.get[0] if state.exists else None
@@ -96,21 +97,15 @@ def state_changes(stream: DataFrame) -> DataFrame:
             if old is not None and status != old:
                 out.append((key[0], old, status))
             old = status
-        if old in DONE:
-            # Kept for a while, so that a late snapshot is no first sighting.
-            state.setTimeoutDuration(24 * 3600 * 1000)
-        state.update((old,))
-        yield pd.DataFrame(out, columns=["game_pk", "old_state", "new_state"])
-
-    def step(key, parts, state):
-        if state.hasTimedOut:
+        if old != "Final":
+            state.update((old,))
+        elif state.exists:
             state.remove()
-            return iter(())
-        return change(key, parts, state)
+        yield pd.DataFrame(out, columns=["game_pk", "old_state", "new_state"])
 
     known = stream.select("game_pk", "status", "snapshot_ts").where("status IS NOT NULL")
     return known.groupBy("game_pk").applyInPandasWithState(
-        step, "game_pk long, old_state string, new_state string", "status string", "append", GroupStateTimeout.ProcessingTimeTimeout
+        change, "game_pk long, old_state string, new_state string", "status string", "append", GroupStateTimeout.NoTimeout
     )
 
 
