@@ -334,7 +334,7 @@ def link(vectors: DataFrame, least: float = COSINE) -> DataFrame:
 #: Brute force in DuckDB SQL.
 ORACLE = f"""
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND LEN(LIST_FILTER(embedding, x -> x IS NULL OR ISNAN(x) OR ISINF(x))) = 0 AND LEN(LIST_FILTER(embedding, x -> x <> 0)) > 0),
+  WHERE embedding IS NOT NULL AND LEN(LIST_FILTER(embedding, LAMBDA x: x IS NULL OR ISNAN(x) OR ISINF(x))) = 0 AND LEN(LIST_FILTER(embedding, LAMBDA x: x <> 0)) > 0),
 u AS (SELECT vec_id, e, SQRT(LIST_INNER_PRODUCT(e, e)) AS n FROM v),
 l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM u a, u b WHERE a.vec_id <> b.vec_id AND LIST_INNER_PRODUCT(a.e, b.e) / (a.n * b.n) >= {COSINE}),
 r(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
