@@ -44,7 +44,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     near = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if large:
         near = near.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # Cut off from the join, so that both its sides are shuffled and a hub's rows can be split.
+    least = cut(near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     joined = near.join(least, "u")
     if large:
         out = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
