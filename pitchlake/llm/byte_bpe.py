@@ -15,7 +15,6 @@ empty result.  Texts are encoded whole, in time linear in their length.
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterator
 from struct import pack
 
@@ -60,8 +59,8 @@ class Bpe:
         for token in self.made:
             self.found.add_word(self.words[token].decode("latin-1"), (len(self.words[token]), token))
         self.found.make_automaton()
-        self.pieces = Memo(self._piece, 150_000)
-        self.chunks = Memo(self._chunk, 400_000)
+        self.pieces = Memo(self._piece, 50_000)
+        self.chunks = Memo(self._chunk, 250_000)
 
     def _halves(self, word: bytes, rank: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes the token."""
@@ -108,7 +107,7 @@ class Bpe:
                 key = last[at - length] << 20 | token
                 fits = beside.get(key)
                 if fits is None:
-                    if len(beside) >= 500_000:
+                    if len(beside) >= 200_000:
                         beside.clear()
                     fits = beside[key] = self.apart(last[at - length], token)
                 if not fits:
@@ -176,8 +175,12 @@ class Bpe:
         return b"".join([self._split(x) for x in [*out, joined]])
 
     def decode(self, ids: bytes) -> bytes:
-        words = self.words
-        return b"".join([words[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        return joined(self.words, ids)
+
+
+def joined(words: dict[int, bytes], ids: bytes) -> bytes:
+    """The bytes that the ids stand for."""
+    return b"".join([words[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
 _ready: dict[tuple[int, str], Bpe] = {}
@@ -206,23 +209,23 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text_col: str = "text",
     return docs.withColumn(out_col, ids(F.col(text_col)))
 
 
-def decode(encoded: DataFrame, ranks: bytes, pattern: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
+def decode(encoded: DataFrame, ranks: bytes, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """Adds ``out_col``: the bytes that the ids stand for (null ids: empty)."""
     small_batches(encoded.sparkSession)
     sent = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     @F.pandas_udf("binary")
     def texts(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = bpe(sent.value, pattern)
+        words = {rank: word for word, rank in read_ranks(sent.value).items()}
         for ids in parts:
-            yield pd.Series([coder.decode(x or b"") for x in ids], dtype=object)
+            yield pd.Series([joined(words, x or b"") for x in ids], dtype=object)
 
     return encoded.withColumn(out_col, texts(F.col(ids_col)))
 
 
 def digests(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encoded, then decoded."""
-    both = decode(encode(docs.select(id_col, text_col), ranks, pattern, text_col), ranks, pattern)
+    both = decode(encode(docs.select(id_col, text_col), ranks, pattern, text_col), ranks)
     return both.select(
         id_col,
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -230,6 +233,3 @@ def digests(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
-
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

@@ -63,7 +63,7 @@ class Memo(dict):
     """A dict that fills itself by ``make`` and is emptied when it grows past
     ``most`` entries, so a worker's memory stays bounded."""
 
-    def __init__(self, make, most: int = 300_000):
+    def __init__(self, make, most: int = 150_000):
         super().__init__()
         self.make, self.most = make, most
 
