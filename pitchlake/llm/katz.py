@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.llm.common import Memo, crc_mod, shared_folder, small_batches
 
-LOW, REST, HEADS, HOT, PAIRS = 5, 0.01, 1 << 19, 2048, 2_000_000
+LOW, REST, HEADS, HOT, PAIRS = 5, 0.01, 1 << 18, 2048, 2_000_000
 TOP = np.int64(-(1 << 63))
 #: Codes of the end of a text and of its start; words of the head follow.
 END, START = 0, 1
@@ -159,6 +159,19 @@ def word_counts(train: DataFrame) -> DataFrame:
     return counts.groupBy("key").agg(F.sum("n").alias("c"))
 
 
+def frequent(words: DataFrame, most: int) -> DataFrame:
+    """The words above a count that at most ``most`` words reach.  The count comes
+    from a few hundred steps of a histogram, so that no task hands on more."""
+    step = F.floor(F.log2("c") * 16)
+    left, least = most, None
+    for r in words.groupBy(step.alias("step")).agg(F.count("c").alias("n"), F.min("c").alias("c")).orderBy(F.desc("step")).collect():
+        left -= r["n"]
+        if left < 0:
+            break
+        least = r["c"]
+    return words.where(F.col("c") >= least) if least is not None else words.limit(0)
+
+
 def score(docs: DataFrame, learn) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score.  learn: a
     condition on doc_id that picks the training rows."""
@@ -174,10 +187,10 @@ def score(docs: DataFrame, learn) -> DataFrame:
         *(F.count_if(F.col("c") == r) for r in range(1, LOW + 2)),
     ).first()
     total, distinct, texts, *n = first
-    heads = words.orderBy(F.desc("c"), "key").limit(HEADS).toPandas()
-    known = Words(heads["key"].to_numpy(np.int64), heads["c"].to_numpy(np.int64), total, distinct, texts, n)
-    d_word = known.d
+    d_word = discounts(n)
+    heads = frequent(words, HEADS).toPandas()
     sent = spark.sparkContext.broadcast((heads["key"].to_numpy(np.int64), heads["c"].to_numpy(np.int64), total, distinct, texts, n))
+    del heads
     buckets = max(8, -(-int(total * 1.2) // PAIRS))
 
     def cut_up(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
