@@ -5,12 +5,15 @@ occurrence, so repeated runs differ.  A sketch is the ``TUPLE`` labelled runs
 that are least under one random order, kept in the order of the text; equal
 sketches therefore speak for a small edit distance and not only for shared
 words.  Texts that agree in one of ``SKETCHES`` sketches are candidates.  Inside
-a bucket a text is held against the bucket's first text and against its
-neighbours in the order of the next sketch, so candidates grow with the rows and
-never with the square of a bucket; two similar texts share many buckets, each in
-another order.  A candidate pair is accepted if a banded alignment of its words
-needs at most (1 - similarity) edits for each word of the longer text.
-Components of accepted pairs are the classes.
+a bucket a text is first held against the bucket's first text and against its
+neighbours in the order of the next sketch, which unites most copies in pairs
+linear in the rows.  Buckets that still hold several classes go on: their text of
+most accepted pairs is held against the others, and in the end all pairs of
+different classes are, in blocks, so that every two texts of a bucket are in one
+class or were compared.  There, counts of words (128 bins of them) bound the edits from
+below before a pair leaves its block.  A candidate pair is accepted if a banded
+alignment of its words needs at most (1 - similarity) edits for each word of the
+longer text.  Components of accepted pairs are the classes.
 
 Copies (equal words, whatever the white space and case) are one node throughout.
 A large bucket is dealt over several tasks by a salt.
@@ -39,6 +42,10 @@ from pitchlake.llm.components import components
 RUN, SKETCHES, TUPLE, SIMILARITY = 5, 32, 3, 0.8
 #: Rows of a bucket that one task orders at once.
 BLOCK = 500
+#: Bins of a text's counts of words.
+BINS = 128
+#: Texts to align that may be sent to every executor (checked).
+FEW = 100_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,6 +83,13 @@ class Sketcher:
             h = h + label * np.uint64(0xD6E8FEB86659FD93)
         return scrambled(h)
 
+    def bag(self, words: list[str]) -> bytes:
+        """Counts of words in bins, 255 at most.  One edit changes the sum of
+        the differences of two bags by two at most."""
+        ids = np.fromiter(map(self.word.__getitem__, words), np.uint64, len(words))
+        counts = np.bincount((scrambled(ids) % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+        return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
     def sketch(self, words: list[str]) -> np.ndarray:
         runs = self.runs(words)
         size = min(self.size, len(runs))
@@ -186,8 +200,8 @@ def aligned(p: np.ndarray, q: np.ndarray, least: float = SIMILARITY) -> bool:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, key (of the words), n (words), sketch; texts without words have a
-    null key."""
+    """doc_id, key (of the words), n (words), bag, sketch; texts without words
+    have a null key."""
     small_batches(docs.sparkSession)
 
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,13 +211,14 @@ def sketches(docs: DataFrame) -> DataFrame:
             for doc_id, text in zip(part["id"], part["text"], strict=True):
                 words = words_of(text)
                 sketch = maker.sketch(words).view(np.int64) if words else None
-                out.append((doc_id, key_of(words) if words else None, len(words), sketch))
-            yield pd.DataFrame(out, columns=["id", "key", "n", "sketch"])
+                bag = maker.bag(words) if words else None
+                out.append((doc_id, key_of(words) if words else None, len(words), bag, sketch))
+            yield pd.DataFrame(out, columns=["id", "key", "n", "bag", "sketch"])
 
     # Whole numbers with nulls among them would become floats in pandas.
     ids = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
-    made = ids.mapInPandas(rows, "id string, key binary, n long, sketch array<long>")
-    return made.select(F.col("id").cast("long").alias("doc_id"), "key", "n", "sketch")
+    made = ids.mapInPandas(rows, "id string, key binary, n long, bag binary, sketch array<long>")
+    return made.select(F.col("id").cast("long").alias("doc_id"), "key", "n", "bag", "sketch")
 
 
 def candidates(nodes: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -228,10 +243,78 @@ def candidates(nodes: DataFrame, least: float = SIMILARITY) -> DataFrame:
     )
 
 
+def unsettled(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """bucket, rows (of the bucket), node, root, n, bag of the buckets that hold
+    several classes."""
+    known = nodes.select("node", "n", "bag", "sketch").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = known.select("node", "root", F.explode("sketch").alias("bucket"))
+    several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("p"), F.max("root").alias("q")).where("p < q")
+    inside = rows.join(cut(several.select("bucket", "rows")), "bucket")
+    return cut(inside.join(known.select("node", "n", "bag"), "node"))
+
+
+def to_hubs(left: DataFrame, found: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Distinct pairs of a bucket's text of most accepted pairs (``found``) and
+    its texts of other classes."""
+    degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    hub = left.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node", "root", "n")).alias("hub"))
+    fits = F.least("n", "hub.n") >= F.greatest("n", "hub.n") * least
+    met = left.join(hub, "bucket").where(F.col("root") != F.col("hub.root")).where(fits)
+    return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+
+
+def between(left: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of all texts of a bucket and of different
+    classes, but for those whose lengths or bags need too many edits."""
+    small_batches(left.sparkSession)
+    blocks = F.ceil(F.col("rows") / BLOCK).cast("long")
+    dealt = left.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    both = other.select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root", "n", "bag"
+    )
+
+    def near(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        _, i, j = key
+        node, root, n, block = (rows[c].to_numpy() for c in ("node", "root", "n", "block"))
+        bag = np.frombuffer(b"".join(rows["bag"]), np.uint8).reshape(len(rows), BINS).astype(np.int16)
+        out = []
+        here = np.flatnonzero(block == i)
+        there = np.flatnonzero(block == j)
+        for x in here.tolist():
+            y = there[(root[there] != root[x]) & ((node[there] > node[x]) | (i != j))]
+            most = ((1 - least) * np.maximum(n[y], n[x]) + 1e-9).astype(np.int64)
+            y = y[(np.abs(n[y] - n[x]) <= most) & (np.abs(bag[y] - bag[x]).sum(axis=1) <= 2 * most)]
+            out.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], axis=1))
+        return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 2), np.int64), columns=["a", "b"])
+
+    return both.groupBy("bucket", "i", "j").applyInPandas(near, "a long, b long").distinct()
+
+
+def united(nodes: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(node, root) of nodes in classes of several."""
+    tried = cut(candidates(nodes, least))
+    found = cut(accepted(tried, nodes, docs, least))
+    roots = cut(components(found))
+    for last in (False, True):
+        left = unsettled(nodes, roots)
+        more = cut((between(left, least) if last else to_hubs(left, found, least)).join(tried, ["a", "b"], "left_anti"))
+        if more.isEmpty():
+            continue
+        new = cut(accepted(more, nodes, docs, least))
+        tried = tried.unionByName(more)
+        if not new.isEmpty():
+            found = found.unionByName(new)
+            roots = cut(components(found))
+    return roots
+
+
 def accepted(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The pairs whose words align.  nodes: node, doc_id, key."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    where = nodes.select("node", F.col("doc_id").alias("id"), "key").join(wanted, "node")
+    where = cut(nodes.select("node", F.col("doc_id").alias("id"), "key").join(wanted, "node"))
+    if where.count() <= FEW:
+        where = F.broadcast(where)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     texts = cut(texts.join(where, texts["id"].eqNullSafe(where["id"])).select("node", "key", "text"))
     side = lambda c: texts.select(F.col("node").alias(c), F.struct("key", "text").alias(f"of_{c}"))
@@ -269,11 +352,10 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     docs = docs.select("doc_id", "text")
     made = cut(sketches(docs))
     copies = made.where("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bag").alias("bag"), F.first("sketch").alias("sketch")
     )
     nodes = cut(copies.withColumn("node", F.monotonically_increasing_id()))
-    pairs = cut(candidates(nodes, least))
-    roots = components(accepted(pairs, nodes, docs, least))
+    roots = united(nodes, docs, least)
     known = nodes.select("key", "doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = cut(known.select("key", "doc_id", "root"))
     least_id = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))

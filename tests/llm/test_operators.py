@@ -317,6 +317,27 @@ def test_near_duplicates(spark, docs):
     assert near_dup.classes(docs.limit(0)).count() == 0
 
 
+def test_a_family_of_edits_stays_together(spark):
+    """All pairs of a bucket count, however far the texts are from its first."""
+    r = random.Random(7)
+    base = [f"b{r.randrange(5000)}" for _ in range(400)]
+    texts = [[f"e{r.randrange(10**6)}" if k and r.random() < 0.13 else w for w in base] for k in range(90)]
+    r.shuffle(texts)
+    maker, root = near_dup.Sketcher(), list(range(len(texts)))
+    sketch = [set(maker.sketch(t).tolist()) for t in texts]
+
+    def top(i):
+        return i if root[i] == i else top(root[i])
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if sketch[i] & sketch[j] and near_dup.similar(texts[i], texts[j]):
+                p, q = sorted((top(i), top(j)))
+                root[q] = p
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {x["doc_id"]: x["class_id"] for x in near_dup.classes(df).collect()} == {i: top(i) for i in range(len(texts))}
+
+
 # The pipeline
 
 
