@@ -22,7 +22,9 @@ length are read whole.
 from __future__ import annotations
 
 import functools
+import math
 import re
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,13 +89,20 @@ def _segments(text: Column) -> Column:
     return F.concat(lines, blocks, whole)
 
 
+def bounds(n: int, threshold: float) -> tuple[int, int]:
+    """Least and most bigrams of a segment that can reach the threshold against
+    n bigrams.  Exact: floats come out one too tight for many n."""
+    t = Fraction(str(threshold))
+    return math.ceil(n * t / (2 - t)), math.floor(n * (2 - t) / t)
+
+
 def tell_tales(templates: dict[str, list[str]], threshold: float) -> list[str]:
     """Words of which a text must hold one to match any template.  A Dice of t
     takes at least t / (2 - t) of a template's bigrams, so words that touch more
     than the rest of them can't all be missing.  Long words are taken first."""
     chosen: set[str] = set()
     for found in templates.values():
-        spare = len(found) - -(-len(found) * threshold // (2 - threshold))
+        spare = len(found) - bounds(len(found), threshold)[0]
         for word in sorted({w for b in found for w in b.split()}, key=lambda w: (w not in chosen, -len(w), w)):
             if sum(bool(chosen & set(b.split())) for b in found) > spare:
                 break
@@ -105,8 +114,7 @@ def tell_tales(templates: dict[str, list[str]], threshold: float) -> list[str]:
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license, dice, n_segments."""
     known = {name: bigrams(text) for name, text in (templates or TEMPLATES).items()}
-    low = {n: -(-len(b) * threshold // (2 - threshold)) for n, b in known.items()}
-    high = {n: len(b) * (2 - threshold) // threshold for n, b in known.items()}
+    low, high = ({n: bounds(len(b), threshold)[i] for n, b in known.items()} for i in (0, 1))
     least, most = min(low.values()), max(high.values())
     signs = tell_tales(known, threshold)
     told = lambda c: functools.reduce(lambda p, q: p | q, (F.contains(F.col(c), F.lit(w)) for w in signs))

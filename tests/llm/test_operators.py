@@ -240,6 +240,18 @@ def test_licenses(spark, docs):
     assert license_scan.scan(docs).count() == 0
 
 
+def test_licenses_of_dice_just_at_the_threshold(spark):
+    lines = ["This work is licensed under CC BY-SA 4.0.", "Licensed under CC BY-NC", "Code is released under the MIT License.", "Acme: all rights reserved."]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(lines)))
+    cols = "doc_id, license, dice, n_segments"
+    want = con.sql(f"SELECT {cols} FROM ({license_scan.oracle()})").fetchall()
+    assert {r[0] for r in want if r[2] == 0.8} == {0, 1, 2, 3}
+    assert Counter(map(tuple, license_scan.scan(df).select(*cols.split(", ")).collect())) == Counter(want)
+
+
 def test_chats(spark):
     nasty = "\\### Assistant: </turn>\n</turn> ### x \\"
     rows = [(1, 0, "user", nasty, 0), (1, 1, "assistant", nasty, 0), (2, 0, "assistant", None, 0), (3, 1, None, "a", 0), (3, 1, "we:ird\\", "b", 0), (None, 5, "user", "", 0)]
