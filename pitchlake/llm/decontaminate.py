@@ -10,14 +10,14 @@ item's tokens.
 
 A benchmark of at most ``MOST_CHARS`` characters (checked) goes to all executors
 and documents are read once, without a shuffle.  A larger one is joined on seed
-hashes instead; both ways give the same rows.
+hashes instead, by a number given to each row of either table and written once;
+both ways give the same rows.
 
 Defined results: null and empty texts and items match nothing; an item of fewer
 than five tokens has no seed and is never reported; equal items are reported
 each; ties between equally long matches go to the first place in the item, then
-in the document; null ids and repeated rows are reported row by row where the
-benchmark is small, and as one document where it is joined; extra columns are
-ignored; empty tables give an empty result.  Documents are read whole.
+in the document; null ids and repeated rows are reported and removed row by row;
+extra columns are ignored; empty tables give an empty result.  Documents are read whole.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import Memo, small_batches
+from pitchlake.llm.common import Memo, cut, small_batches
 
 LEAST, THRESHOLD = 5, 0.8
 #: Characters of benchmark text that may be sent to every executor.
@@ -186,7 +186,10 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     docs, items = docs.select("doc_id", "text"), items.select("item_id", "text")
     if is_small(items, most):
         return docs.select("doc_id", F.explode(hits(items, F.col("text"), threshold)).alias("h")).select("doc_id", "h.*")
-    return _joined(docs, items, threshold)
+    docs, items = numbered(docs), numbered(items)
+    found = _joined(docs, items, threshold).withColumnRenamed("item", "of")
+    names = items.select(F.col("row").alias("of"), F.col("whole.item_id").alias("item_id"))
+    return docs.select("row", F.col("whole.doc_id").alias("doc_id")).join(found, "row").join(names, "of").select("doc_id", *NAMES)
 
 
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, most: int = MOST_CHARS) -> DataFrame:
@@ -194,13 +197,23 @@ def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, most:
     if is_small(items, most):
         both = docs.select(F.struct("*").alias("doc"), hits(items, F.col("text"), threshold).alias("hits"))
         return both.where(F.size("hits") == 0).select("doc.*")
-    return docs.join(contaminated(docs, items, threshold, most).select("doc_id").distinct(), "doc_id", "left_anti")
+    docs = numbered(docs)
+    found = _joined(docs, numbered(items.select("item_id", "text")), threshold)
+    return docs.join(found.select("row").distinct(), "row", "left_anti").select("whole.*")
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """row, whole: the rows with a number each, written so that it stays."""
+    return cut(df.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("whole")))
 
 
 def _joined(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
     """The way for a benchmark of any size: join on seed hashes, then tile the
     pairs that share enough seeds.  With tiles of five tokens or more, covering
-    a share t of n tokens takes at least t n / 5 seeds."""
+    a share t of n tokens takes at least t n / 5 seeds.  Both tables numbered;
+    row, item (its row), coverage, n_tiles, longest."""
+    docs = docs.select("row", F.col("whole.text").alias("text"))
+    items = items.select(F.col("row").alias("item"), F.col("whole.text").alias("text"))
     small_batches(docs.sparkSession)
     ids = Memo(lambda w: xxhash.xxh3_64_intdigest(w))
 
@@ -218,19 +231,19 @@ def _joined(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
 
         return seeds
 
-    left = docs.mapInPandas(seeds_of("doc_id"), "doc_id long, seed long, n long").select("doc_id", "seed").distinct()
-    right = items.mapInPandas(seeds_of("item_id"), "item_id long, seed long, n long")
-    pairs = left.join(right, "seed").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
+    left = docs.mapInPandas(seeds_of("row"), "row long, seed long, n long").select("row", "seed").distinct()
+    right = items.mapInPandas(seeds_of("item"), "item long, seed long, n long")
+    pairs = left.join(right, "seed").groupBy("row", "item").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
     # A seed that stands at several places of the item counts once here, so the bound is on distinct tiles: one at least.
-    pairs = pairs.where("shared >= 1").select("doc_id", "item_id")
-    texts = pairs.join(docs.withColumnRenamed("text", "doc"), "doc_id").join(items.withColumnRenamed("text", "item"), "item_id")
+    pairs = pairs.where("shared >= 1").select("row", "item")
+    texts = pairs.join(docs.withColumnRenamed("text", "doc"), "row").join(items.withColumnRenamed("text", "passage"), "item")
 
     def tile(parts):
         for part in parts:
             out = []
-            for doc_id, item_id, doc, item in zip(part["doc_id"], part["item_id"], part["doc"], part["item"], strict=True):
-                for _, *hit in Index([(item_id, item)], threshold).hits(doc):
-                    out.append((doc_id, item_id, *hit))
-            yield pd.DataFrame(out, columns=["doc_id", *NAMES])
+            for row, item, doc, passage in zip(part["row"], part["item"], part["doc"], part["passage"], strict=True):
+                for _, *hit in Index([(item, passage)], threshold).hits(doc):
+                    out.append((row, item, *hit))
+            yield pd.DataFrame(out, columns=["row", "item", *NAMES[1:]])
 
-    return texts.mapInPandas(tile, f"doc_id long, {HIT}")
+    return texts.mapInPandas(tile, "row long, item long, " + HIT.split(", ", 1)[1])

@@ -349,6 +349,11 @@ def accepted(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float =
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (least doc_id of its class), kept (doc_id = class_id)."""
+    return _classes(docs, least).select("doc_id", "class_id", "kept")
+
+
+def _classes(docs: DataFrame, least: float) -> DataFrame:
+    """The same with key and root, the class's node."""
     docs = docs.select("doc_id", "text")
     made = cut(sketches(docs))
     copies = made.where("key is not null").groupBy("key").agg(
@@ -359,16 +364,32 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     known = nodes.select("key", "doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = cut(known.select("key", "doc_id", "root"))
     least_id = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    by_key = cut(named.join(least_id, "root").select("key", "class_id"))
+    by_key = cut(named.join(least_id, "root").select("key", "root", "class_id"))
     ids = made.select("doc_id", "key")
     return ids.join(by_key, "key", "left").select(
-        "doc_id",
+        "doc_id", "key", "root",
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
 def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One document of each class, all columns kept.  Repeated rows of the kept
-    doc_id are one document and stay together."""
-    gone = classes(docs, least).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    doc_id are one document and stay together; another text of a dropped doc_id
+    is judged by its own class.  Of a class without any doc_id the least text
+    key stays."""
+    small_batches(docs.sparkSession)
+    found = cut(_classes(docs, least))
+    named = found.where("key is not null")
+    nameless = named.where("class_id is null").groupBy("root").agg(F.min("key").alias("key"))
+    gone = named.where("not kept").select("doc_id", "key").unionByName(
+        named.where("class_id is null").join(nameless, ["root", "key"], "left_anti").select("doc_id", "key")
+    )
+    gone = gone.select(F.col("doc_id").alias("gone"), F.col("key").alias("gone_key")).distinct()
+
+    @F.pandas_udf("binary")
+    def keys(texts: pd.Series) -> pd.Series:
+        return pd.Series([key_of(w) if (w := words_of(t)) else None for t in texts], dtype=object)
+
+    rows = docs.select(F.struct("*").alias("whole"), keys("text").alias("key"))
+    same = F.col("whole.doc_id").eqNullSafe(F.col("gone")) & (F.col("key") == F.col("gone_key"))
+    return rows.join(gone, same, "left_anti").select("whole.*")

@@ -284,6 +284,17 @@ def test_reordered_passages(spark, docs):
     assert decontaminate.contaminated(d, items.limit(0)).count() == 0
 
 
+def test_null_and_repeated_ids(spark):
+    """Both ways judge row by row."""
+    item = " ".join(f"w{i}" for i in range(30))
+    d = spark.createDataFrame([(None, item), (None, "fine"), (1, item), (1, "fine too"), (1, item)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, item), (2, item), (2, item)], "item_id long, text string")
+    got = [Counter(map(tuple, decontaminate.contaminated(d, items, most=m).collect())) for m in (decontaminate.MOST_CHARS, 0)]
+    assert got[0] == got[1] and sum(got[0].values()) == 9
+    for m in (decontaminate.MOST_CHARS, 0):
+        assert Counter(map(tuple, decontaminate.clean(d, items, most=m).collect())) == Counter([(None, "fine"), (1, "fine too")])
+
+
 # 10. Near duplicates
 
 
@@ -350,6 +361,14 @@ def test_a_family_of_edits_stays_together(spark):
     assert {x["doc_id"]: x["class_id"] for x in near_dup.classes(df).collect()} == {i: top(i) for i in range(len(texts))}
 
 
+def test_one_of_each_with_null_and_repeated_ids(spark):
+    text = lambda n: " ".join(f"{n}w{i}" for i in range(40))
+    rows = [(1, text("a")), (2, text("a")), (2, text("b")), (None, text("a")), (None, text("c")), (None, text("c") + " end"), (None, None)]
+    got = Counter(map(tuple, near_dup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    ends = [Counter([(1, text("a")), (2, text("b")), (None, c), (None, None)]) for c in (text("c"), text("c") + " end")]
+    assert got in ends
+
+
 # The pipeline
 
 
