@@ -9,12 +9,15 @@ an edit keeps the table before it and meets the old one again shortly after.
 Defined results: a null text counts as empty and has 0 tokens; special tokens
 are never made, their strings are ordinary text; null ids, ties and repeated
 rows pass through row by row; extra columns are ignored; an empty table gives an
-empty result.  Texts are encoded whole, in time linear in their length.
+empty result.  Texts are encoded whole, in time linear in their length.  Texts
+are cut at single spaces only under a pattern that is known to end every match
+there (``SPACED``); under any other pattern they are matched whole.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from struct import pack
 
@@ -31,6 +34,11 @@ from pitchlake.llm.common import Memo, small_batches
 SPACE = r"\t-\r \x85\xa0  -     　"
 
 
+#: Patterns under which, between two visible characters, every match
+#: ends before a single space.
+SPACED = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",)
+
+
 def read_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, content.splitlines())}
 
@@ -48,7 +56,8 @@ class Bpe:
         self.longest = max(map(len, ranks))
         self.halves: dict[int, tuple[int, int]] = {}
         self.merged: dict[tuple[int, int], int] = {}
-        self.beside: dict[int, bool] = {}
+        self.beside = Memo(lambda key: self.apart(key >> 20, key & 0xFFFFF), 200_000)
+        self.spaced = pattern in SPACED
         for word, rank in sorted(ranks.items(), key=lambda x: x[1]):
             if len(word) > 1 and (pair := self._halves(word, rank)):
                 self.halves[rank], self.merged[pair] = pair, rank
@@ -59,6 +68,9 @@ class Bpe:
         for token in self.made:
             self.found.add_word(self.words[token].decode("latin-1"), (len(self.words[token]), token))
         self.found.make_automaton()
+        self.length = [len(self.words.get(token, b"")) for token in range(max(self.words) + 1)]
+        self.spelt = np.empty(len(self.length), object)
+        self.spelt[:] = [self.words.get(token) for token in range(len(self.length))]
         self.pieces = Memo(self._piece, 50_000)
         self.chunks = Memo(self._chunk, 250_000)
 
@@ -96,32 +108,25 @@ class Bpe:
         """Last tokens of all prefixes; ``last`` holds those of a known start,
         which is extended to ``upto`` bytes."""
         last = [] if last is None else last
-        known, upto = len(last), len(word) if upto is None else upto
-        start = max(0, known - self.longest)
-        beside = self.beside
+        end, upto, beside = len(last), len(word) if upto is None else upto, self.beside
+        start = max(0, end - self.longest)
         for at, (length, token) in self.found.iter(word[start:upto].decode("latin-1")):
             at += start
-            if len(last) > at or at < known or length > at + 1:
-                continue  # the one token is found, or the match begins before the window
-            if length <= at:
-                key = last[at - length] << 20 | token
-                fits = beside.get(key)
-                if fits is None:
-                    if len(beside) >= 200_000:
-                        beside.clear()
-                    fits = beside[key] = self.apart(last[at - length], token)
-                if not fits:
-                    continue
-            last.append(token)
-        if len(last) != upto:
-            raise ValueError(f"no token for byte {word[len(last)]}: the vocabulary lacks single bytes")
+            if at < end:
+                continue  # the one token that ends here is found
+            before = at - length
+            if before < 0 or beside[last[before] << 20 | token]:
+                last.append(token)
+                end += 1
+        if end != upto:
+            raise ValueError(f"no token for byte {word[end]}: the vocabulary lacks single bytes")
         return last
 
     def tokens(self, last: list[int]) -> list[int]:
         found, end = [], len(last)
         while end:
-            found.append(last[end - 1])
-            end -= len(self.words[found[-1]])
+            found.append(token := last[end - 1])
+            end -= self.length[token]
         return found[::-1]
 
     def edited(self, old: bytes, last: list[int], start: int, end: int, new: bytes) -> tuple[bytes, list[int]]:
@@ -159,6 +164,8 @@ class Bpe:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
+        if not self.spaced:
+            return self._split(text)
         first, *rest = text.split(" ")
         if first and not first[-1].isspace():
             try:
@@ -175,12 +182,8 @@ class Bpe:
         return b"".join([self._split(x) for x in [*out, joined]])
 
     def decode(self, ids: bytes) -> bytes:
-        return joined(self.words, ids)
-
-
-def joined(words: dict[int, bytes], ids: bytes) -> bytes:
-    """The bytes that the ids stand for."""
-    return b"".join([words[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        """The bytes that the ids stand for."""
+        return b"".join(self.spelt[np.frombuffer(ids, "<u4")].tolist())
 
 
 _ready: dict[tuple[int, str], Bpe] = {}
@@ -216,20 +219,28 @@ def decode(encoded: DataFrame, ranks: bytes, ids_col: str = "ids", out_col: str
 
     @F.pandas_udf("binary")
     def texts(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = {rank: word for word, rank in read_ranks(sent.value).items()}
+        found = read_ranks(sent.value)
+        spelt = np.empty(max(found.values()) + 1, object)
+        spelt[list(found.values())] = list(found)
         for ids in parts:
-            yield pd.Series([joined(words, x or b"") for x in ids], dtype=object)
+            yield pd.Series([b"".join(spelt[np.frombuffer(x or b"", "<u4")].tolist()) for x in ids], dtype=object)
 
     return encoded.withColumn(out_col, texts(F.col(ids_col)))
 
 
 def digests(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: encoded, then decoded."""
-    both = decode(encode(docs.select(id_col, text_col), ranks, pattern, text_col), ranks)
-    return both.select(
-        id_col,
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: encoded, then decoded, in one
+    pass, so that neither ids nor bytes leave the worker."""
+    small_batches(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)
+
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def both(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        coder, named = bpe(sent.value, pattern), lambda x: hashlib.sha256(x).hexdigest()
+        for texts in parts:
+            ids = [coder.encode(t) for t in texts]
+            yield pd.DataFrame({
+                "n_tokens": [len(x) // 4 for x in ids], "ids_sha256": [named(x) for x in ids], "decoded_sha256": [named(coder.decode(x)) for x in ids],
+            })
 
+    return docs.select(id_col, both(F.col(text_col)).alias("r")).select(id_col, "r.*")

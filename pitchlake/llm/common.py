@@ -60,17 +60,21 @@ def crc_mod(doc_id: Column, n: int) -> Column:
 
 
 class Memo(dict):
-    """A dict that fills itself by ``make`` and is emptied when it grows past
-    ``most`` entries, so a worker's memory stays bounded."""
+    """A dict that fills itself by ``make``.  Past ``most`` entries it becomes the
+    old half, which is looked at before anything is made anew, and a new half
+    begins; so a worker's memory stays bounded and what is used often stays."""
 
     def __init__(self, make, most: int = 150_000):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.old = make, most // 2, {}
 
     def __missing__(self, key):
-        value = self.make(key)
-        if len(key) <= 64:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if isinstance(key, int) or len(key) <= 64:
             if len(self) >= self.most:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value

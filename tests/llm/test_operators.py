@@ -145,6 +145,18 @@ def test_encoding_equals_the_library(coder, reference, sf_dir):
         assert coder.decode(ids).decode() == t
 
 
+def test_other_patterns_are_matched_whole(coder):
+    pattern = r"\w+ \w+|\s|\S"
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=coder.ranks, special_tokens={})
+    other = byte_bpe.bpe(RANKS, pattern)
+    for t in ("one two three four", "a b", " x  y z\n"):
+        assert other.encode(t) == np.array(own.encode_ordinary(t), "<u4").tobytes()
+
+
+def test_digests_without_rows(spark, docs):
+    assert byte_bpe.digests(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
 def test_tables_extend_and_survive_edits(coder):
     r = random.Random(3)
     word = bytes(r.choice(b"the and of in er") for _ in range(300))
@@ -164,6 +176,8 @@ def test_digests(spark, docs, reference):
         ids = np.array(reference.encode_ordinary(r["text"] or ""), "<u4")
         want[r["doc_id"], len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256((r["text"] or "").encode()).hexdigest()] += 1
     assert Counter(map(tuple, got)) == want
+    again = byte_bpe.decode(byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS).collect()
+    assert all(r["decoded"] == (r["text"] or "").encode() for r in again)
 
 
 # 4. Vectors
