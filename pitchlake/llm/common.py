@@ -47,6 +47,12 @@ def shared_folder(spark: SparkSession) -> str:
     return named or sc.getCheckpointDir()
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of intermediate tables, whatever file system it is on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage in the shared folder, so that a
     lost executor costs a read and not a recomputation."""

@@ -1,26 +1,32 @@
-"""Operator 2: language-model scores by Katz backoff over pairs of words.
-
-Counts of words and of pairs are discounted by Good-Turing estimates up to
-``LOW``; larger counts give up ``REST`` of one count, so that every history keeps
-some mass.  A pair that was never seen falls back to the word alone, weighted so
-that the probabilities of each history sum to 1 exactly; a word that was never
-seen has what the known words leave.
-
-Spark does it in four steps.  1. Words are counted; the ``HEADS`` most frequent,
-a fixed number, go to all executors.  2. Texts are cut into pairs, which are dealt
-over partitions by their first word, those of very frequent first words by both.
-Pairs travel in compressed blocks, sorted by nobody: each partition counts its own
-pairs and writes, into tables partitioned by kind, sums for each text, discounted
-counts for each history, and requests for what only other partitions know.
-3. Backoff weights come from the histories' sums, joined with the words they were
-seen with.  4. Requests are joined with words and weights and added up by text.
+"""Operator 2: language-model scores by Katz backoff, of any order.
+
+Counts of n-grams are discounted by Good-Turing estimates up to ``LOW``; larger
+counts give up ``REST`` of one count.  An n-gram that was never seen falls back to
+the next shorter one, by the weight of its history that makes the probabilities
+after that history sum to 1 exactly; a word that was never seen has what the
+known words leave.  Weights are quotients of sums of given-up counts, which are
+positive as soon as a history has been seen, so none is rounded or floored.
+
+Spark does it level by level.  1. Texts are cut into flushes of about ``FLUSH``
+tokens, each with its own numbering of words, written once.  2. At each level a
+flush sends its distinct n-grams, as (name of the history, name of the word), with
+how often it saw each; equal ones were added up before, so the most frequent
+n-gram is one entry of a flush.  Entries are dealt over buckets by history, and
+those of a history of more than ``SPREAD`` tokens over as many buckets as that
+takes.  A bucket adds up the entries, names the n-grams it knows and answers every
+flush in the order of its entries; with those that nobody trained on it sends the
+sums that make the history's weight.  Sums of spread histories are added up by
+Spark and joined with those who ask.  Answers are the tables of the next level.
+3. Each flush works out the probabilities of its tokens recursively from the
+answers and adds them up by text.  All lists travel packed, in blocks.
 
 Defined results: a null text counts as empty and scores its end token; a null
 doc_id is hashed as the empty text; repeated rows count and are scored row by
 row; without training texts every token is unknown and scores 0 (there is one
 unknown word, of probability 1), and so does the base; extra columns are ignored;
-an empty table gives an empty result.  Texts are read whole.  Words are told
-apart by 63 bits of a hash.
+an empty table gives an empty result.  Texts are read whole; one of more than
+``FLUSH`` tokens is scored in pieces that know the words before them.  Words are
+told apart by 63 bits of a hash.
 """
 
 from __future__ import annotations
@@ -36,14 +42,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import Memo, crc_mod, shared_folder, small_batches
+from pitchlake.llm.common import crc_mod, cut, delete_folder, shared_folder, small_batches
 
-LOW, REST, HEADS, HOT, PAIRS = 5, 0.01, 1 << 18, 2048, 2_000_000
-TOP = np.int64(-(1 << 63))
-#: Codes of the end of a text and of its start; words of the head follow.
-END, START = 0, 1
-K = [f"k{r}" for r in range(1, LOW + 2)]
-M = [f"m{r}" for r in range(1, LOW + 1)]
+ORDER, LOW, REST = 3, 5, 0.01
+FLUSH, KEYS, SPREAD = 1 << 20, 500_000, 1 << 16
+END, START = b" end", b" start"  # no word holds a space
+#: Sums of a history: how many n-grams have each count up to LOW, how many more
+#: than that, the same for what they fall back to, and the counts of the latter.
+TALLY = 2 * (LOW + 1) + 1
+ANSWER = "kind string, flush long, level int, bucket long, data binary, h string, tally array<long>"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -51,15 +58,6 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split() if text else []
 
 
-def key_of(word: bytes) -> int:
-    """A negative number for a word."""
-    return xxhash.xxh3_64_intdigest(word) % (1 << 63) - (1 << 63)
-
-
-#: No word holds a space.
-END_KEY = key_of(b" end")
-
-
 def discounts(n: list[float], low: int = LOW) -> list[float]:
     """Katz's factors for counts 1 to ``LOW``, from the numbers n[0..LOW] of events
     seen once, twice and so on; counts that Good-Turing can't estimate keep the
@@ -68,266 +66,363 @@ def discounts(n: list[float], low: int = LOW) -> list[float]:
     for k in range(low, 0, -1):
         if any(x <= 0 for x in n[: k + 1]):
             continue
-        cut = (k + 1) * n[k] / n[0]
-        found = [((r + 1) * n[r] / (r * n[r - 1]) - cut) / (1 - cut) if cut < 1 else 0 for r in range(1, k + 1)]
+        cut_off = (k + 1) * n[k] / n[0]
+        found = [((r + 1) * n[r] / (r * n[r - 1]) - cut_off) / (1 - cut_off) if cut_off < 1 else 0 for r in range(1, k + 1)]
         if all(0 < d < 1 for d in found):
             return found + rest[k:]
     return [0.5, *rest[1:]]
 
 
-def discounted(c, d: list[float]):
-    """Discounted counts of an array of counts."""
-    c = np.asarray(c, float)
-    table = np.array([0.0, *(r * x for r, x in enumerate(d, 1))])
-    return np.where(c > LOW, c - REST, table[np.minimum(c, LOW).astype(int)])
-
-
-class Words:
-    """What every task knows: codes and counts of the most frequent words, and
-    the sums over all of them."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, total: int, distinct: int, texts: int, n: list[float]):
-        self.total, self.distinct = total, distinct
-        self.d = discounts(n)
-        ends = keys == END_KEY
-        self.codes = {int(k): i for i, k in enumerate(keys[~ends], 2)}
-        self.as_word = np.r_[texts, 0, counts[~ends]].astype(np.int64)
-        self.as_history = np.r_[0, texts, counts[~ends]].astype(np.int64)
-        self.p = discounted(self.as_word, self.d) / max(1, total)
-        self.base = np.log10((self.as_word + 0.1) / (total + 0.1 * (distinct + 1)))
-        self.hot = self.as_history > max(1, total / HOT)
-        self.code = Memo(self._code)
-
-    def _code(self, word: bytes) -> int:
-        key = key_of(word)
-        return self.codes.get(key, key)
+def given_up(d: list[float]) -> np.ndarray:
+    """What one n-gram gives up: for counts 1 to ``LOW``, and for larger ones."""
+    return np.array([*(r * (1 - x) for r, x in enumerate(d, 1)), REST])
 
 
-def _packed(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(a.tobytes() for a in arrays))
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
 
 
-def _block(h: np.ndarray, w: np.ndarray, at: np.ndarray) -> bytes:
-    """Pairs of a batch: frequent words as small integers, others in full."""
-    small = [np.where(x >= 0, x, -1).astype(np.int32) for x in (h, w)]
-    return _packed(np.array([len(h), (h < 0).sum(), (w < 0).sum()], np.int32), *small, at.astype(np.uint16), h[h < 0], w[w < 0])
+def packed(*arrays: np.ndarray) -> bytes:
+    """Lists of whole numbers from 0, each as planes of bytes, compressed."""
+    head, body = [len(arrays)], []
+    for a in arrays:
+        a = np.ascontiguousarray(a, "<i8")
+        width = max(1, (int(a.max(initial=0)).bit_length() + 7) // 8)
+        head += [len(a), width]
+        body.append(a.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.array(head, "<i8").tobytes() + b"".join(body))
 
 
-def _unblock(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unpacked(data: bytes) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(data)
-    n, a, b = np.frombuffer(raw, np.int32, 3).tolist()
-    h, w = (np.frombuffer(raw, np.int32, n, 12 + 4 * n * i).astype(np.int64) for i in (0, 1))
-    at = np.frombuffer(raw, np.uint16, n, 12 + 8 * n)
-    h[h < 0] = np.frombuffer(raw, np.int64, a, 12 + 10 * n)
-    w[w < 0] = np.frombuffer(raw, np.int64, b, 12 + 10 * n + 8 * a)
-    return h, w, at
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    sizes, at, out = np.frombuffer(raw, "<i8", 2 * n, 8).reshape(-1, 2).tolist(), 8 + 16 * n, []
+    for size, width in sizes:
+        whole = np.zeros((size, 8), np.uint8)
+        whole[:, :width] = np.frombuffer(raw, np.uint8, size * width, at).reshape(width, size).T
+        out.append(whole.view("<i8").ravel())
+        at += size * width
+    return out
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
+class Numbers(dict):
+    """Numbers words as they come."""
 
-_ready: dict[str, Words] = {}
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
 
 
-def _words(name: str, sent) -> Words:
-    if name not in _ready:
-        _ready.clear()
-        _ready[name] = Words(*sent.value)
-    return _ready[name]
+def flushes(docs: DataFrame, order: int) -> DataFrame:
+    """docs (doc, text, train) as rows of about ``FLUSH`` tokens: flush, keys (of
+    its words, most frequent first), seen (how often in training), body (tokens
+    of all pieces with ``order`` - 1 tokens before each; numbers of their texts,
+    sizes, training flags), docs (ids), and sums over it."""
+    before = order - 1
 
+    def cut_up(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first, flush, text_no = TaskContext.get().partitionId() << 32, 0, 0
+        pieces: list[tuple] = []
+        size, number = 0, Numbers({START: 0})
+
+        def packed_up() -> pd.DataFrame:
+            docs, texts, sizes, train, begins, tokens = zip(*pieces, strict=True)
+            tok, whole, train = np.concatenate(tokens), np.array(sizes), np.array(train)
+            event = np.concatenate([np.arange(n + before) >= before for n in sizes])
+            often = np.bincount(tok[event], minlength=len(number))[1:]
+            rank = np.argsort(-often, kind="stable")
+            name = np.empty(len(number), np.int64)
+            name[0], name[1 + rank] = 0, np.arange(1, len(number))
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))[1:]
+            trained = np.bincount(name[tok[event & np.repeat(train, whole + before)]], minlength=len(number))[1:]
+            base = first >> 32 << 40
+            return pd.DataFrame({
+                "flush": [first + flush], "keys": [packed((hashes >> np.uint64(1)).astype(np.int64)[rank])], "seen": [packed(trained)],
+                "body": [packed(name[tok], np.array(texts) + base, whole, train)], "docs": [list(docs)],
+                "tokens": [int(whole[train].sum())], "texts": [int((train & np.array(begins)).sum())], "words": [len(rank)],
+            })
 
-def word_counts(train: DataFrame) -> DataFrame:
-    """key, c of all training tokens; each task adds up its own first."""
-
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, sums = Memo(key_of), {}
-        frame = lambda: pd.DataFrame({"key": np.fromiter(sums, np.int64, len(sums)), "n": np.fromiter(sums.values(), np.int64, len(sums))})
         for part in parts:
-            keys = [key[w] for t in part["text"] for w in words_of(t)]
-            found, n = np.unique(np.array([*keys, *[END_KEY] * len(part)], np.int64), return_counts=True)
-            for k, v in zip(found.tolist(), n.tolist(), strict=True):
-                sums[k] = sums.get(k, 0) + v
-            if len(sums) > 500_000:
-                yield frame()
-                sums.clear()
-        yield frame()
-
-    counts = train.select("text").mapInPandas(count, "key long, n long")
-    return counts.groupBy("key").agg(F.sum("n").alias("c"))
-
-
-def frequent(words: DataFrame, most: int) -> DataFrame:
-    """The words above a count that at most ``most`` words reach.  The count comes
-    from a few hundred steps of a histogram, so that no task hands on more."""
-    step = F.floor(F.log2("c") * 16)
-    left, least = most, None
-    for r in words.groupBy(step.alias("step")).agg(F.count("c").alias("n"), F.min("c").alias("c")).orderBy(F.desc("step")).collect():
-        left -= r["n"]
-        if left < 0:
-            break
-        least = r["c"]
-    return words.where(F.col("c") >= least) if least is not None else words.limit(0)
-
-
-def score(docs: DataFrame, learn) -> DataFrame:
+            for doc, text, train in zip(part["doc"], part["text"], part["train"], strict=True):
+                tokens = [*[START] * before, *words_of(text), END]
+                for at in range(0, len(tokens) - before, FLUSH):
+                    piece = tokens[at : at + FLUSH + before]
+                    pieces.append((doc, text_no, len(piece) - before, bool(train), at == 0, np.fromiter(map(number.__getitem__, piece), np.int64, len(piece))))
+                    size += len(piece)
+                    if size >= FLUSH:
+                        yield packed_up()
+                        pieces, size, number, flush = [], 0, Numbers({START: 0}), flush + 1
+                text_no += 1
+        if pieces:
+            yield packed_up()
+
+    shape = "flush long, keys binary, seen binary, body binary, docs array<string>, tokens long, texts long, words long"
+    return docs.mapInPandas(cut_up, shape)
+
+
+def dealt(spot: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of entries by bucket, and where each bucket begins in it."""
+    order = np.argsort(spot.astype(np.uint16 if buckets < 1 << 16 else np.uint64), kind="stable")
+    return order, np.searchsorted(spot[order], np.arange(buckets + 1))
+
+
+def runs_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin, and the number of each entry's run."""
+    new = np.r_[True, h[1:] != h[:-1]][: len(h)]
+    return np.flatnonzero(new), np.cumsum(new) - 1
+
+
+class Flush:
+    """The tokens of a flush and what is known of their n-grams so far: for each
+    level and place a local number of the n-gram that ends there, its name (-1:
+    unknown) and its count in training."""
+
+    def __init__(self, keys: np.ndarray, body: bytes, order: int, total: int, texts: int, buckets: dict[int, int], spread: int):
+        self.keys, self.order, self.total, self.texts, self.buckets, self.spread = keys, order, total, texts, buckets, spread
+        self.tok, self.text, self.sizes, self.train = unpacked(body)
+        whole = self.sizes + order - 1
+        self.piece = np.repeat(np.arange(len(whole)), whole)
+        self.at = np.arange(len(self.tok)) - np.repeat(np.cumsum(whole) - whole, whole)
+        self.event = self.at >= order - 1
+        self.local, self.name, self.count, self.alpha = {}, {}, {}, {}
+
+    def words(self, blocks: list[bytes]) -> None:
+        """Takes the answers of level 1."""
+        order, _ = dealt(mixed(self.keys) % np.uint64(self.buckets[1]), self.buckets[1])
+        c, name = np.zeros(len(self.keys) + 1, np.int64), np.full(len(self.keys) + 1, -1)
+        c[0], name[0] = self.texts, 0
+        found = [unpacked(b) for b in blocks]
+        if found:
+            c[1 + order], name[1 + order] = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+        name[c == 0] = -1
+        self.local[1], self.count[1], self.name[1] = self.tok, c[self.tok], name[self.tok]
+
+    def entries(self, k: int) -> None:
+        """Distinct n-grams of level k whose history is known, in the order of the buckets."""
+        use = (self.at >= k - 1) & (self.tok > 0) & np.r_[False, self.count[k - 1][:-1] > 0]
+        self.p = p = np.flatnonzero(use if k < self.order else use & self.event)
+        word = np.where(self.count[1][p] > 0, self.tok[p], len(self.keys) + 1)
+        _, inv = np.unique(self.local[k - 1][p - 1] << 32 | word, return_inverse=True)
+        n = int(inv.max(initial=-1)) + 1
+        some = np.empty(n, np.int64)
+        some[inv] = p
+        self.h, self.w, self.low = self.name[k - 1][some - 1], self.name[1][some] + 1, self.count[k - 1][some]
+        self.c = np.bincount(inv, self.train[self.piece[p]] * self.event[p], n).astype(np.int64)
+        parts = -(-self.count[k - 1][some - 1] // self.spread)
+        self.wide = parts > 1
+        spread = np.where(self.wide, mixed(self.w) % np.maximum(parts, 1).astype(np.uint64) + np.uint64(1), np.uint64(0))
+        spot = mixed(mixed(self.h) + spread) % np.uint64(self.buckets[k])
+        self.order_of, self.edges = dealt(spot, self.buckets[k])
+        self.inv = inv
+
+    def requests(self) -> list[tuple[int, bytes]]:
+        out = []
+        for b, (s, e) in enumerate(zip(self.edges[:-1].tolist(), self.edges[1:].tolist(), strict=True)):
+            if e > s:
+                at = self.order_of[s:e]
+                h = self.h[at]
+                start, _ = runs_of(h)
+                out.append((b, packed(h[start], np.diff(np.r_[start, len(h)]), self.wide[at][start], self.w[at], self.c[at], self.low[at])))
+        return out
+
+    def answers(self, k: int, blocks: list[bytes], sums: dict[int, np.ndarray], give: np.ndarray, below: np.ndarray) -> None:
+        """Takes the answers of level k.  give, below: what counts give up at this
+        level and at the one below."""
+        n = len(self.h)
+        c, name, alpha = np.zeros(n, np.int64), np.full(n, -1), np.ones(n)
+        found, at = [unpacked(b) for b in blocks], self.order_of
+        if found:
+            c[at], name[at] = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+            name[c == 0] = -1
+            # Sums for the runs of histories that were asked for, block by block.
+            block = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+            _, run = runs_of(self.h[at] * len(found) + block)
+            asked = c[at] == 0
+            tally = np.concatenate([f[2].reshape(TALLY, -1) for f in found], axis=1).T
+            _, nth = np.unique(run[asked], return_inverse=True)
+            e, t = at[asked], tally[nth]
+            for i in np.flatnonzero(self.wide[e]).tolist():
+                t[i] = sums[int(self.h[e[i]])]
+            some = np.empty(n, np.int64)
+            some[self.inv] = self.p
+            total = self.count[k - 2][some[e] - 1] if k > 2 else np.full(len(e), self.total)
+            mine, theirs, count = t[:, : LOW + 1], t[:, LOW + 1 : 2 * LOW + 2], t[:, -1]
+            kept = mine @ give / np.maximum(self.count[k - 1][some[e] - 1], 1)
+            left = (total - count) + theirs @ below
+            alpha[e] = kept / np.where(left > 0, left, 1) * total
+        size = len(self.tok)
+        self.count[k], self.name[k], self.local[k] = np.zeros(size, np.int64), np.full(size, -1), np.zeros(size, np.int64)
+        self.alpha[k] = np.ones(size)
+        start = (self.tok == 0) & (self.at >= k - 1)
+        self.count[k][start], self.name[k][start] = self.texts, 0
+        self.count[k][self.p], self.name[k][self.p], self.local[k][self.p] = c[self.inv], name[self.inv], self.inv + 1
+        self.alpha[k][self.p] = alpha[self.inv]
+
+    def scores(self, gives: list[np.ndarray], rest: float) -> np.ndarray:
+        """log10 of each token's probability; gives: by level, from 1."""
+        p = np.flatnonzero(self.event)
+        out, todo = np.zeros(len(p)), np.ones(len(p), bool)
+        for k in range(self.order, 0, -1):
+            c = self.count[k][p]
+            seen = c > 0
+            history = self.count[k - 1][p - 1] if k > 1 else np.full(len(p), self.total)
+            give = np.r_[0.0, gives[k - 1]][np.minimum(c, LOW + 1)]
+            value = np.log10(np.where(seen, c - give, 1.0)) - np.log10(np.maximum(history, 1))
+            back = np.log10(self.alpha[k][p]) if k > 1 else np.full(len(p), np.log10(rest))
+            out += np.where(todo, np.where(seen, value, back), 0.0)
+            todo &= ~seen
+        return out
+
+
+def merge(level: int, buckets: int, last: bool):
+    """A bucket's work: adds up the entries of all flushes and answers them."""
+
+    def counted(key, rows: pd.DataFrame) -> pd.DataFrame:
+        bucket, got = int(key[0]), [unpacked(x) for x in rows["data"]]
+        if level == 1:
+            sizes = [len(g[0]) for g in got]
+            w, c = (np.concatenate([g[i] for g in got]) for i in (0, 1))
+            h, wide, low = np.zeros(len(w), np.int64), np.zeros(len(w), bool), np.zeros(len(w), np.int64)
+        else:
+            sizes = [len(g[3]) for g in got]
+            h, wide = np.concatenate([np.repeat(g[0], g[1]) for g in got]), np.concatenate([np.repeat(g[2], g[1]) for g in got]) > 0
+            w, c, low = (np.concatenate([g[i] for g in got]) for i in (3, 4, 5))
+        order = np.lexsort((w, h))
+        h, w = h[order], w[order]
+        new = np.r_[True, (h[1:] != h[:-1]) | (w[1:] != w[:-1])]
+        start, group = np.flatnonzero(new), np.cumsum(new) - 1
+        n, gh, glow = np.add.reduceat(c[order], start), h[start], low[order][start]
+        names = np.zeros(len(n), np.int64)
+        known = np.flatnonzero(n)
+        if not last:
+            names[known[np.argsort(-n[known], kind="stable")]] = np.arange(len(known)) * buckets + bucket + 1
+        place = np.empty(len(order), np.int64)
+        place[order] = group
+        out = []
+        put = lambda kind, **x: out.append({"kind": kind, "flush": None, "level": level, "bucket": bucket, "data": None, "h": None, "tally": None} | x)
+        classes = np.arange(1, LOW + 2)
+        if level > 1:
+            run, run_of = runs_of(gh)
+            kinds = [np.minimum(x, LOW + 1) * (n > 0) for x in (n, glow)]
+            tally = np.stack([*(np.add.reduceat((x == r).astype(np.int64), run) for x in kinds for r in classes), np.add.reduceat(glow * (n > 0), run)])
+            is_wide = np.zeros(len(run), bool)
+            is_wide[run_of[place[wide]]] = True
+            for i in np.flatnonzero(is_wide).tolist():
+                put("sum", h=str(gh[run[i]]), tally=tally[:, i].tolist())
+        edges = np.cumsum([0, *sizes])
+        for flush, s, e in zip(rows["flush"].tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            g = place[s:e]
+            extra = ()
+            if level > 1:
+                asked = run_of[g[n[g] == 0]]
+                asked = asked[np.r_[True, asked[1:] != asked[:-1]][: len(asked)]]
+                extra = (tally[:, asked].ravel(),)
+                for i in asked[is_wide[asked]].tolist():
+                    put("ask", flush=flush, h=str(gh[run[i]]))
+            put("answer", flush=flush, data=packed(n[g], names[g], *extra))
+        put("stat", tally=np.bincount(np.minimum(n, LOW + 2), minlength=LOW + 3)[1:].tolist())
+        return pd.DataFrame(out, columns=[x.split()[0] for x in ANSWER.split(", ")]).astype({"flush": "Int64"})
+
+    return counted
+
+
+def score(docs: DataFrame, learn, order: int = ORDER) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score.  learn: a
     condition on doc_id that picks the training rows."""
-    spark = docs.sparkSession
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType
     small_batches(spark)
-    folder, name = f"{shared_folder(spark)}/katz-{uuid.uuid4().hex}", uuid.uuid4().hex
+    folder = f"{shared_folder(spark)}/katz-{uuid.uuid4().hex}"
     # Whole numbers with nulls among them would become floats in pandas.
     docs = docs.select(F.col("doc_id").cast("string").alias("doc"), "text", F.coalesce(learn, F.lit(False)).alias("train"))
-    word_counts(docs.where("train")).write.parquet(f"{folder}/words")
-    words = spark.read.parquet(f"{folder}/words")
-    first = words.agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.count("c"), F.coalesce(F.max(F.when(F.col("key") == END_KEY, F.col("c"))), F.lit(0)),
-        *(F.count_if(F.col("c") == r) for r in range(1, LOW + 2)),
-    ).first()
-    total, distinct, texts, *n = first
-    d_word = discounts(n)
-    heads = frequent(words, HEADS).toPandas()
-    sent = spark.sparkContext.broadcast((heads["key"].to_numpy(np.int64), heads["c"].to_numpy(np.int64), total, distinct, texts, n))
-    del heads
-    buckets = max(8, -(-int(total * 1.2) // PAIRS))
-
-    def cut_up(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w, base = _words(name, sent), TaskContext.get().partitionId() << 36
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    state = cut(flushes(docs, order).repartition(partitions, "flush"))
+    total, texts, words = state.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "texts", "words"))).first()
+    buckets = {1: max(8, -(-words // KEYS))} | {k: max(8, -(-total // KEYS)) for k in range(2, order + 1)}
+    gives: list[np.ndarray] = []
+    replies: dict[int, DataFrame] = {}
+    sums_of = F.array(*(F.sum(F.col("tally")[i]) for i in range(TALLY))).alias("tally")
+
+    def ready(row, answers: pd.DataFrame, upto: int) -> Flush:
+        """A flush with the answers up to a level."""
+        flush = Flush(unpacked(row["keys"])[0], row["body"], order, total, texts, buckets, SPREAD)
+        answers = answers.sort_values(["level", "bucket"])
+        for k in range(1, upto + 1):
+            mine = answers[answers["level"] == k]
+            blocks = mine.loc[mine["kind"] == "answer", "data"].tolist()
+            if k == 1:
+                flush.words(blocks)
+                continue
+            extra = mine[mine["kind"] == "ask"]
+            flush.entries(k)
+            flush.answers(k, blocks, dict(zip(map(int, extra["h"]), map(np.array, extra["tally"]), strict=True)), gives[k - 1], gives[k - 2])
+        return flush
+
+    def first(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            codes = [np.fromiter(map(w.code.__getitem__, words_of(t)), np.int64) for t in part["text"]]
-            sizes = np.array([len(c) + 1 for c in codes])
-            one = np.concatenate([x for c in codes for x in (np.array([START]), c)])
-            two = np.concatenate([x for c in codes for x in (c, np.array([END]))])
-            at = np.repeat(np.arange(len(part)), sizes)
-            train = part["train"].to_numpy(bool)
-            head = two >= 0
-            sums = np.bincount(at[head], w.base[two[head]], len(part))
-            many = np.bincount(at[head], w.as_word[two[head]] > 0, len(part)).astype(np.int64)
-            yield pd.DataFrame({
-                "bucket": (base + np.arange(len(part))) % buckets, "text": base + np.arange(len(part)), "pairs": None,
-                "doc": part["doc"], "n": sizes, "known": many, "base": sums,
-            })
-            hot = (one >= 0) & w.hot[np.maximum(one, 0)]
-            where = (mixed(one) ^ np.where(hot, mixed(mixed(two).astype(np.int64) + 7), np.uint64(0))) % np.uint64(buckets)
-            order = np.argsort(where.astype(np.uint16 if buckets < 1 << 16 else np.uint32), kind="stable")
-            edges = np.searchsorted(where[order], np.arange(buckets + 1))
-            mark = at * 2 + train[at]
-            out = [(b, _block(*(x[order[s:e]] for x in (one, two, mark)))) for b, (s, e) in enumerate(zip(edges, edges[1:], strict=False)) if e > s]
-            yield pd.DataFrame({
-                "bucket": [b for b, _ in out], "text": base, "pairs": [x for _, x in out],
-                "doc": None, "n": 0, "known": 0, "base": 0.0,
-            })
-            base += len(part)
-
-    blocks = docs.mapInPandas(cut_up, "bucket long, text long, pairs binary, doc string, n long, known long, base double")
-
-    def counted(key, rows):
-        words = _words(name, sent)
+            for flush, keys, seen in zip(part["flush"], part["keys"], part["seen"], strict=True):
+                (keys,), (seen,) = unpacked(keys), unpacked(seen)
+                by, edges = dealt(mixed(keys) % np.uint64(buckets[1]), buckets[1])
+                out = [(b, flush, packed(keys[by[s:e]], seen[by[s:e]])) for b, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if e > s]
+                yield pd.DataFrame(out, columns=["bucket", "flush", "data"])
+
+    def asking(k: int):
+        def ask(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+            out = []
+            for _, row in rows.iterrows():
+                flush = ready(row, answers, k - 1)
+                flush.entries(k)
+                out += [(b, row["flush"], data) for b, data in flush.requests()]
+            return pd.DataFrame(out, columns=["bucket", "flush", "data"])
+
+        return ask
+
+    def told(upto: int):
+        frames = [replies[k] for k in range(1, upto + 1)]
+        every = frames[0]
+        for more in frames[1:]:
+            every = every.unionByName(more)
+        return state.select("flush", "keys", "body", "docs").groupBy("flush").cogroup(every.groupBy("flush"))
+
+    request = "bucket long, flush long, data binary"
+    distinct = 0
+    for k in range(1, order + 1):
+        asked = state.select("flush", "keys", "seen").mapInPandas(first, request) if k == 1 else told(k - 1).applyInPandas(asking(k), request)
+        asked.groupBy("bucket").applyInPandas(merge(k, buckets[k], k == order), ANSWER).write.partitionBy("kind").parquet(f"{folder}/{k}")
+        table = spark.read.schema(ANSWER).parquet(f"{folder}/{k}")
+        stat = table.where("kind = 'stat'").agg(*(F.coalesce(F.sum(F.col("tally")[i]), F.lit(0)) for i in range(LOW + 2))).first()
+        gives.append(given_up(discounts(list(stat[:-1]))))
+        if k == 1:
+            distinct = sum(stat)
+            rest = float(np.array(stat) @ np.r_[gives[0], REST]) / total if total else 1.0
+        wide = table.where("kind = 'ask'").select("kind", "flush", "level", "bucket", "data", "h").distinct()
+        sums = table.where("kind = 'sum'").groupBy("h").agg(sums_of)
+        replies[k] = table.where("kind = 'answer'").select("kind", "flush", "level", "bucket", "data", "h", "tally").unionByName(wide.join(sums, "h"))
+
+    def judge(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         frames = []
-
-        def put(kind: str, a, b, **columns) -> None:
-            frames.append(pd.DataFrame({"kind": kind, "a": a, "b": b, **columns}))
-
-        info = rows["pairs"].isna()
-        about = rows[info]
-        if len(about):
-            put("text", about["text"].to_numpy(), 0, doc=about["doc"].to_numpy(), n=about["n"].to_numpy(), known=about["known"].to_numpy(), x=about["base"].to_numpy())
-        got = [(*_unblock(x), t) for x, t in zip(rows.loc[~info, "pairs"], rows.loc[~info, "text"], strict=True)]
-        if got:
-            h, w, mark = (np.concatenate([g[i] for g in got]) for i in (0, 1, 2))
-            text = np.concatenate([(g[2] >> 1).astype(np.int64) + int(g[3]) for g in got])
-            order = np.lexsort((w, h))
-            h, w, text, train = h[order], w[order], text[order], (mark[order] & 1).astype(np.int64)
-            start = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (w[1:] != w[:-1])])
-            group = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(h)]))
-            c, gh, gw = np.add.reduceat(train, start), h[start], w[start]
-            run = np.flatnonzero(np.r_[True, gh[1:] != gh[:-1]])
-            run_of = np.repeat(np.arange(len(run)), np.diff(np.r_[run, len(gh)]))
-            local = np.add.reduceat(c, run)
-            rh = gh[run]
-            history = np.where(rh >= 0, words.as_history[np.maximum(rh, 0)], local)
-            p_head = np.where(gw >= 0, words.p[np.maximum(gw, 0)], 0.0)
-            seen = c > 0
-            # Sums for each history.
-            tally = {f"k{r}": np.add.reduceat((c == r).astype(np.int64), run) for r in range(1, LOW + 2)}
-            big = np.add.reduceat(np.where(c > LOW, c - REST, 0.0), run)
-            used = np.add.reduceat(np.where(seen, p_head, 0.0), run)
-            live = local > 0
-            put("history", rh[live], 0, n=history[live], x=big[live], y=used[live], **{k: v[live] for k, v in tally.items()})
-            rare = seen & (gw < 0)
-            put("follows", gw[rare], gh[rare])
-            # Sums for each text.
-            with np.errstate(divide="ignore"):
-                value = np.where(c > LOW, np.log10(np.maximum(c - REST, 1e-9)), np.log10(np.maximum(c, 1))) - np.log10(np.maximum(history[run_of], 1))
-                back = np.log10(np.where(p_head > 0, p_head, 1.0))
-            e_seen = seen[group]
-            names, own = np.unique(text, return_inverse=True)
-            x = np.bincount(own, np.where(e_seen, value[group], back[group]), len(names))
-            kinds = {f"m{r}": np.bincount(own[(c == r)[group]], minlength=len(names)) for r in range(1, LOW + 1)}
-            put("part", names, 0, x=x, **kinds)
-            # Requests: the weight of a history, the count of a rare word.
-            ask = ~e_seen & (history[run_of] > 0)[group]
-            put("weight", h[ask], text[ask], n=1)
-            tail = w < 0
-            put("word", w[tail], text[tail], n=1, known=(~e_seen[tail]).astype(np.int64))
-        out = pd.concat(frames) if frames else pd.DataFrame({"kind": []})
-        out = out.reindex(columns=["kind", "a", "b", "doc", "n", "known", "x", "y", *K, *M])
-        asked = out["kind"].isin(["weight", "word"])
-        sums = out[asked].groupby(["kind", "a", "b"], as_index=False)[["n", "known"]].sum()
-        out = pd.concat([out[~asked], sums])
-        whole = ["a", "b", "n", "known", *K, *M]
-        return out.astype({c: "Int64" for c in whole})
-
-    shape = "kind string, a long, b long, doc string, n long, known long, x double, y double, " + ", ".join(f"{c} long" for c in [*K, *M])
-    blocks.groupBy("bucket").applyInPandas(counted, shape).write.partitionBy("kind").parquet(f"{folder}/counts")
-    kind = lambda k: spark.read.schema(shape).parquet(f"{folder}/counts").where(F.col("kind") == k)
-    seen = kind("history").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in K)).first()
-    d = discounts(list(seen))
-
-    def worth(c) -> F.Column:
-        """Probability of a rare word seen c times."""
-        value = c - REST
-        for r, x in enumerate(d_word, 1):
-            value = F.when(c == r, F.lit(r * x)).otherwise(value)
-        return value / float(max(1, total))
-
-    rare = words.select(F.col("key").alias("a"), "c")
-    followed = kind("follows").select("a", "b").join(rare, "a").select(F.col("b").alias("a"), worth(F.col("c")).alias("y"))
-    sums = kind("history").select("a", "n", "x", "y", *K).unionByName(followed, allowMissingColumns=True)
-    per = sums.groupBy("a").agg(F.max("n").alias("n"), F.sum("x").alias("x"), F.sum("y").alias("y"), *(F.sum(c).alias(c) for c in K[:LOW]))
-    kept = F.col("x") + sum((F.col(c) * (r * x) for r, (c, x) in enumerate(zip(K, d, strict=False), 1)), F.lit(0.0))
-    left = F.greatest(1.0 - kept / F.col("n"), F.lit(1e-12)) / F.greatest(1.0 - F.col("y"), F.lit(1e-12))
-    weights = per.select("a", F.log10(left).alias("weight"))
-    asked = kind("weight").select("a", "b", "n").join(weights, "a").select(F.col("b").alias("text"), (F.col("n") * F.col("weight")).alias("score"))
-    unknown = 1.0 - float(_known_mass(words, d_word, total)) if total else 1.0
-    known_p = F.when(F.col("c").isNull(), F.lit(max(unknown, 1e-300))).otherwise(worth(F.col("c")))
-    base = F.log10((F.coalesce("c", F.lit(0)) + 0.1) / (total + 0.1 * (distinct + 1)))
-    rares = kind("word").select("a", "b", "n", "known").join(rare, "a", "left").select(
-        F.col("b").alias("text"), (F.col("known") * F.log10(known_p)).alias("score"), (F.col("n") * base).alias("base"),
-        F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0).alias("known"),
-    )
-    low = sum((F.col(c) * float(np.log10(x)) for c, x in zip(M, d, strict=True)), F.lit(0.0))
-    parts = kind("part").select(F.col("a").alias("text"), (F.col("x") + low).alias("score"))
-    about = kind("text").select(F.col("a").alias("text"), F.col("doc").cast("long").alias("doc_id"), F.col("n").alias("n_tokens"), "known", F.col("x").alias("base"))
-    every = about
-    for more in (parts, asked, rares):
-        every = every.unionByName(more, allowMissingColumns=True)
-    done = every.groupBy("text").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("known").alias("n_known"),
-        F.sum("base").alias("base_score"), F.coalesce(F.sum("score"), F.lit(0.0)).alias("score"),
-    )
-    return done.select("doc_id", "n_tokens", F.coalesce("n_known", F.lit(0)).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-def _known_mass(words: DataFrame, d: list[float], total: int) -> float:
-    """The probability of all known words together, from the counts of counts."""
-    by = words.groupBy(F.least("c", F.lit(LOW + 1)).alias("r")).agg(F.sum("c").alias("c"), F.count("c").alias("n")).collect()
-    return sum((r["c"] - REST * r["n"] if r["r"] > LOW else r["n"] * r["r"] * d[r["r"] - 1]) for r in by) / max(1, total)
-
-
-def scored(docs: DataFrame) -> DataFrame:
+        for _, row in rows.iterrows():
+            f = ready(row, answers, order)
+            p = np.flatnonzero(f.event)
+            piece, c = f.piece[p], f.count[1][p]
+            base = np.log10((c + 0.1) / (total + 0.1 * (distinct + 1)))
+            n = len(f.sizes)
+            frames.append(pd.DataFrame({
+                "text": f.text, "doc": list(row["docs"]), "n_tokens": f.sizes, "n_known": np.bincount(piece, c > 0, n).astype(np.int64),
+                "base_score": np.bincount(piece, base, n), "score": np.bincount(piece, f.scores(gives, rest), n),
+            }))
+        return pd.concat(frames)
+
+    pieces = told(order).applyInPandas(judge, "text long, doc string, n_tokens long, n_known long, base_score double, score double")
+    sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
+    done = pieces.groupBy("text").agg(F.first("doc").cast(kind).alias("doc_id"), *sums)
+    done = cut(done.select("doc_id", "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score"))
+    delete_folder(spark, folder)
+    return done
+
+
+def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """The scores of all rows, learned from those of nine folds in ten."""
     fold = crc_mod(F.col("doc_id"), 10)
-    return score(docs, fold != 0).withColumn("held_out", fold == 0)
+    return score(docs, fold != 0, order).withColumn("held_out", fold == 0)

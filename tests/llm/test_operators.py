@@ -1,5 +1,6 @@
 """Operators against brute force, round trips and held-out accuracy."""
 
+import functools
 import hashlib
 import math
 import random
@@ -13,6 +14,7 @@ import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from pitchlake.llm import byte_bpe, chat_format, decontaminate, katz, license_scan, near_dup, quality, queries, token_counts, url_filter, vector_dedup
 
@@ -70,53 +72,71 @@ def test_token_counts(spark, docs):
 # 2. Language model
 
 
-def brute_scores(rows):
-    tokens = lambda t: [b"<s>", *(t or "").encode().lower().split(), b" end"]
+def brute_scores(rows, order):
+    """Katz backoff from the definition, in dictionaries."""
+    tokens = lambda t: [b"<s>"] * (order - 1) + [*(t or "").encode().lower().split(), b" end"]
     train = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 != 0
-    uni, pair, hist = Counter(), Counter(), Counter()
+    grams, after = [Counter() for _ in range(order + 1)], [Counter() for _ in range(order)]
     for i, t in rows:
         s = tokens(t)
-        for h, w in zip(s, s[1:], strict=False):
-            if train(i):
-                uni[w] += 1
-                pair[h, w] += 1
-                hist[h] += 1
-    d1, d2 = (katz.discounts([Counter(c.values())[r] for r in range(1, katz.LOW + 2)]) for c in (uni, pair))
-    cut = lambda c, d: c - katz.REST if c > katz.LOW else c * d[c - 1]
-    total = sum(uni.values())
-    p = {w: cut(c, d1) / total for w, c in uni.items()}
-    rest = 1 - sum(p.values())
-    left = {h: [1.0, 1.0] for h in hist}
-    for (h, w), c in pair.items():
-        left[h][0] -= cut(c, d2) / hist[h]
-        left[h][1] -= p[w]
-    for h in hist:  # each history's probabilities sum to 1
-        seen = {w: c for (g, w), c in pair.items() if g == h} if len(hist) < 200 else None
-        if seen is not None:
-            whole = sum(cut(c, d2) / hist[h] for c in seen.values()) + left[h][0] / left[h][1] * (rest + sum(q for w, q in p.items() if w not in seen))
-            assert math.isclose(whole, 1, abs_tol=1e-9)
-    out = []
+        for at in range(order - 1, len(s) if train(i) else 0):
+            for k in range(1, order + 1):
+                grams[k][tuple(s[at - k + 1 : at + 1])] += 1
+                after[k - 1][tuple(s[at - k + 1 : at])] += 1
+    d = [None, *(katz.discounts([Counter(c.values())[r] for r in range(1, katz.LOW + 2)]) for c in grams[1:])]
+    less = lambda c, k: c - katz.REST if c > katz.LOW else c * d[k][c - 1]
+    total = after[0][()]
+    rest = 1 - sum(less(c, 1) for c in grams[1].values()) / total
+    follow = {}
+    for k in range(2, order + 1):
+        for g in grams[k]:
+            follow.setdefault(g[:-1], []).append(g[-1])
+
+    def p(h, w):
+        k = len(h) + 1
+        if k == 1:
+            return less(grams[1][w,], 1) / total if grams[1][w,] else rest
+        if grams[k][(*h, w)]:
+            return less(grams[k][(*h, w)], k) / after[k - 1][h]
+        return weight(h) * p(h[1:], w)
+
+    @functools.cache
+    def weight(h):
+        if h not in follow:
+            return 1.0
+        return (1 - sum(p(h, w) for w in follow[h])) / (1 - sum(p(h[1:], w) for w in follow[h]))
+
+    for h in list(follow)[:: max(1, len(follow) // 20)]:  # the probabilities after a history sum to 1
+        assert math.isclose(sum(p(h, w[0]) for w in grams[1]) + p(h, b" never"), 1, abs_tol=1e-9)
+    out, vocabulary = [], len(grams[1])
     for i, t in rows:
         s = tokens(t)
-        score = base = 0.0
-        for h, w in zip(s, s[1:], strict=False):
-            base += math.log10((uni[w] + 0.1) / (total + 0.1 * (len(uni) + 1)))
-            back = left[h][0] / left[h][1] if h in left else 1.0
-            score += math.log10(cut(pair[h, w], d2) / hist[h] if pair[h, w] else back * p.get(w, rest))
-        out.append((i, not train(i), len(s) - 1, sum(uni[w] > 0 for w in s[1:]), total, round(base, 6), round(score, 6)))
+        score = sum(math.log10(p(tuple(s[at - order + 1 : at]), s[at])) for at in range(order - 1, len(s)))
+        c = [grams[1][w,] for w in s[order - 1 :]]
+        base = sum(math.log10((x + 0.1) / (total + 0.1 * (vocabulary + 1))) for x in c)
+        out.append((i, not train(i), len(c), sum(x > 0 for x in c), total, round(base, 6), round(score, 6)))
     return out
 
 
-@pytest.mark.parametrize("heads", [katz.HEADS, 5])
-def test_katz(spark, docs, sf_dir, monkeypatch, heads):
-    monkeypatch.setattr(katz, "HEADS", heads)
-    more = [(r["doc_id"] + 100, r["text"]) for r in rows_of(sf_dir, "documents")[:40]]
-    df = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string")).repartition(3)
-    got = katz.scored(df).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score").collect()
-    want = brute_scores([(r["doc_id"], r["text"]) for r in df.collect()])
+@pytest.mark.parametrize(("order", "flush", "spread"), [(3, katz.FLUSH, katz.SPREAD), (3, 50, 4), (2, 200, 10), (1, 40, 4), (4, 300, 6)])
+def test_katz(spark, docs, sf_dir, monkeypatch, order, flush, spread):
+    """Small flushes cut texts into pieces, a small spread deals histories over buckets."""
+    monkeypatch.setattr(katz, "FLUSH", flush)
+    monkeypatch.setattr(katz, "SPREAD", spread)
+    more = [(r["doc_id"] + 100, r["text"]) for r in rows_of(sf_dir, "documents")[:12]]
+    df = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string")).repartition(3).cache()
+    wide = df.withColumns({"score": F.lit(1), "train": F.lit("x"), "doc": F.lit(2), "flush": F.lit(3)})
+    got = katz.scored(wide, order).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score").collect()
+    want = brute_scores([(r["doc_id"], r["text"]) for r in df.collect()], order)
     assert Counter((*r[:5], round(r[5], 6), round(r[6], 6)) for r in got) == Counter(want)
 
 
+def test_katz_of_a_very_long_text(spark):
+    text = " ".join(f"w{k * k % 97}" for k in range(60_000))
+    got = katz.scored(spark.createDataFrame([(1, text), (10, text), (None, "a b")], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == {1: 60_001, 10: 60_001, None: 3} and all(r["score"] < 0 for r in got)
+
+
 def test_katz_without_rows(spark, docs):
     assert katz.scored(docs.limit(0)).count() == 0
 
