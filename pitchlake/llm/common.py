@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -53,6 +54,13 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs removed now.  Spark does so when the
+    driver happens to collect its garbage, which a job of many steps can't wait for."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage in the shared folder, so that a
     lost executor costs a read and not a recomputation."""

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import crc_mod, cut, delete_folder, shared_folder, small_batches
+from pitchlake.llm.common import crc_mod, cut, delete_folder, free_shuffles, shared_folder, small_batches
 
 ORDER, LOW, REST = 3, 5, 0.01
 FLUSH, KEYS, SPREAD = 1 << 20, 500_000, 1 << 16
@@ -117,9 +117,10 @@ class Numbers(dict):
 
 def flushes(docs: DataFrame, order: int) -> DataFrame:
     """docs (doc, text, train) as rows of about ``FLUSH`` tokens: flush, keys (of
-    its words, most frequent first), seen (how often in training), body (tokens
-    of all pieces with ``order`` - 1 tokens before each; numbers of their texts,
-    sizes, training flags), docs (ids), and sums over it."""
+    its words, in the order of their buckets), seen (how often in training), body
+    (tokens of all pieces with ``order`` - 1 tokens before each, words numbered by
+    frequency; numbers of their texts, sizes, training flags; places of the words
+    in keys), docs (ids), and sums over it."""
     before = order - 1
 
     def cut_up(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,12 +136,15 @@ def flushes(docs: DataFrame, order: int) -> DataFrame:
             rank = np.argsort(-often, kind="stable")
             name = np.empty(len(number), np.int64)
             name[0], name[1 + rank] = 0, np.arange(1, len(number))
-            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))[1:]
+            keys = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))[1:][rank] >> np.uint64(1)
+            by = np.argsort(mixed(keys))
+            place = np.empty(len(by), np.int64)
+            place[by] = np.arange(len(by))
             trained = np.bincount(name[tok[event & np.repeat(train, whole + before)]], minlength=len(number))[1:]
             base = first >> 32 << 40
             return pd.DataFrame({
-                "flush": [first + flush], "keys": [packed((hashes >> np.uint64(1)).astype(np.int64)[rank])], "seen": [packed(trained)],
-                "body": [packed(name[tok], np.array(texts) + base, whole, train)], "docs": [list(docs)],
+                "flush": [first + flush], "keys": [packed(keys[by].astype(np.int64))], "seen": [packed(trained[by])],
+                "body": [packed(name[tok], np.array(texts) + base, whole, train, place)], "docs": [list(docs)],
                 "tokens": [int(whole[train].sum())], "texts": [int((train & np.array(begins)).sum())], "words": [len(rank)],
             })
 
@@ -168,6 +172,11 @@ def dealt(spot: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(spot[order], np.arange(buckets + 1))
 
 
+def ranged(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each word; in the order of their mixed keys, so is this."""
+    return ((mixed(keys) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
 def runs_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where runs of equal values begin, and the number of each entry's run."""
     new = np.r_[True, h[1:] != h[:-1]][: len(h)]
@@ -179,9 +188,9 @@ class Flush:
     level and place a local number of the n-gram that ends there, its name (-1:
     unknown) and its count in training."""
 
-    def __init__(self, keys: np.ndarray, body: bytes, order: int, total: int, texts: int, buckets: dict[int, int], spread: int):
-        self.keys, self.order, self.total, self.texts, self.buckets, self.spread = keys, order, total, texts, buckets, spread
-        self.tok, self.text, self.sizes, self.train = unpacked(body)
+    def __init__(self, body: bytes, order: int, total: int, texts: int, buckets: dict[int, int], spread: int):
+        self.order, self.total, self.texts, self.buckets, self.spread = order, total, texts, buckets, spread
+        self.tok, self.text, self.sizes, self.train, self.place = unpacked(body)
         whole = self.sizes + order - 1
         self.piece = np.repeat(np.arange(len(whole)), whole)
         self.at = np.arange(len(self.tok)) - np.repeat(np.cumsum(whole) - whole, whole)
@@ -190,12 +199,11 @@ class Flush:
 
     def words(self, blocks: list[bytes]) -> None:
         """Takes the answers of level 1."""
-        order, _ = dealt(mixed(self.keys) % np.uint64(self.buckets[1]), self.buckets[1])
-        c, name = np.zeros(len(self.keys) + 1, np.int64), np.full(len(self.keys) + 1, -1)
+        c, name = np.zeros(len(self.place) + 1, np.int64), np.full(len(self.place) + 1, -1)
         c[0], name[0] = self.texts, 0
         found = [unpacked(b) for b in blocks]
         if found:
-            c[1 + order], name[1 + order] = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+            c[1:], name[1:] = (np.concatenate([f[i] for f in found])[self.place] for i in (0, 1))
         name[c == 0] = -1
         self.local[1], self.count[1], self.name[1] = self.tok, c[self.tok], name[self.tok]
 
@@ -203,7 +211,7 @@ class Flush:
         """Distinct n-grams of level k whose history is known, in the order of the buckets."""
         use = (self.at >= k - 1) & (self.tok > 0) & np.r_[False, self.count[k - 1][:-1] > 0]
         self.p = p = np.flatnonzero(use if k < self.order else use & self.event)
-        word = np.where(self.count[1][p] > 0, self.tok[p], len(self.keys) + 1)
+        word = np.where(self.count[1][p] > 0, self.tok[p], len(self.place) + 1)
         _, inv = np.unique(self.local[k - 1][p - 1] << 32 | word, return_inverse=True)
         n = int(inv.max(initial=-1)) + 1
         some = np.empty(n, np.int64)
@@ -336,8 +344,8 @@ def score(docs: DataFrame, learn, order: int = ORDER) -> DataFrame:
     folder = f"{shared_folder(spark)}/katz-{uuid.uuid4().hex}"
     # Whole numbers with nulls among them would become floats in pandas.
     docs = docs.select(F.col("doc_id").cast("string").alias("doc"), "text", F.coalesce(learn, F.lit(False)).alias("train"))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    state = cut(flushes(docs, order).repartition(partitions, "flush"))
+    flushes(docs, order).write.parquet(f"{folder}/flushes")
+    state = spark.read.parquet(f"{folder}/flushes")
     total, texts, words = state.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "texts", "words"))).first()
     buckets = {1: max(8, -(-words // KEYS))} | {k: max(8, -(-total // KEYS)) for k in range(2, order + 1)}
     gives: list[np.ndarray] = []
@@ -346,7 +354,7 @@ def score(docs: DataFrame, learn, order: int = ORDER) -> DataFrame:
 
     def ready(row, answers: pd.DataFrame, upto: int) -> Flush:
         """A flush with the answers up to a level."""
-        flush = Flush(unpacked(row["keys"])[0], row["body"], order, total, texts, buckets, SPREAD)
+        flush = Flush(row["body"], order, total, texts, buckets, SPREAD)
         answers = answers.sort_values(["level", "bucket"])
         for k in range(1, upto + 1):
             mine = answers[answers["level"] == k]
@@ -363,8 +371,8 @@ def score(docs: DataFrame, learn, order: int = ORDER) -> DataFrame:
         for part in parts:
             for flush, keys, seen in zip(part["flush"], part["keys"], part["seen"], strict=True):
                 (keys,), (seen,) = unpacked(keys), unpacked(seen)
-                by, edges = dealt(mixed(keys) % np.uint64(buckets[1]), buckets[1])
-                out = [(b, flush, packed(keys[by[s:e]], seen[by[s:e]])) for b, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if e > s]
+                edges = np.searchsorted(ranged(keys, buckets[1]), np.arange(buckets[1] + 1))
+                out = [(b, flush, packed(keys[s:e], seen[s:e])) for b, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if e > s]
                 yield pd.DataFrame(out, columns=["bucket", "flush", "data"])
 
     def asking(k: int):
@@ -383,7 +391,7 @@ def score(docs: DataFrame, learn, order: int = ORDER) -> DataFrame:
         every = frames[0]
         for more in frames[1:]:
             every = every.unionByName(more)
-        return state.select("flush", "keys", "body", "docs").groupBy("flush").cogroup(every.groupBy("flush"))
+        return state.select("flush", "body", "docs").groupBy("flush").cogroup(every.groupBy("flush"))
 
     request = "bucket long, flush long, data binary"
     distinct = 0
@@ -393,6 +401,7 @@ def score(docs: DataFrame, learn, order: int = ORDER) -> DataFrame:
         table = spark.read.schema(ANSWER).parquet(f"{folder}/{k}")
         stat = table.where("kind = 'stat'").agg(*(F.coalesce(F.sum(F.col("tally")[i]), F.lit(0)) for i in range(LOW + 2))).first()
         gives.append(given_up(discounts(list(stat[:-1]))))
+        free_shuffles(spark)
         if k == 1:
             distinct = sum(stat)
             rest = float(np.array(stat) @ np.r_[gives[0], REST]) / total if total else 1.0
