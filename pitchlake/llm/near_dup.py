@@ -1,51 +1,60 @@
 """Operator 10: near-duplicate texts by Order MinHash and banded alignment.
 
 A text's words are cut into runs of five.  Each run carries the number of its
-occurrence, so repeated runs differ.  A sketch is the ``TUPLE`` labelled runs
-that are least under one random order, kept in the order of the text; equal
-sketches therefore speak for a small edit distance and not only for shared
-words.  Texts that agree in one of ``SKETCHES`` sketches are candidates.  Inside
-a bucket a text is first held against the bucket's first text and against its
-neighbours in the order of the next sketch, which unites most copies in pairs
-linear in the rows.  Buckets that still hold several classes go on: their text of
-most accepted pairs is held against the others, and in the end all pairs of
-different classes are, in blocks, so that every two texts of a bucket are in one
-class or were compared.  There, counts of words (128 bins of them) bound the edits from
-below before a pair leaves its block.  A candidate pair is accepted if a banded
-alignment of its words needs at most (1 - similarity) edits for each word of the
-longer text.  Components of accepted pairs are the classes.
+occurrence, so repeated runs differ.  A sketch is the few labelled runs that are
+least under one random order, kept in the order of the text; equal sketches
+therefore speak for a small edit distance and not only for shared words.  There
+are sketches of two runs, and some of one run for heavily edited texts; texts of
+at most ``SHORT`` words also have some of shorter runs, of which an edit spoils
+fewer.  Texts that agree in one sketch (a bucket) are candidates.
+
+Every text of a bucket is first held against the bucket's least text, which unites
+most copies in pairs linear in the rows.  Buckets that still hold several classes
+go on: their text of most accepted pairs is held against the others, and in the
+end all pairs of different classes are, in blocks, so that every two texts of a
+bucket are in one class or were compared.  There, counts of words (128 bins of
+them) bound the edits from below before a pair leaves its block.  A candidate pair
+is accepted if a banded alignment of its words needs at most (1 - similarity)
+edits for each word of the longer text.  Components of accepted pairs are the
+classes.
 
 Copies (equal words, whatever the white space and case) are one node throughout.
-A large bucket is dealt over several tasks by a salt.
+A large bucket is dealt over several tasks: least texts and counts are added up
+before the shuffle, what is left is joined on both sides shuffled, so that a hot
+bucket's rows can be split.  All-pairs blocks stay quadratic in a bucket of many
+texts that are unlike each other.
 
 Defined results: null and empty texts, and texts of white space, are a class of
-their own each; texts shorter than five words count as one run; a null doc_id
-never names a class unless all of the class have none; repeated rows are kept and
-share a class; ties fall to the least doc_id; extra columns are ignored; an empty
-table gives an empty result.  Texts are read and aligned whole.
+their own each; texts shorter than a run count as one run; a null doc_id never
+names a class unless all of the class have none; repeated rows are kept and share
+a class; ties fall to the least doc_id; extra columns are ignored; an empty table
+gives an empty result.  Texts are read and aligned whole.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import Memo, cut, small_batches
+from pitchlake.llm.common import Memo, cut, delete_folder, shared_folder, small_batches
 from pitchlake.llm.components import components
 
-RUN, SKETCHES, TUPLE, SIMILARITY = 5, 32, 3, 0.8
-#: Rows of a bucket that one task orders at once.
+RUN, SIMILARITY = 5, 0.8
+#: Sketches of so many runs each; those of short texts are of runs of two words.
+PAIRS, SINGLES, SHORT, SHORT_RUN, SHORT_SINGLES = 24, 8, 30, 2, 12
+#: Rows of a bucket that one task compares at once.
 BLOCK = 500
 #: Bins of a text's counts of words.
 BINS = 128
-#: Texts to align that may be sent to every executor (checked).
-FEW = 100_000
+#: Tasks over which the rows of one class are dealt when it is named.
+SALT = 32
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -57,17 +66,20 @@ def scrambled(x: np.ndarray) -> np.ndarray:
 
 
 class Sketcher:
-    def __init__(self, sketches: int = SKETCHES, size: int = TUPLE, run: int = RUN):
+    def __init__(self):
         make = np.random.default_rng(10)
-        self.size, self.run = size, run
-        self.turns = make.integers(0, 1 << 63, sketches, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.names = make.integers(0, 1 << 63, sketches, dtype=np.uint64)
+        n = PAIRS + SINGLES + SHORT_SINGLES
+        self.turns = make.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.names = make.integers(0, 1 << 63, n, dtype=np.uint64)
         self.word = Memo(xxhash.xxh3_64_intdigest)
 
-    def runs(self, words: list[str]) -> np.ndarray:
-        """Hashes of the labelled runs of five words, in the order of the text."""
-        ids = np.fromiter(map(self.word.__getitem__, words), np.uint64, len(words))
-        width = min(self.run, len(ids))
+    def ids(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.word.__getitem__, words), np.uint64, len(words))
+
+    @staticmethod
+    def runs(ids: np.ndarray, run: int = RUN) -> np.ndarray:
+        """Hashes of the labelled runs of words, in the order of the text."""
+        width = min(run, len(ids))
         n = len(ids) - width + 1
         h = np.zeros(n, np.uint64)
         for k in range(width):
@@ -83,30 +95,37 @@ class Sketcher:
             h = h + label * np.uint64(0xD6E8FEB86659FD93)
         return scrambled(h)
 
-    def bag(self, words: list[str]) -> bytes:
+    @staticmethod
+    def bag(ids: np.ndarray) -> bytes:
         """Counts of words in bins, 255 at most.  One edit changes the sum of
         the differences of two bags by two at most."""
-        ids = np.fromiter(map(self.word.__getitem__, words), np.uint64, len(words))
         counts = np.bincount((scrambled(ids) % np.uint64(BINS)).astype(np.int64), minlength=BINS)
         return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
-    def sketch(self, words: list[str]) -> np.ndarray:
-        runs = self.runs(words)
-        size = min(self.size, len(runs))
+    def least(self, runs: np.ndarray, at: slice, size: int) -> np.ndarray:
+        """Sketches: names of the ``size`` (1 or 2) least runs, in their order."""
+        turns, out = self.turns[at], self.names[at].copy()
         step = max(1, 2_000_000 // len(runs))
-        out = np.empty(len(self.turns), np.uint64)
-        for k in range(0, len(self.turns), step):
-            turns = self.turns[k : k + step]
-            ranks = turns[:, None] * runs[None, :]
-            at = np.argpartition(ranks, size - 1, axis=1)[:, :size] if size < len(runs) else np.tile(np.arange(size), (len(turns), 1))
-            at.sort(axis=1)
-            h = self.names[k : k + step].copy()
-            for c in range(size):
-                h = (h ^ runs[at[:, c]]) * MIX
+        for k in range(0, len(turns), step):
+            ranks = turns[k : k + step, None] * runs[None, :]
+            places = [ranks.argmin(axis=1)]
+            if size > 1 and len(runs) > 1:
+                ranks[np.arange(len(ranks)), places[0]] = np.iinfo(np.uint64).max
+                p, q = places[0], ranks.argmin(axis=1)
+                places = [np.minimum(p, q), np.maximum(p, q)]
+            h = out[k : k + step]
+            for p in places:
+                h[:] = (h ^ runs[p]) * MIX
                 h ^= h >> np.uint64(31)
-            out[k : k + step] = h
         return out
 
+    def sketch(self, ids: np.ndarray) -> np.ndarray:
+        runs = self.runs(ids)
+        found = [self.least(runs, slice(PAIRS), 2), self.least(runs, slice(PAIRS, PAIRS + SINGLES), 1)]
+        if len(ids) <= SHORT:
+            found.append(self.least(self.runs(ids, SHORT_RUN), slice(PAIRS + SINGLES, None), 1))
+        return np.concatenate(found)
+
 
 def words_of(text: str | None) -> list[str]:
     return text.lower().split() if text else []
@@ -199,58 +218,80 @@ def aligned(p: np.ndarray, q: np.ndarray, least: float = SIMILARITY) -> bool:
     return edits_within(p.tolist(), q.tolist(), most) is not None
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, key (of the words), n (words), bag, sketch; texts without words
-    have a null key."""
-    small_batches(docs.sparkSession)
+def text_key(text: Column) -> Column:
+    """Key of a text's words; null for a text without words."""
+
+    @F.pandas_udf("binary")
+    def keys(texts: pd.Series) -> pd.Series:
+        return pd.Series([key_of(w) if (w := words_of(t)) else None for t in texts], dtype=object)
+
+    return keys(text)
+
+
+def sketches(texts: DataFrame) -> DataFrame:
+    """doc_id (least), key, n (words), bag, sketch: a row for each different text."""
+    small_batches(texts.sparkSession)
 
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        maker = Sketcher()
+        maker, lately = Sketcher(), set()
         for part in parts:
             out = []
             for doc_id, text in zip(part["id"], part["text"], strict=True):
-                words = words_of(text)
-                sketch = maker.sketch(words).view(np.int64) if words else None
-                bag = maker.bag(words) if words else None
-                out.append((doc_id, key_of(words) if words else None, len(words), bag, sketch))
+                if words := words_of(text):
+                    key, made = key_of(words), (0, None, None)
+                    if key not in lately:  # copies near each other are sketched once
+                        ids = maker.ids(words)
+                        made = len(words), maker.bag(ids), maker.sketch(ids).view(np.int64)
+                        lately.add(key)
+                    out.append((doc_id, key, *made))
+            if len(lately) > 200_000:
+                lately.clear()
             yield pd.DataFrame(out, columns=["id", "key", "n", "bag", "sketch"])
 
     # Whole numbers with nulls among them would become floats in pandas.
-    ids = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
+    ids = texts.select(F.col("doc_id").cast("string").alias("id"), "text")
     made = ids.mapInPandas(rows, "id string, key binary, n long, bag binary, sketch array<long>")
-    return made.select(F.col("id").cast("long").alias("doc_id"), "key", "n", "bag", "sketch")
-
-
-def candidates(nodes: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of nodes (node, n, sketch)."""
-    i = F.posexplode("sketch").alias("i", "bucket")
-    after = F.element_at("sketch", (F.col("i") + 1) % SKETCHES + 1).alias("after")
-    rows = nodes.select("node", "n", "sketch", i).select("bucket", "node", "n", after)
-    shared = cut(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("node", "n")).alias("first")).where("rows > 1"))
-    inside = rows.join(shared, "bucket")
-    salt = F.pmod(F.xxhash64("after"), F.ceil(F.col("rows") / BLOCK))
-    more = F.pmod("node", F.ceil(F.col("rows") / (200 * BLOCK)))
-    near = W.partitionBy("bucket", salt, more).orderBy("after", "n", "node")
-    me = F.struct("node", "n")
-    beside = inside.select(me.alias("p"), F.array("first", F.lag(me, 1).over(near), F.lag(me, 2).over(near)).alias("qs"))
-    pairs = beside.select("p", F.explode("qs").alias("q"))
-    fits = F.least("p.n", "q.n") >= F.greatest("p.n", "q.n") * least
-    return (
-        pairs.where("q is not null and p.node <> q.node")
-        .where(fits)
-        .select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b"))
-        .distinct()
+    return made.groupBy("key").agg(
+        F.min(F.col("id").cast("long")).alias("doc_id"), F.max("n").alias("n"), F.first("bag", True).alias("bag"), F.first("sketch", True).alias("sketch")
     )
 
 
-def unsettled(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """bucket, rows (of the bucket), node, root, n, bag of the buckets that hold
-    several classes."""
-    known = nodes.select("node", "n", "bag", "sketch").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = known.select("node", "root", F.explode("sketch").alias("bucket"))
-    several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("p"), F.max("root").alias("q")).where("p < q")
-    inside = rows.join(cut(several.select("bucket", "rows")), "bucket")
-    return cut(inside.join(known.select("node", "n", "bag"), "node"))
+def buckets(nodes: DataFrame, folder: str) -> DataFrame:
+    """bucket, rows (in it), first (its least node), node: buckets of several
+    nodes, as a written table."""
+    rows = nodes.select("node", F.explode("sketch").alias("bucket"))
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("first")).where("rows > 1")
+    rows.join(cut(shared), "bucket").write.parquet(f"{folder}/buckets")
+    return nodes.sparkSession.read.parquet(f"{folder}/buckets")
+
+
+def fitting(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose lengths allow the similarity."""
+    sized = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"))
+    both = pairs.join(sized("a"), "a").join(sized("b"), "b")
+    return both.where(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least - 1e-9).select("a", "b")
+
+
+def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """rows (node, ...) with root, a node's own number where it has no other."""
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def unsettled(inside: DataFrame, firsts: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
+    """bucket, rows, node, root, n, bag of the buckets that hold several classes.
+    firsts: (a, b), distinct, of a bucket's first node and another of it."""
+    of_first = rooted(firsts.withColumnRenamed("a", "node"), roots).select(F.col("node").alias("first"), F.col("b").alias("node"), F.col("root").alias("of"))
+    apart = rooted(of_first, roots).where("root <> of").select("first", "node")
+    several = inside.join(apart, ["first", "node"], "left_semi").select("bucket").distinct()
+    left = inside.join(several, "bucket", "left_semi").select("bucket", "rows", "node")
+    return cut(rooted(left.join(nodes.select("node", "n", "bag"), "node"), roots))
+
+
+def still_apart(left: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of ``left``, with new roots, of buckets that hold several classes."""
+    now = cut(rooted(left.drop("root"), roots))
+    several = now.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p < q").select("bucket")
+    return now.join(several, "bucket", "left_semi")
 
 
 def to_hubs(left: DataFrame, found: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -258,7 +299,7 @@ def to_hubs(left: DataFrame, found: DataFrame, least: float = SIMILARITY) -> Dat
     its texts of other classes."""
     degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     hub = left.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node", "root", "n")).alias("hub"))
-    fits = F.least("n", "hub.n") >= F.greatest("n", "hub.n") * least
+    fits = F.least("n", "hub.n") >= F.greatest("n", "hub.n") * least - 1e-9
     met = left.join(hub, "bucket").where(F.col("root") != F.col("hub.root")).where(fits)
     return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
@@ -291,62 +332,77 @@ def between(left: DataFrame, least: float = SIMILARITY) -> DataFrame:
     return both.groupBy("bucket", "i", "j").applyInPandas(near, "a long, b long").distinct()
 
 
-def united(nodes: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """(node, root) of nodes in classes of several."""
-    tried = cut(candidates(nodes, least))
-    found = cut(accepted(tried, nodes, docs, least))
-    roots = cut(components(found))
-    for last in (False, True):
-        left = unsettled(nodes, roots)
-        more = cut((between(left, least) if last else to_hubs(left, found, least)).join(tried, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            continue
-        new = cut(accepted(more, nodes, docs, least))
-        tried = tried.unionByName(more)
-        if not new.isEmpty():
-            found = found.unionByName(new)
-            roots = cut(components(found))
-    return roots
-
+def packed_texts(docs: DataFrame, nodes: DataFrame, folder: str) -> DataFrame:
+    """node, data (the words, compressed), as a written table: one row for each of
+    ``nodes`` (node, key), whatever the copies."""
+    small_batches(docs.sparkSession)
 
-def accepted(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs whose words align.  nodes: node, doc_id, key."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    where = cut(nodes.select("node", F.col("doc_id").alias("id"), "key").join(wanted, "node"))
-    if where.count() <= FEW:
-        where = F.broadcast(where)
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    texts = cut(texts.join(where, texts["id"].eqNullSafe(where["id"])).select("node", "key", "text"))
-    side = lambda c: texts.select(F.col("node").alias(c), F.struct("key", "text").alias(f"of_{c}"))
+    def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        press, lately = zstandard.ZstdCompressor(level=3), set()
+        for part in parts:
+            out = []
+            for text in part["text"]:
+                if (words := words_of(text)) and (key := key_of(words)) not in lately:
+                    lately.add(key)
+                    out.append((key, press.compress(" ".join(words).encode("utf-8", "surrogatepass"))))
+            if len(lately) > 200_000:
+                lately.clear()
+            yield pd.DataFrame(out, columns=["key", "data"])
+
+    once = docs.select("text").mapInPandas(rows, "key binary, data binary").groupBy("key").agg(F.first("data").alias("data"))
+    once.join(nodes.select("node", "key"), "key").select("node", "data").write.parquet(f"{folder}/texts")
+    return docs.sparkSession.read.parquet(f"{folder}/texts")
+
+
+def accepted(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The pairs whose words align."""
+    small_batches(pairs.sparkSession)
+    side = lambda c: texts.select(F.col("node").alias(c), F.col("data").alias(f"of_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def align(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = Memo(xxhash.xxh3_64_intdigest)
-        lately: dict[int, np.ndarray | None] = {}
-
-        def known(node: int, of) -> np.ndarray | None:
-            """Word hashes of a node's text; None for another text of its doc_id."""
-            key, text = bytes(of["key"]), of["text"]
-            if (node, key) not in lately:
-                words = words_of(text)
-                if key_of(words) != key:
-                    return None
+        number, press = Memo(xxhash.xxh3_64_intdigest), zstandard.ZstdDecompressor()
+        lately: dict[int, np.ndarray] = {}
+
+        def known(node: int, data: bytes) -> np.ndarray:
+            """Word hashes of a node's text."""
+            if node not in lately:
                 if len(lately) > 200:
                     lately.clear()
-                lately[node, key] = np.fromiter(map(number.__getitem__, words), np.uint64, len(words))
-            return lately[node, key]
+                words = press.decompress(data).decode("utf-8", "surrogatepass").split(" ")
+                lately[node] = np.fromiter(map(number.__getitem__, words), np.uint64, len(words))
+            return lately[node]
 
         for part in parts:
-            kept = []
-            for a, b, x, y in zip(part["a"], part["b"], part["of_a"], part["of_b"], strict=True):
-                p, q = known(a, x), known(b, y)
-                if p is not None and q is not None and aligned(p, q, least):
-                    kept.append((a, b))
+            kept = [(a, b) for a, b, x, y in zip(part["a"], part["b"], part["of_a"], part["of_b"], strict=True) if aligned(known(a, x), known(b, y), least)]
             yield pd.DataFrame(kept, columns=["a", "b"], dtype=np.int64)
 
     return both.mapInPandas(align, "a long, b long")
 
 
+def united(nodes: DataFrame, docs: DataFrame, folder: str, least: float = SIMILARITY) -> DataFrame:
+    """(node, root) of nodes in classes of several."""
+    inside = buckets(nodes, folder)
+    firsts = cut(inside.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
+    tried = cut(fitting(firsts, nodes, least))
+    wanted = inside.select("node").distinct()
+    texts = packed_texts(docs, nodes.select("node", "key").join(wanted, "node", "left_semi"), folder)
+    found = cut(accepted(tried, texts, least))
+    roots = cut(components(found))
+    left = unsettled(inside, firsts, roots, nodes)
+    for last in (False, True):
+        if left.isEmpty():
+            break
+        more = cut((between(left, least) if last else to_hubs(left, found, least)).join(tried, ["a", "b"], "left_anti"))
+        if not more.isEmpty():
+            new = cut(accepted(more, texts, least))
+            tried, found = tried.unionByName(more), found.unionByName(new)
+            if not new.isEmpty():
+                roots = cut(components(found))
+                left = still_apart(left, roots)
+    return roots
+
+
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (least doc_id of its class), kept (doc_id = class_id)."""
     return _classes(docs, least).select("doc_id", "class_id", "kept")
@@ -354,18 +410,19 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 def _classes(docs: DataFrame, least: float) -> DataFrame:
     """The same with key and root, the class's node."""
-    docs = docs.select("doc_id", "text")
-    made = cut(sketches(docs))
-    copies = made.where("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bag").alias("bag"), F.first("sketch").alias("sketch")
-    )
-    nodes = cut(copies.withColumn("node", F.monotonically_increasing_id()))
-    roots = united(nodes, docs, least)
-    known = nodes.select("key", "doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = cut(known.select("key", "doc_id", "root"))
-    least_id = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    by_key = cut(named.join(least_id, "root").select("key", "root", "class_id"))
-    ids = made.select("doc_id", "key")
+    spark, docs = docs.sparkSession, docs.select("doc_id", "text")
+    folder = f"{shared_folder(spark)}/near-{uuid.uuid4().hex}"
+    nodes = cut(sketches(docs).withColumn("node", F.monotonically_increasing_id()))
+    roots = united(nodes, docs, folder, least)
+    # Only classes of several texts are looked up by root; one may hold a third of
+    # all texts, so its name goes to SALT tasks.
+    some = cut(nodes.select("key", "doc_id", "node").join(roots, "node").withColumn("salt", F.pmod("node", F.lit(SALT))))
+    names = some.groupBy("root").agg(F.min("doc_id").alias("class_id")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
+    by_root = some.join(names, ["root", "salt"]).select("key", "root", "class_id")
+    alone = nodes.select("key", "doc_id", "node").join(roots, "node", "left_anti").select("key", F.col("node").alias("root"), F.col("doc_id").alias("class_id"))
+    by_key = cut(by_root.unionByName(alone))
+    delete_folder(spark, folder)
+    ids = docs.select("doc_id", text_key(F.col("text")).alias("key"))
     return ids.join(by_key, "key", "left").select(
         "doc_id", "key", "root",
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
@@ -377,7 +434,6 @@ def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     doc_id are one document and stay together; another text of a dropped doc_id
     is judged by its own class.  Of a class without any doc_id the least text
     key stays."""
-    small_batches(docs.sparkSession)
     found = cut(_classes(docs, least))
     named = found.where("key is not null")
     nameless = named.where("class_id is null").groupBy("root").agg(F.min("key").alias("key"))
@@ -385,11 +441,6 @@ def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         named.where("class_id is null").join(nameless, ["root", "key"], "left_anti").select("doc_id", "key")
     )
     gone = gone.select(F.col("doc_id").alias("gone"), F.col("key").alias("gone_key")).distinct()
-
-    @F.pandas_udf("binary")
-    def keys(texts: pd.Series) -> pd.Series:
-        return pd.Series([key_of(w) if (w := words_of(t)) else None for t in texts], dtype=object)
-
-    rows = docs.select(F.struct("*").alias("whole"), keys("text").alias("key"))
+    rows = docs.select(F.struct("*").alias("whole"), text_key(F.col("text")).alias("key"))
     same = F.col("whole.doc_id").eqNullSafe(F.col("gone")) & (F.col("key") == F.col("gone_key"))
     return rows.join(gone, same, "left_anti").select("whole.*")

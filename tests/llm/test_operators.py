@@ -329,6 +329,89 @@ def test_null_and_repeated_ids(spark):
         assert Counter(map(tuple, decontaminate.clean(d, items, most=m).collect())) == Counter([(None, "fine"), (1, "fine too")])
 
 
+def greedy_tiles(a, b, least=5):
+    """Greedy string tiling by trying every place."""
+    on_a, on_b, out = [False] * len(a), [False] * len(b), []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and not on_a[i + n] and not on_b[j + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < least:
+            return out
+        on_a[i : i + n] = on_b[j : j + n] = [True] * n
+        out.append((i, j, n))
+
+
+def brute_hits(docs, items, threshold=0.8):
+    out = Counter()
+    for doc_id, text in docs:
+        d = decontaminate.tokens(text)
+        for item_id, passage in items:
+            p = decontaminate.tokens(passage)
+            if 0 < len(p) < 5:
+                n = len(p)
+                if d == p or (n >= 3 and any(d[k : k + n] == p for k in range(len(d) - n + 1))):
+                    out[doc_id, item_id, 1.0, 1, n] += 1
+            elif p:
+                tiles = greedy_tiles(p, d)
+                covered = sum(n for _, _, n in tiles)
+                if covered >= threshold * len(p):
+                    out[doc_id, item_id, round(covered / len(p), 9), len(tiles), tiles[0][2]] += 1
+    return out
+
+
+def test_tiles_equal_brute_force():
+    r = random.Random(11)
+    for k in range(250):
+        item = [r.randrange(1, 3 + k % 5) for _ in range(r.randrange(5, 40))]
+        doc = [r.randrange(1, 3 + k % 5) for _ in range(r.randrange(5, 60))]
+        doc[3:3] = item[r.randrange(len(item)) :]
+        want = greedy_tiles(item, doc)
+        a, b = np.array(item, np.uint64), np.array(doc, np.uint64)
+        h, g = decontaminate.rolling(a), decontaminate.rolling(b)
+        assert decontaminate.tiling(a, b, np.nonzero(h[:, None] == g[None, :])) == want
+        assert decontaminate.crowded(a, b) == want
+
+
+def test_decontamination_equals_brute_force(spark):
+    """Both ways, with nulls, repeats, short items, empty texts, long repeats and clashing columns."""
+    r = random.Random(12)
+    word = lambda: f"w{r.randrange(60)}"
+    items = [(i if i else None, " ".join(word() for _ in range(r.choice([1, 2, 3, 4, 5, 12, 30])))) for i in range(25)] + [(90, None), (91, ""), (92, "a " * 60), (92, "a " * 60)]
+    docs = [(k, " ".join(word() for _ in range(30))) for k in range(15)] + [(None, None), (50, ""), (51, "a " * 300)]
+    for k, (_, text) in enumerate(items[:25] * 2):
+        words = text.split()
+        cut = r.randrange(len(words) + 1)
+        docs.append((100 + k // 2 if k % 5 else None, " ".join([word(), *words[cut:], word(), *words[:cut], word()]) if k < 25 else text))
+    want = brute_hits(docs, items)
+    d = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in docs], "doc_id long, text string, item_id int, row int, n int")
+    b = spark.createDataFrame([(i, t, 1, 2) for i, t in items], "item_id long, text string, doc_id int, whole int")
+    gone = Counter()
+    for (doc_id, text) in docs:
+        gone[doc_id, text] += not brute_hits([(0, text)], items)
+    for most in (decontaminate.MOST_CHARS, 0):
+        got = decontaminate.contaminated(d, b, most=most).collect()
+        assert Counter((*x[:2], round(x[2], 9), *x[3:]) for x in got) == want
+        assert Counter((x["doc_id"], x["text"]) for x in decontaminate.clean(d, b, most=most).collect()) == +gone
+        assert decontaminate.contaminated(d.limit(0), b, most=most).count() == 0 == decontaminate.contaminated(d, b.limit(0), most=most).count()
+
+
+def test_long_repeats_take_little_memory():
+    import tracemalloc
+
+    index = decontaminate.Index([(1, "a " * 1000)], 0.8)
+    tracemalloc.start()
+    assert index.hits("a " * 20_000) == [(1, 1.0, 1, 1000)]
+    assert tracemalloc.get_traced_memory()[1] < 60_000_000
+    tracemalloc.stop()
+
+
 # 10. Near duplicates
 
 
@@ -381,7 +464,7 @@ def test_a_family_of_edits_stays_together(spark):
     texts = [[f"e{r.randrange(10**6)}" if k and r.random() < 0.13 else w for w in base] for k in range(90)]
     r.shuffle(texts)
     maker, root = near_dup.Sketcher(), list(range(len(texts)))
-    sketch = [set(maker.sketch(t).tolist()) for t in texts]
+    sketch = [set(maker.sketch(maker.ids(t)).tolist()) for t in texts]
 
     def top(i):
         return i if root[i] == i else top(root[i])
@@ -395,6 +478,68 @@ def test_a_family_of_edits_stays_together(spark):
     assert {x["doc_id"]: x["class_id"] for x in near_dup.classes(df).collect()} == {i: top(i) for i in range(len(texts))}
 
 
+def edited(words, share, r):
+    """Scattered substitutions, insertions and deletions, ``share`` of the words in all."""
+    out = list(words)
+    for at in sorted(r.sample(range(len(words)), int(share * len(words))), reverse=True):
+        kind = r.random()
+        out[at : at + 1] = [] if kind < 0.1 else [f"n{r.randrange(10**6)}"] if kind < 0.9 else [out[at], f"n{r.randrange(10**6)}"]
+    return out
+
+
+@pytest.mark.parametrize(("length", "share"), [(200, 0.1), (200, 0.15), (200, 0.19), (1000, 0.19), (60, 0.19), (24, 0.15), (10, 0.1)])
+def test_recall_of_sketches(length, share):
+    """Of the pairs that alignment accepts, at least 9 in 10 share a bucket."""
+    r, maker, met, all_pairs = random.Random(8), near_dup.Sketcher(), 0, 0
+    for _ in range(300):
+        a = [f"w{r.randrange(5000)}" for _ in range(length)]
+        b = edited(a, share, r)
+        if near_dup.similar(a, b):
+            all_pairs += 1
+            met += bool(set(maker.sketch(maker.ids(a)).tolist()) & set(maker.sketch(maker.ids(b)).tolist()))
+    assert all_pairs > 100 and met >= 0.9 * all_pairs
+
+
+def test_classes_equal_brute_force(spark, sf_dir):
+    """All pairs of the table's documents, aligned."""
+    rows = [(r["doc_id"], r["text"]) for r in rows_of(sf_dir, "documents")]
+    words = [near_dup.words_of(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def top(i):
+        return i if root[i] == i else top(root[i])
+
+    for i in range(len(rows)):
+        for j in range(i):
+            n, m = len(words[i]), len(words[j])
+            if min(n, m) and min(n, m) >= 0.8 * max(n, m) - 1e-9 and top(i) != top(j) and near_dup.similar(words[i], words[j]):
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        least[top(i)] = min(doc_id, least.get(top(i), doc_id))
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.classes(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()}
+    assert got == {doc_id: least[top(i)] for i, (doc_id, _) in enumerate(rows)}
+
+
+def test_near_duplicates_without_ids(spark):
+    """Several null ids make no row more than once."""
+    r = random.Random(9)
+    base = [f"b{r.randrange(5000)}" for _ in range(80)]
+    rows = [(None if k % 2 else k, " ".join(edited(base, 0.04, r))) for k in range(30)] + [(None, "x y z")] * 2
+    got = near_dup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((x["doc_id"], x["class_id"]) for x in got) == Counter([(None if k % 2 else k, 0) for k in range(30)] + [(None, None)] * 2)
+    left = near_dup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(x["doc_id"] for x in left) == Counter({0: 1, None: 2})
+
+
+def test_a_very_long_text(spark):
+    r = random.Random(13)
+    long = [f"w{r.randrange(9973)}" for _ in range(200_000)]
+    rows = [(1, " ".join(long)), (2, " ".join([*long[:1000], "other", *long[1000:]])), (3, " ".join(long[::-1]))]
+    got = near_dup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x["doc_id"]: x["class_id"] for x in got} == {1: 1, 2: 1, 3: 3}
+
+
 def test_one_of_each_with_null_and_repeated_ids(spark):
     text = lambda n: " ".join(f"{n}w{i}" for i in range(40))
     rows = [(1, text("a")), (2, text("a")), (2, text("b")), (None, text("a")), (None, text("c")), (None, text("c") + " end"), (None, None)]
