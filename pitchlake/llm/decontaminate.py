@@ -8,14 +8,18 @@ Tiles may stand in another order than in the item, so a reordered passage is
 caught.  A document is contaminated if tiles cover at least ``threshold`` of an
 item's tokens.
 
+Where texts repeat themselves so much that equal seeds are more than ``MANY``
+pairs, matches are searched by length instead, in memory linear in both texts.
+
 A benchmark of at most ``MOST_CHARS`` characters (checked) goes to all executors
 and documents are read once, without a shuffle.  A larger one is joined on seed
 hashes instead, by a number given to each row of either table and written once;
-both ways give the same rows.
+only documents that share as many seeds as the threshold takes meet an item's
+text.  Both ways give the same rows.
 
-Defined results: null and empty texts and items match nothing; an item of fewer
-than five tokens has no seed and is never reported; equal items are reported
-each; ties between equally long matches go to the first place in the item, then
+Defined results: null and empty texts and items match nothing; an item of three
+or four tokens is matched whole, one of fewer only by a document of just these
+tokens; equal items are reported each; ties between equally long matches go to the first place in the item, then
 in the document; null ids and repeated rows are reported and removed row by row;
 extra columns are ignored; empty tables give an empty result.  Documents are read whole.
 """
@@ -35,8 +39,12 @@ from pyspark.sql import functions as F
 from pitchlake.llm.common import Memo, cut, small_batches
 
 LEAST, THRESHOLD = 5, 0.8
+#: Pairs of equal seeds that are held in memory at once.
+MANY = 1_000_000
 #: Characters of benchmark text that may be sent to every executor.
 MOST_CHARS = 20_000_000
+#: Shorter items are found only in documents of the same tokens.
+SHORTEST = 3
 HIT = "item_id long, coverage double, n_tiles int, longest int"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _word = re.compile(r"\w+")
@@ -88,6 +96,53 @@ def tiling(item: np.ndarray, doc: np.ndarray, pairs: tuple[np.ndarray, np.ndarra
     return found
 
 
+def crowded(item: np.ndarray, doc: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
+    """The same tiles without a list of seed pairs: the greatest length that any
+    unmarked run of both has is found by bisection on running hashes, its first
+    place is marked, and so on."""
+    sides = [item.astype(np.uint64), doc.astype(np.uint64)]
+    n = max(map(len, sides))
+    powers = np.cumprod(np.r_[np.uint64(1), np.full(n, BASE)])
+    heads = []
+    for x in sides:
+        h = np.zeros(len(x) + 1, np.uint64)
+        for i, v in enumerate(x.tolist()):
+            h[i + 1] = (int(h[i]) * int(BASE) + v) & 0xFFFFFFFFFFFFFFFF
+        heads.append(h)
+    taken = [np.zeros(len(x), bool) for x in sides]
+
+    def free(k: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the unmarked runs of one side."""
+        sums = np.r_[0, np.cumsum(taken[k])]
+        at = np.flatnonzero(sums[size:] == sums[:-size]) if size <= len(sides[k]) else np.zeros(0, np.int64)
+        return at, heads[k][at + size] - heads[k][at] * powers[size]
+
+    def first(size: int) -> tuple[int, int] | None:
+        (p, h), (q, g) = free(0, size), free(1, size)
+        known, where = np.unique(g, return_index=True)
+        for i in np.flatnonzero(np.isin(h, known)).tolist():
+            a, b = int(p[i]), int(q[where[np.searchsorted(known, h[i])]])
+            if (sides[0][a : a + size] == sides[1][b : b + size]).all():
+                return a, b
+        return None
+
+    found, most = [], min(map(len, sides))
+    while most >= least:
+        low, high, best = least, most, None
+        while low <= high:
+            size = (low + high) // 2
+            if hit := first(size):
+                best, low = (size, *hit), size + 1
+            else:
+                high = size - 1
+        if best is None:
+            break
+        most, a, b = best
+        taken[0][a : a + most] = taken[1][b : b + most] = True
+        found.append((a, b, most))
+    return found
+
+
 class Index:
     """Seeds of a benchmark."""
 
@@ -95,6 +150,7 @@ class Index:
         self.vocab: dict[str, int] = {}
         self.threshold = threshold
         self.items: list[tuple[int, np.ndarray]] = []
+        self.short: dict[int, list[tuple[int, np.ndarray]]] = {}
         hashes, owners, places = [], [], []
         for item_id, text in items:
             ids = np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in tokens(text)], np.uint64)
@@ -104,6 +160,8 @@ class Index:
                 owners.append(np.full(len(h), len(self.items)))
                 places.append(np.arange(len(h)))
                 self.items.append((item_id, ids))
+            elif len(ids):
+                self.short.setdefault(len(ids), []).append((item_id, ids))
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         order = np.argsort(h, kind="stable")
         self.hashes = h[order]
@@ -112,10 +170,22 @@ class Index:
 
     def hits(self, text: str | None) -> list[tuple[int, float, int, int]]:
         words = tokens(text)
-        if len(words) < LEAST or not len(self.hashes):
-            return []
         get = self.vocab.get
         ids = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
+        return self._whole(ids) + self._tiled(ids)
+
+    def _whole(self, ids: np.ndarray) -> list[tuple[int, float, int, int]]:
+        """Items too short for a seed."""
+        out = []
+        for width, items in self.short.items():
+            if len(ids) == width or (width >= SHORTEST and len(ids) > width):
+                runs = np.lib.stride_tricks.sliding_window_view(ids, width)
+                out += [(item_id, 1.0, 1, width) for item_id, item in items if (runs == item).all(axis=1).any()]
+        return out
+
+    def _tiled(self, ids: np.ndarray) -> list[tuple[int, float, int, int]]:
+        if len(ids) < LEAST or not len(self.hashes):
+            return []
         zeros = np.r_[0, np.cumsum(ids == 0)]
         at = np.flatnonzero(zeros[LEAST:] == zeros[:-LEAST])  # runs of known words only
         if not len(at):
@@ -128,29 +198,52 @@ class Index:
         found = np.flatnonzero(hi > lo)
         if not len(found):
             return []
-        many = hi[found] - lo[found]
-        entry = np.repeat(lo[found], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        doc_at, owner, place = np.repeat(at[found], many), self.owner[entry], self.place[entry]
+        lo, hi, at = lo[found], hi[found], at[found]
+        many = hi - lo
+        # Seeds that stand in the text, each once, and with them the items that may.
+        _, once = np.unique(lo, return_index=True)
+        met = _spans(lo[once], hi[once])
+        owner, place = self.owner[met], self.place[met]
+        order = np.argsort(owner, kind="stable")
+        owner, place = owner[order], place[order]
+        hopeful = [(i, p) for i, p in zip(*_groups(owner, place), strict=True) if self._may(i, p)]
+        if not hopeful:
+            return []
+        few = many.sum() <= MANY
+        if few:
+            entry = _spans(lo, hi)
+            doc_at, owner, place = np.repeat(at, many), self.owner[entry], self.place[entry]
+            keep = np.isin(owner, [i for i, _ in hopeful])
+            order = np.flatnonzero(keep)[np.argsort(owner[keep], kind="stable")]
+            pairs = dict(zip(*_groups(owner[order], order), strict=True))
         out = []
-        for i in np.unique(owner).tolist():
-            mine = owner == i
-            hit = judge(self.items[i][1], ids, (place[mine], doc_at[mine]), self.threshold)
-            if hit:
-                out.append((self.items[i][0], *hit))
+        for i, _ in hopeful:
+            item_id, item = self.items[i]
+            tiles = tiling(item, ids, (place[pairs[i]], doc_at[pairs[i]])) if few else crowded(item, ids)
+            covered = sum(n for _, _, n in tiles)
+            if covered >= self.threshold * len(item):
+                out.append((item_id, covered / len(item), len(tiles), tiles[0][2]))
         return out
 
+    def _may(self, i: int, places: np.ndarray) -> bool:
+        """Whether all seeds together cover enough: a bound of what tiles can."""
+        n = len(self.items[i][1])
+        bound = np.zeros(n, bool)
+        for k in range(LEAST):
+            bound[places + k] = True
+        return bound.sum() >= self.threshold * n
 
-def judge(item: np.ndarray, doc: np.ndarray, pairs, threshold: float) -> tuple[float, int, int] | None:
-    """coverage, number of tiles and longest tile, if coverage reaches the
-    threshold.  What all seeds cover together bounds what tiles can."""
-    bound = np.zeros(len(item), bool)
-    for k in range(LEAST):
-        bound[pairs[0] + k] = True
-    if bound.sum() < threshold * len(item):
-        return None
-    found = tiling(item, doc, pairs)
-    covered = sum(n for _, _, n in found)
-    return (covered / len(item), len(found), found[0][2]) if covered >= threshold * len(item) else None
+
+def _spans(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """All numbers from lo to hi - 1, span by span."""
+    many = hi - lo
+    return np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+
+
+def _groups(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """Values by key; the keys are in order."""
+    start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[start].tolist(), np.split(values, start[1:])
 
 
 NAMES = [x.split()[0] for x in HIT.split(", ")]
@@ -209,41 +302,58 @@ def numbered(df: DataFrame) -> DataFrame:
 
 def _joined(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
     """The way for a benchmark of any size: join on seed hashes, then tile the
-    pairs that share enough seeds.  With tiles of five tokens or more, covering
-    a share t of n tokens takes at least t n / 5 seeds.  Both tables numbered;
-    row, item (its row), coverage, n_tiles, longest."""
+    pairs that share enough seeds.  A tile of n tokens starts a seed at n - 4 of
+    them, at least a fifth; so covering a share t of n tokens takes seeds at t n / 5
+    of the item's places.  Both tables numbered; row, item (its row), coverage,
+    n_tiles, longest."""
     docs = docs.select("row", F.col("whole.text").alias("text"))
     items = items.select(F.col("row").alias("item"), F.col("whole.text").alias("text"))
     small_batches(docs.sparkSession)
-    ids = Memo(lambda w: xxhash.xxh3_64_intdigest(w))
+    ids = Memo(xxhash.xxh3_64_intdigest)
 
     def hashed(text):
         words = tokens(text)
         return np.fromiter(map(ids.__getitem__, words), np.uint64, len(words))
 
-    def seeds_of(id_col):
-        def seeds(parts):
-            for part in parts:
-                for key, text in zip(part[id_col], part["text"], strict=True):
-                    found = hashed(text)
-                    runs = np.unique(rolling(found))
-                    yield pd.DataFrame({id_col: pd.Series([key] * len(runs), dtype="Int64"), "seed": runs.view(np.int64), "n": len(found)})
-
-        return seeds
-
-    left = docs.mapInPandas(seeds_of("row"), "row long, seed long, n long").select("row", "seed").distinct()
-    right = items.mapInPandas(seeds_of("item"), "item long, seed long, n long")
-    pairs = left.join(right, "seed").groupBy("row", "item").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
-    # A seed that stands at several places of the item counts once here, so the bound is on distinct tiles: one at least.
-    pairs = pairs.where("shared >= 1").select("row", "item")
+    def runs(found: np.ndarray, width: int) -> np.ndarray:
+        return (rolling(found, width) + np.uint64(width * 0x9E3779B9)).view(np.int64)
+
+    def of_items(parts):
+        for part in parts:
+            for item, text in zip(part["item"], part["text"], strict=True):
+                found = hashed(text)
+                if len(found):
+                    seed, places = np.unique(runs(found, min(len(found), LEAST)), return_counts=True)
+                    yield pd.DataFrame({"item": item, "seed": seed, "places": places, "n": len(found)})
+
+    right = cut(items.mapInPandas(of_items, "item long, seed long, places long, n long"))
+    # Widths of items, five at most.
+    widths = sorted(r[0] for r in right.select(F.least("n", F.lit(LEAST))).distinct().collect())
+
+    def of_docs(parts):
+        for part in parts:
+            for row, text in zip(part["row"], part["text"], strict=True):
+                found = hashed(text)
+                use = [w for w in widths if len(found) == w or (w >= SHORTEST and len(found) > w)]
+                if use:
+                    yield pd.DataFrame({"row": row, "seed": np.unique(np.concatenate([runs(found, w) for w in use]))})
+
+    left = docs.mapInPandas(of_docs, "row long, seed long")
+    pairs = left.join(right, "seed").groupBy("row", "item").agg(F.sum("places").alias("places"), F.max("n").alias("n"))
+    enough = F.when(F.col("n") < LEAST, 1).otherwise(F.ceil(F.col("n") * (threshold / LEAST) - 1e-9))
+    pairs = pairs.where(F.col("places") >= enough).select("row", "item")
     texts = pairs.join(docs.withColumnRenamed("text", "doc"), "row").join(items.withColumnRenamed("text", "passage"), "item")
 
     def tile(parts):
+        lately: dict[int, Index] = {}
         for part in parts:
             out = []
             for row, item, doc, passage in zip(part["row"], part["item"], part["doc"], part["passage"], strict=True):
-                for _, *hit in Index([(item, passage)], threshold).hits(doc):
-                    out.append((row, item, *hit))
+                if item not in lately:
+                    if len(lately) > 100:
+                        lately.clear()
+                    lately[item] = Index([(item, passage)], threshold)
+                out += [(row, item, *hit) for _, *hit in lately[item].hits(doc)]
             yield pd.DataFrame(out, columns=["row", "item", *NAMES[1:]])
 
     return texts.mapInPandas(tile, "row long, item long, " + HIT.split(", ", 1)[1])
