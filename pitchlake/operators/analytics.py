@@ -113,10 +113,11 @@ def daily_leaders(pitches: DataFrame, at_bats: DataFrame, limit: int | None = No
     return df.limit(limit) if limit else df
 
 
-def season_batting(at_bats: DataFrame, min_at_bats: int = 50, strict_ab: bool = False, limit: int | None = None) -> DataFrame:
-    """Batters by average; ``at_bats`` counts all rows unless strict_ab."""
+def season_batting(at_bats: DataFrame, min_at_bats: int = 50, strict_ab: bool = False, limit: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Batters by average, within each value of ``by``; ``at_bats`` counts all rows
+    unless strict_ab."""
     n = F.count_if(is_at_bat()) if strict_ab else F.count(ROWS)
-    df = at_bats.groupBy("batter_name", "batter_id").agg(
+    df = at_bats.groupBy(*by, "batter_name", "batter_id").agg(
         F.count_distinct("game_pk").alias("games"),
         n.alias("at_bats"),
         F.count_if(is_hit()).alias("hits"),
@@ -125,5 +126,5 @@ def season_batting(at_bats: DataFrame, min_at_bats: int = 50, strict_ab: bool =
         rounded(ratio(F.count_if(is_hit()), F.greatest(n, F.lit(1))), 3).alias("batting_avg"),
         rounded(ratio(F.sum(bases()), F.greatest(n, F.lit(1))), 3).alias("slug_pct_approx"),
     )
-    df = df.where(F.col("at_bats") >= min_at_bats).orderBy(F.desc("batting_avg"), "batter_id")
+    df = df.where(F.col("at_bats") >= min_at_bats).orderBy(*by, F.desc("batting_avg"), "batter_id")
     return df.limit(limit) if limit else df

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pitchlake.functions.numeric import rounded
 
 ROWS = "*"
+#: Detailed states of games that were not played to the end.
+NOT_PLAYED = ("Postponed", "Cancelled", "Suspended")
 NULL_COLUMNS, NULL_LIMIT, FEW_PITCHES = ("pitch_type", "start_speed", "plate_x", "plate_z"), 0.1, 200
 
 
@@ -61,13 +63,36 @@ def without_pitches(stored: DataFrame, pitches: DataFrame) -> DataFrame:
     return stored.select("game_pk").join(pitches.select("game_pk"), "game_pk", "left_anti")
 
 
+def coverage_report(schedule: DataFrame, stored: DataFrame, pitches: DataFrame) -> DataFrame:
+    """measure, games: how the store covers a schedule.  Scheduled games by what
+    became of them, stored ones, and played ones that are missing, without pitches
+    or not final in the store; one pass over each table."""
+    detailed = F.coalesce("detailed_state", F.lit(""))
+    off = detailed.isin(*NOT_PLAYED)
+    became = F.when(off, detailed).when(F.col("status") == "Final", F.lit("played")).otherwise(F.col("status"))
+    expected = schedule.groupBy("game_pk").agg(F.min(became).alias("became"), F.max(became == "played").alias("is_played"))
+    kept = stored.groupBy("game_pk").agg(F.min("status").alias("stored"), F.lit(True).alias("is_stored"))
+    rows = expected.join(kept, "game_pk", "full").join(row_counts(pitches, name="pitches"), "game_pk", "left")
+    there, final = F.col("is_stored").isNotNull(), F.coalesce("is_played", F.lit(False))
+    measures = F.array(
+        F.when(F.col("became").isNotNull(), F.lit("scheduled")), F.when(F.col("became").isNotNull(), F.concat(F.lit("scheduled_"), F.lower("became"))),
+        F.when(there, F.lit("stored")), F.when(final & ~there, F.lit("missing")),
+        F.when(final & there & F.col("pitches").isNull(), F.lit("without_pitches")), F.when(final & there & (F.col("stored") != "Final"), F.lit("stale")),
+    )
+    return rows.select(F.explode(F.array_compact(measures)).alias("measure")).groupBy("measure").agg(F.count(ROWS).alias("games"))
+
+
+def first_ids(df: DataFrame, key: str = "game_pk", most: int = 20) -> DataFrame:
+    """The least ids, for a report."""
+    return df.select(key).distinct().orderBy(key).limit(most)
+
+
 def schedule_counts(schedule: DataFrame, *keys: str) -> DataFrame:
     return schedule.groupBy(*keys).agg(F.count(ROWS).alias("games"))
 
 
 def played(schedule: DataFrame) -> DataFrame:
-    detailed = F.coalesce("detailed_state", F.lit(""))
-    return schedule.where((F.col("status") == "Final") & ~detailed.isin("Postponed", "Cancelled", "Suspended"))
+    return schedule.where((F.col("status") == "Final") & ~F.coalesce("detailed_state", F.lit("")).isin(*NOT_PLAYED))
 
 
 def final_game_facts(facts: DataFrame, games: DataFrame, start=None, end=None) -> DataFrame:

@@ -64,7 +64,8 @@ def weather_features(weather: DataFrame, games: DataFrame, venues: DataFrame) ->
 
 
 def model_columns(features: DataFrame) -> DataFrame:
-    return features.select(*(c for c in MODEL_COLUMNS if c in features.columns))
+    """The columns that models are fitted on; one that is not there is an error."""
+    return features.select(*MODEL_COLUMNS)
 
 
 def hourly_rows(payloads: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 
 from pitchlake.functions.numeric import rounded
 from pitchlake.operators import aggregates, analytics, features, quality, weather
+from pitchlake.sources import tables
 from pitchlake.sources.adapters import view, with_views
-from pitchlake.sources.tables import latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,6 +47,9 @@ def n(condition: str) -> str:
     return f"COUNT(*) FILTER (WHERE {condition})"
 
 
+#: Pitches of the final games of a week.
+WEEK = """FROM (SELECT * FROM v_pitches WHERE game_pk IN (SELECT game_pk FROM v_games WHERE status = 'Final'
+  AND game_date BETWEEN DATE '1995-06-08' AND DATE '1995-06-15')) p"""
 SEQUENCE = """LAG(pitch_type) OVER w AS prev_pitch_type, LAG(start_speed) OVER w AS prev_speed,
   start_speed - LAG(start_speed) OVER w AS speed_diff, CAST(ROW_NUMBER() OVER w AS INT) AS pitch_number_in_ab"""
 ZONE = """ABS(plate_x) <= 0.83 AND plate_z BETWEEN 1.5 AND 3.5 AS is_in_zone,
@@ -295,6 +299,29 @@ def season_batting(ab, g):
     return analytics.season_batting(ab.join(g.where("season = 1995").select("game_pk"), "game_pk", "left_semi"))
 
 
+@register(
+    f"""SELECT season, batter_name, batter_id, COUNT(DISTINCT game_pk) AS games, COUNT(*) AS at_bats, {n(HIT)} AS hits, {n("event_type = 'home_run'")} AS home_runs,
+  CAST(SUM(rbi) AS BIGINT) AS rbi, {r(f"CAST({n(HIT)} AS DOUBLE) / COUNT(*)", 3)} AS batting_avg,
+  {r("CAST(SUM(CASE event_type WHEN 'single' THEN 1 WHEN 'double' THEN 2 WHEN 'triple' THEN 3 WHEN 'home_run' THEN 4 ELSE 0 END) AS DOUBLE) / COUNT(*)", 3)} AS slug_pct_approx
+FROM v_at_bats JOIN v_games USING (game_pk) GROUP BY 1, 2, 3 HAVING COUNT(*) >= 50""",
+    "v_at_bats", "v_games",
+)
+def season_batting_all(ab, g):
+    return analytics.season_batting(ab.join(g.select("game_pk", "season"), "game_pk"), by=("season",))
+
+
+@register(DAILY.replace("USING (game_pk)", "USING (game_pk) WHERE status = 'Final'"), "v_at_bats", "v_games")
+def daily_player_stats(ab, g):
+    return tables.daily_player_stats(ab, g)
+
+
+@register(
+    f"SELECT *, {SEQUENCE}, {ZONE}, {CONTEXT}, {COUNT} {BY_AT_BAT.replace('FROM v_pitches', WEEK, 1)}", "v_pitches", "v_games",
+)
+def enriched_week(p, g):
+    return tables.enriched_week(p, g, date(1995, 6, 15))
+
+
 TURN = "(wind_direction_deg - azimuth_angle) * 3.141592653589793 / 180.0"
 OUT, CROSS = (f"{r(x, 6)} + 0.0" for x in (f"-wind_speed_mph * COS({TURN})", f"wind_speed_mph * SIN({TURN})"))
 
@@ -316,6 +343,19 @@ def weather_features(w, g, v):
     return df.select("game_pk", "venue_id", "game_date", *made, *[c for c in df.columns if c.startswith("effective_")])
 
 
+@register(
+    f"""WITH b AS (SELECT *, is_indoor OR COALESCE(roof_closed, FALSE) AS closed FROM v_weather JOIN (SELECT game_pk, game_date FROM v_games) g USING (game_pk)
+  LEFT JOIN (SELECT venue_id, azimuth_angle, elevation_ft FROM v_venues) v USING (venue_id))
+SELECT game_pk, closed AS is_indoor_or_closed, CASE WHEN closed THEN 72.0 ELSE temperature_f END AS effective_temperature_f, CASE WHEN closed THEN 0.0 ELSE wind_speed_mph END AS effective_wind_speed_mph,
+  CASE WHEN closed THEN 0.0 ELSE {OUT} END AS effective_wind_out_to_cf_mph, CASE WHEN closed THEN 0.0 ELSE {CROSS} END AS effective_wind_cross_mph,
+  CASE WHEN closed THEN 0.0 ELSE COALESCE(precipitation_in, 0.0) END AS effective_precipitation_in, elevation_ft, relative_humidity_pct FROM b""",
+    "v_weather", "v_games", "v_venues",
+)
+def weather_model_columns(w, g, v):
+    df = weather.model_columns(weather.weather_features(w, g, v))
+    return df.withColumns({c: rounded(F.col(c), 6) + 0.0 for c in df.columns if c.endswith(("_cf_mph", "_cross_mph"))})
+
+
 @register(
     """SELECT CASE WHEN azimuth_angle IS NULL THEN 'no_venue' WHEN first_pitch IS NULL THEN 'no_first_pitch' WHEN TRIM(COALESCE(roof_type, '')) IN ('Dome', 'Indoor', 'Closed') THEN 'indoor' ELSE 'fetch' END AS route,
   COUNT(*) AS games FROM (SELECT *, CASE WHEN game_pk % 3 <> 0 THEN game_date END AS first_pitch FROM v_games) g LEFT JOIN v_venues USING (venue_id) GROUP BY 1""",
@@ -343,9 +383,51 @@ def quality_report(p):
     return quality.quality_report(p)
 
 
-@register("SELECT l_orderkey, l_partkey, l_suppkey, COUNT(*) AS rows FROM lineitem GROUP BY 1, 2, 3 HAVING COUNT(*) > 1", "lineitem")
+@register("SELECT l_orderkey, l_linenumber, COUNT(*) AS rows FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1", "lineitem")
 def duplicate_keys(li):
-    return quality.duplicate_keys(li, "l_orderkey", "l_partkey", "l_suppkey")
+    return quality.duplicate_keys(li, "l_orderkey", "l_linenumber")
+
+
+#: A store that misses games, holds stale ones and lacks the pitches of others.
+SCHEDULE_VIEW = "SELECT game_pk, game_date, status, CASE WHEN game_pk % 41 = 0 THEN 'Postponed' WHEN game_pk % 43 = 0 THEN 'Suspended' END AS detailed_state FROM v_games"
+STORED_VIEW = "SELECT game_pk, CASE WHEN game_pk % 11 = 0 THEN 'Live' ELSE status END AS status FROM v_games WHERE game_pk % 7 <> 0"
+PLAYED = "status = 'Final' AND COALESCE(detailed_state, '') NOT IN ('Postponed', 'Cancelled', 'Suspended')"
+
+
+def _coverage(g, p):
+    schedule = g.select("game_pk", "game_date", "status", F.when(F.col("game_pk") % 41 == 0, "Postponed").when(F.col("game_pk") % 43 == 0, "Suspended").alias("detailed_state"))
+    stored = g.where("game_pk % 7 <> 0").select("game_pk", F.when(F.col("game_pk") % 11 == 0, "Live").otherwise(F.col("status")).alias("status"))
+    return schedule, stored, p.where("game_pk % 5 <> 0")
+
+
+@register(
+    f"""WITH s AS ({SCHEDULE_VIEW}), d AS ({STORED_VIEW}), f AS (SELECT * FROM s WHERE {PLAYED}), p AS (SELECT DISTINCT game_pk FROM v_pitches WHERE game_pk % 5 <> 0),
+x AS (SELECT 'scheduled' AS measure FROM s UNION ALL SELECT 'scheduled_played' FROM f
+  UNION ALL SELECT 'scheduled_' || LOWER(CASE WHEN detailed_state IN ('Postponed', 'Cancelled', 'Suspended') THEN detailed_state ELSE status END) FROM s WHERE NOT ({PLAYED})
+  UNION ALL SELECT 'stored' FROM d UNION ALL SELECT 'missing' FROM f WHERE game_pk NOT IN (SELECT game_pk FROM d)
+  UNION ALL SELECT 'without_pitches' FROM f JOIN d USING (game_pk) WHERE game_pk NOT IN (SELECT game_pk FROM p)
+  UNION ALL SELECT 'stale' FROM f JOIN d USING (game_pk) WHERE d.status <> 'Final')
+SELECT measure, COUNT(*) AS games FROM x GROUP BY 1""",
+    "v_games", "v_pitches",
+)
+def coverage_report(g, p):
+    return quality.coverage_report(*_coverage(g, p))
+
+
+@register(f"WITH s AS ({SCHEDULE_VIEW}), d AS ({STORED_VIEW}) SELECT game_pk FROM s WHERE {PLAYED} AND game_pk NOT IN (SELECT game_pk FROM d) ORDER BY 1 LIMIT 20", "v_games", "v_pitches")
+def coverage_first_missing(g, p):
+    schedule, stored, _ = _coverage(g, p)
+    return quality.first_ids(quality.missing_games(quality.played(schedule), stored))
+
+
+@register("SELECT game_pk FROM v_games WHERE game_pk NOT IN (SELECT game_pk FROM v_pitches WHERE game_pk % 5 <> 0)", "v_games", "v_pitches")
+def without_pitches(g, p):
+    return quality.without_pitches(g, p.where("game_pk % 5 <> 0"))
+
+
+@register(f"WITH s AS ({SCHEDULE_VIEW}) SELECT CAST(EXTRACT(YEAR FROM game_date) AS INT) AS season, COUNT(*) AS games FROM s WHERE {PLAYED} GROUP BY 1", "v_games", "v_pitches")
+def played(g, p):
+    return quality.played(_coverage(g, p)[0]).groupBy(F.year("game_date").alias("season")).agg(F.count(F.lit(1)).alias("games"))
 
 
 @register(
@@ -382,6 +464,11 @@ def final_game_facts(p, g):
     return quality.final_game_facts(p, g, "1995-01-01", "1995-12-31").select(*KEY, "event_id")
 
 
+@register(f"SELECT {KEYS}, event_id FROM v_pitches WHERE game_pk IN (SELECT game_pk FROM v_games WHERE status = 'Final')", "v_pitches", "v_games")
+def final_game_facts_all(p, g):
+    return quality.final_game_facts(p, g).select(*KEY, "event_id")
+
+
 @register("SELECT game_pk FROM v_weather WHERE game_pk NOT IN (SELECT game_pk FROM v_games WHERE status = 'Final')", "v_weather", "v_games")
 def not_loaded(w, g):
     return quality.missing_games(w, g.where("status = 'Final'"))
@@ -407,4 +494,4 @@ def state_transitions(e):
     "events",
 )
 def upsert_latest(e):
-    return latest(e, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")
+    return tables.latest(e, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")

@@ -51,7 +51,8 @@ SELECT o_orderkey AS game_pk, o_custkey % 12 AS venue_id, (o_custkey % 4 = 0) AS
   CASE WHEN o_orderkey % 7 = 0 THEN TRUE WHEN o_orderkey % 7 = 1 THEN FALSE END AS roof_closed,
   CASE WHEN o_orderkey % 9 <> 0 THEN 30 + o_totalprice / 8000 END AS temperature_f,
   CAST(o_custkey % 25 AS DOUBLE) AS wind_speed_mph, CAST(o_orderkey * 13 % 360 AS DOUBLE) AS wind_direction_deg,
-  CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 10 AS DOUBLE) / 50 END AS precipitation_in
+  CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 10 AS DOUBLE) / 50 END AS precipitation_in,
+  CASE WHEN o_orderkey % 8 <> 0 THEN CAST(o_custkey * 7 % 100 AS DOUBLE) END AS relative_humidity_pct
 FROM orders""",
 }
 TABLES = ("orders", "lineitem", "nation", "supplier", "events")

@@ -26,8 +26,11 @@ def split_corrupt(feeds: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def moment(*choices: Column) -> Column:
-    """The first ISO time that is there, as a time without zone in UTC."""
-    return F.try_to_timestamp(F.coalesce(*choices)).cast("timestamp_ntz")
+    """The first ISO time that is there, as a time without zone in UTC, whatever
+    the session's zone; a time without zone is taken as UTC."""
+    text = F.coalesce(*choices)
+    zoned = F.when(text.rlike(r"(Z|[+-]\d\d:?\d\d)$"), text).otherwise(F.concat(text, F.lit("Z")))
+    return F.to_utc_timestamp(F.try_to_timestamp(zoned), F.current_timezone()).cast("timestamp_ntz")
 
 
 def _plays(feeds: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 """Partitioned tables on Parquet: typed reads, keyed upserts, compaction.
 
-A write goes to a staging folder first and then replaces the touched partitions,
-so a failed job leaves the table as it was.
+A write goes to a staging folder first; then each touched partition is put in the
+place of the stored one by a rename.  A job that fails before the renames leaves
+the table as it was; one that dies among them leaves every partition either old
+or new, and running it again completes it.
 """
 
 from __future__ import annotations
@@ -9,11 +11,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from pitchlake.functions.dates import week_before
+from pitchlake.operators.aggregates import batter_day
+from pitchlake.operators.features import enrich_pitches
+from pitchlake.operators.quality import final_game_facts
+
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, game_pk: int | None = None, game_date=None) -> DataFrame:
     """Rows of a table, of one game, of one date or all; a table that is not there
@@ -30,43 +41,57 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, game_pk: in
 
 
 def latest(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """The last row of each key.  max_by aggregates before the shuffle, where a
-    window would move all versions."""
-    last = df.groupBy(*keys).agg(F.max_by(F.struct("*"), F.struct(*version)).alias("row"))
-    return last.select("row.*")
-
-
-def replace_partitions(df: DataFrame, path: str, by: str, order: Sequence[str]) -> None:
-    """Write the rows of whole partitions in place of what those hold."""
-    spark = df.sparkSession
-    staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}"
-    df.repartition(F.col(by)).sortWithinPartitions(by, *order).write.partitionBy(by).parquet(staging)
-    staged = spark.read.schema(df.schema).parquet(staging)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
-    root = spark._jvm.org.apache.hadoop.fs.Path(staging)
-    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
-
-
-def upsert(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], by: str, version: Sequence[str], order: Sequence[str] = ()) -> dict[str, int]:
-    """Last write wins by key.  Only partitions that hold an old or a new row of a
-    changed key are read and rewritten; a row whose partition changed leaves the
-    old one.  Counts of inserted and updated keys are returned."""
+    """The last row of each key.  The rank is limited to 1 before the shuffle too,
+    so older versions that meet in one task are not moved."""
+    by = Window.partitionBy(*keys).orderBy(*(F.desc_nulls_last(v) for v in version))
+    return df.withColumn("_rank", F.row_number().over(by)).where("_rank = 1").drop("_rank")
+
+
+def _among(by: str, values: Sequence) -> Column:
+    """Whether a partition is one of ``values``, null among them or not; Spark
+    prunes the scan by it."""
+    found = F.col(by).isin([v for v in values if v is not None])
+    return found | F.col(by).isNull() if None in values else found
+
+
+def replace_partitions(df: DataFrame, path: str, by: str, order: Sequence[str], touched: Sequence = ()) -> None:
+    """Write the rows of whole partitions in place of what those hold; those of
+    ``touched`` that have no row are removed.  Large partitions are dealt over
+    several tasks (and files), small ones share a task; files are sorted."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    staging = f"{path}__staging_{uuid.uuid4().hex}"
+    df.hint("rebalance", F.col(by)).sortWithinPartitions(by, *order).write.partitionBy(by).parquet(staging)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(staging).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(at(path))
+    new = {s.getPath().getName() for s in files.listStatus(at(staging)) if s.isDirectory()}
+    for name in sorted(new | {f"{by}={NULL_PARTITION if v is None else v}" for v in touched}):
+        files.delete(at(f"{path}/{name}"), True)
+        if name in new and not files.rename(at(f"{staging}/{name}"), at(f"{path}/{name}")):
+            raise OSError(f"{staging}/{name} could not be moved to {path}")
+    files.delete(at(staging), True)
+
+
+def upsert(
+    spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], by: str, version: Sequence[str], order: Sequence[str] = (), moves: bool = True
+) -> dict[str, int]:
+    """Last write wins by key.  Only partitions (null is one) that hold an old or a
+    new row of a changed key are read whole and rewritten; a row whose partition
+    changed leaves the old one.  moves=False says that a key never changes its
+    partition: then only the partitions of ``rows`` are scanned for old rows.
+    Counts of inserted and updated keys are returned."""
     stored = read_table(spark, path, rows.schema)
     new = latest(rows, keys, version).persist()
-    old = stored.join(new.select(*keys), list(keys), "left_semi")
-    touched = [r[0] for r in old.select(by).union(new.select(by)).distinct().collect()]  # partition values, not rows
-    updated = old.select(*keys).distinct().count()
-    total = new.count()
-    rank = [F.lit(0).alias("_new")], [F.lit(1).alias("_new")]
-    kept = stored.where(F.col(by).isin(touched)).select("*", *rank[0])
-    merged = latest(kept.unionByName(new.select("*", *rank[1])), keys, [*version, "_new"]).drop("_new")
-    # A partition that only loses rows must be written too, even if it is now empty.
-    left = {r[0] for r in merged.select(by).distinct().collect()}
-    replace_partitions(merged, path, by, [c for c in (order or keys) if c != by])
-    for value in set(touched) - left:
-        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{by}={value}")
-        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
-    new.unpersist()
+    values = lambda df: {r[0] for r in df.select(by).distinct().collect()}  # noqa: E731  partition values, not rows
+    arriving = values(new)
+    scanned = stored if moves else stored.where(_among(by, arriving))
+    old = scanned.select(by, *keys).join(new.select(*keys), list(keys), "left_semi").persist()
+    touched, updated, total = arriving | values(old), old.select(*keys).distinct().count(), new.count()
+    kept = stored.where(_among(by, touched)).withColumn("_new", F.lit(0))
+    merged = latest(kept.unionByName(new.withColumn("_new", F.lit(1))), keys, [*version, "_new"]).drop("_new")
+    if touched:
+        replace_partitions(merged, path, by, [c for c in (order or keys) if c != by], touched)
+    new.unpersist(), old.unpersist()
     return {"inserted": total - updated, "updated": updated}
 
 
@@ -77,6 +102,19 @@ def patch(stored: DataFrame, changes: DataFrame, key: str, columns: Sequence[str
     return df.select(*(F.coalesce(f"_{c}", c).alias(c) if c in columns else F.col(c) for c in stored.columns))
 
 
+def needs_metadata(games: DataFrame, only_missing: bool = True) -> DataFrame:
+    """Final games, by default those without a venue or a first pitch."""
+    final = games.where("status = 'Final'")
+    return final.where("venue_id IS NULL OR first_pitch_time_utc IS NULL") if only_missing else final
+
+
+def patch_metadata(games: DataFrame, states: DataFrame, only_missing: bool = True) -> DataFrame:
+    """Venue and first pitch from the feeds, where those have them, for the games
+    that need them; all other rows stay."""
+    wanted = states.join(needs_metadata(games, only_missing).select("game_pk"), "game_pk", "left_semi")
+    return patch(games, wanted, "game_pk", ["venue_id", "first_pitch_time_utc"])
+
+
 def patch_scores(games: DataFrame, changes: DataFrame) -> DataFrame:
     """Scores and status; the winner follows only when the game is final."""
     df = patch(games, changes, "game_pk", ["away_score", "home_score", "status"])
@@ -103,6 +141,41 @@ def export_games(spark: SparkSession, games: DataFrame, facts: dict[str, DataFra
     return counts
 
 
+def export_range(spark: SparkSession, games: DataFrame, facts: dict[str, DataFrame], folder: str, start: date, end: date) -> dict[str, int]:
+    """``export_games`` for the games of a range of dates, both ends included."""
+    return export_games(spark, games.where(F.col("game_date").between(F.lit(start), F.lit(end))), facts, folder)
+
+
+def enriched_week(pitches: DataFrame, games: DataFrame, day: date) -> DataFrame:
+    """Enriched pitches of the final games from a week before ``day`` to it."""
+    return enrich_pitches(final_game_facts(pitches, games, *week_before(day)))
+
+
+def export_enriched(spark: SparkSession, pitches: DataFrame, games: DataFrame, folder: str, day: date) -> int:
+    """The enriched week as ``enriched/pitches_<start>_<end>``, written anew each
+    time; a week without pitches writes nothing.  Returns the number of pitches."""
+    df, (start, end) = enriched_week(pitches, games, day), week_before(day)
+    if df.isEmpty():
+        return 0
+    path = f"{folder}/enriched/pitches_{start}_{end}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).count()
+
+
+def daily_player_stats(at_bats: DataFrame, games: DataFrame, day: date | None = None) -> DataFrame:
+    """Batting of each player and date in final games, of one date or of all."""
+    final = games.where("status = 'Final'")
+    if day is not None:
+        final = final.where(F.col("game_date") == F.lit(day))
+    return batter_day(at_bats.drop("game_date").join(final.select("game_pk", "game_date"), "game_pk"))
+
+
+def update_daily_player_stats(spark: SparkSession, at_bats: DataFrame, games: DataFrame, folder: str, day: date) -> int:
+    """Upserts a day's stats by (player_id, stat_date); returns the number of rows."""
+    stats = daily_player_stats(at_bats, games, day)
+    return sum(upsert(spark, f"{folder}/player_stats_daily", stats, ["player_id", "stat_date"], "stat_date", ["games"], ["player_id"], moves=False).values())
+
+
 def compact_month(spark: SparkSession, path: str, schema: T.StructType, year: int, month: int, order: Sequence[str]) -> int:
     """Rewrite a month's dates in place, each as few files as its size needs.
     Returns the number of rows, which does not change."""

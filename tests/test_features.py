@@ -14,34 +14,37 @@ COLUMNS = (
 
 @pytest.fixture(scope="module")
 def pitches(spark):
-    t, f = True, False
-    kind = ["FF", "SL", "FF", "CU", "FF", "SL"]
-    speed = [95.0, 85.0, 96.0, 78.0, 94.0, 86.0]
-    x, z = [0.1, -0.9, 0.5, 0.0, 1.2, -0.2], [2.5, 3.8, 1.8, 2.8, 0.5, 2.5]
-    balls, strikes = [0, 0, 0, 0, 1, 1], [1, 2, 2, 0, 0, 1]
-    on = [(f, f, f)] * 3 + [(t, f, f), (t, t, f), (t, t, t)]
-    play, strike, ball = [f, f, t, f, f, t], [t, t, f, f, t, f], [f, f, f, t, f, f]
+    """Rows at the edges of the rules: two at-bats of a close late game, one of a
+    game that is far apart and shares its numbers."""
+    late = (7, "bottom")
     rows = [
-        (1, i // 3, i % 3 + 1, kind[i], speed[i], x[i], z[i], 1, "top", balls[i], strikes[i], 0, 0, *on[i], play[i], strike[i], ball[i], "CSXBSX"[i], [5, None, 6, 5, None, 5][i])
-        for i in range(6)
+        (70, 4, 1, "SI", 91.5, -0.83, 3.5, *late, 0, 0, 3, 5, True, False, True, False, True, False, "C", 3),
+        (70, 4, 2, "CH", 82.25, 1.33, 1.0, *late, 0, 1, 3, 5, True, False, True, False, False, True, "B", 14),
+        (70, 4, 3, "CH", 83.0, -1.34, 2.0, *late, 1, 1, 3, 5, True, False, False, True, False, False, "X", 13),
+        (70, 5, 1, None, None, 0.28, 2.17, *late, 0, 0, 4, 5, False, False, False, False, True, False, "S", None),
+        (80, 4, 1, "FS", 88.0, None, 2.5, 2, "top", 3, 2, 0, 9, False, True, False, False, False, True, "B", 9),
     ]
     return spark.createDataFrame(rows, COLUMNS)
 
 
-def at(df, ab, number):
-    return df.where((F.col("at_bat_index") == ab) & (F.col("pitch_number") == number)).first()
+def at(df, game, ab, number):
+    return df.where((F.col("game_pk") == game) & (F.col("at_bat_index") == ab) & (F.col("pitch_number") == number)).first()
 
 
 def test_pitch_features(pitches):
     df = features.enrich_pitches(pitches).cache()
-    assert df.count() == 6
-    assert len(df.columns) - len(pitches.columns) == 19
-    assert at(df, 0, 1)["prev_speed"] is None and at(df, 0, 2)["speed_diff"] == -10.0
-    assert at(df, 1, 1)["zone_region"] == "heart" and at(df, 1, 1)["is_in_zone"]
-    assert at(df, 0, 2)["zone_region"] == "chase" and not at(df, 0, 2)["is_in_zone"]
-    assert at(df, 1, 2)["zone_region"] == "waste"
-    assert at(df, 1, 3)["base_state"] == 7 and at(df, 1, 3)["runners_on_base"] == 3
-    assert at(df, 1, 3)["count_label"] == "1-1"
+    assert df.count() == 5 and len(set(df.columns) - set(pitches.columns)) == 19
+    edge, chase, waste = (at(df, 70, 4, n) for n in (1, 2, 3))
+    assert edge["is_in_zone"] and edge["zone_region"] == "edge" and edge["vertical_location"] == "high" and edge["horizontal_location"] == "inside"
+    assert edge["prev_pitch_type"] is None and edge["pitch_number_in_ab"] == 1 and edge["is_first_pitch"]
+    assert (edge["score_diff"], edge["is_close_game"], edge["base_state"], edge["runners_on_base"], edge["leverage_bucket"]) == (-2, True, 5, 2, "high")
+    assert not chase["is_in_zone"] and chase["zone_region"] == "chase" and chase["is_pitcher_count"] and chase["count_label"] == "0-1"
+    assert (chase["prev_pitch_type"], chase["prev_speed"], chase["speed_diff"]) == ("SI", 91.5, -9.25)
+    assert waste["zone_region"] == "waste" and waste["speed_diff"] == 0.75 and not waste["is_scoring_position"] and waste["leverage_bucket"] == "medium"
+    heart, far = at(df, 70, 5, 1), at(df, 80, 4, 1)
+    assert heart["zone_region"] == "heart" and heart["vertical_location"] == "low" and heart["prev_speed"] is None and heart["speed_diff"] is None
+    assert far["prev_pitch_type"] is None and far["zone_region"] is None and far["is_full_count"] and far["is_hitter_count"]
+    assert not far["is_close_game"] and far["base_state"] == 2 and far["leverage_bucket"] == "medium" and far["is_scoring_position"]
 
 
 def test_zone_edges_and_nulls(spark):
@@ -59,10 +62,46 @@ def test_enrich_shuffles_once(pitches):
 
 def test_daily_leaders_with_limit_is_top_k(spark, pitches):
     p = pitches.withColumns({"pitcher_id": F.lit(1), "pitcher_name": F.lit("P")})
-    ab = spark.createDataFrame([(1, 1, "strikeout")], "pitcher_id int, game_pk long, event_type string")
+    ab = spark.createDataFrame([(1, 80, "strikeout")], "pitcher_id int, game_pk long, event_type string")
     df = analytics.daily_leaders(p, ab, limit=3)
     assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
-    assert df.first()["strikeouts"] == 1
+    assert [(r["game_pk"], r["strikeouts"]) for r in df.collect()] == [(80, 1), (70, 0)]
+
+
+def test_pace_of_one_game_keeps_games_apart(spark):
+    from datetime import datetime
+
+    rows = [(g, 1, "top", 0, n, datetime(2024, 4, 1, 18, 0, 10 * n + g)) for g in (1, 2) for n in (1, 2, 3)]
+    df = spark.createDataFrame(rows, "game_pk long, inning int, half_inning string, at_bat_index int, pitch_number int, timestamp timestamp_ntz")
+    one = analytics.game_pace(df.where("game_pk = 2")).collect()
+    assert [(r["game_pk"], r["pitch_count"], r["avg_time_between_pitches"]) for r in one] == [(2, 3, 10.0)]
+    assert analytics.game_pace(df).count() == 2
+
+
+def test_played_and_coverage(spark):
+    rows = [(1, "Final", None), (2, "Final", "Suspended"), (3, "Live", ""), (4, "Final", "Final"), (5, "Final", None), (6, "Preview", "Postponed")]
+    schedule = spark.createDataFrame(rows, "game_pk long, status string, detailed_state string")
+    assert {r[0] for r in quality.played(schedule).collect()} == {1, 4, 5}
+    stored = spark.createDataFrame([(1, "Final"), (4, "Live"), (9, "Live")], "game_pk long, status string")
+    thrown = spark.createDataFrame([(4,), (4,)], "game_pk long")
+    got = {r["measure"]: r["games"] for r in quality.coverage_report(schedule, stored, thrown).collect()}
+    assert got == {
+        "scheduled": 6, "scheduled_played": 3, "scheduled_suspended": 1, "scheduled_live": 1, "scheduled_postponed": 1,
+        "stored": 3, "missing": 1, "without_pitches": 1, "stale": 1,
+    }
+    missing = quality.missing_games(quality.played(schedule), stored)
+    assert [r[0] for r in quality.first_ids(missing.union(missing)).collect()] == [5]
+    assert quality.coverage_report(schedule.limit(0), stored.limit(0), thrown).count() == 0
+
+
+def test_dates():
+    from datetime import date
+
+    from pitchlake.functions import dates
+
+    assert dates.week_before(date(2024, 3, 5)) == (date(2024, 2, 27), date(2024, 3, 5))
+    assert dates.previous_month(date(2024, 1, 31)) == (2023, 12) and dates.previous_month(date(2024, 3, 31)) == (2024, 2)
+    assert dates.season_start(date(2024, 9, 1)) == date(2024, 3, 1)
 
 
 def test_batting_counts_and_zero_denominators(spark):

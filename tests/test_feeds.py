@@ -87,6 +87,39 @@ def test_upsert_keeps_other_rows_and_is_idempotent(spark, tmp_path):
     assert [d for d in os.listdir(tmp_path) if "staging" in d] == []
 
 
+def test_upsert_into_the_null_partition_keeps_its_rows(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "id long, version int, day date"
+    rows = lambda *r: spark.createDataFrame(r, schema)
+    stored = lambda: {(r["id"], r["version"], r["day"]) for r in tables.read_table(spark, path, rows((1, 1, None)).schema).collect()}
+    put = lambda *r, **more: tables.upsert(spark, path, rows(*r), ["id"], "day", ["version"], **more)
+    d = date(2024, 4, 1)
+    assert put((1, 1, d), (2, 1, None), (3, 1, d)) == {"inserted": 3, "updated": 0}
+    assert put((4, 1, None)) == {"inserted": 1, "updated": 0}
+    assert stored() == {(1, 1, d), (2, 1, None), (3, 1, d), (4, 1, None)}
+    assert put((2, 2, d), (4, 2, d)) == {"inserted": 0, "updated": 2}
+    assert stored() == {(1, 1, d), (2, 2, d), (3, 1, d), (4, 2, d)} and not [x for x in os.listdir(path) if "HIVE" in x]
+    assert put((5, 1, None), (1, 2, d), moves=False) == {"inserted": 1, "updated": 1}
+    assert stored() == {(1, 2, d), (2, 2, d), (3, 1, d), (4, 2, d), (5, 1, None)}
+    assert put() == {"inserted": 0, "updated": 0} and len(stored()) == 5
+
+
+def test_old_versions_lose_and_equal_ones_give_way(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for version, score, want in ((2, 5, 5), (1, 9, 5), (2, 7, 7)):
+        tables.upsert(spark, path, spark.createDataFrame([(1, score, version, 2024)], SCHEMA), ["game_pk"], "season", ["version"])
+        assert tables.read_table(spark, path, schemas.struct(SCHEMA)).first()["home_score"] == want
+
+
+def test_files_are_sorted(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    df = spark.range(2000).selectExpr("hash(id) AS k", "CAST(id % 3 AS INT) AS part").repartition(5)
+    tables.replace_partitions(df, str(tmp_path / "t"), "part", ["k"])
+    files = [os.path.join(d, f) for d, _, fs in os.walk(tmp_path / "t") for f in fs if f.endswith(".parquet")]
+    read = [pq.ParquetFile(f).read()["k"].to_pylist() for f in files]
+    assert sum(map(len, read)) == 2000 and all(x == sorted(x) for x in read)
+
+
 def test_missing_table_is_empty_and_typed(spark, tmp_path):
     df = tables.read_table(spark, str(tmp_path / "none"), schemas.struct(SCHEMA))
     assert df.count() == 0 and df.columns == ["game_pk", "home_score", "version", "season"]
@@ -119,6 +152,59 @@ def test_export(spark, tmp_path):
     assert tables.export_games(spark, games, {"pitches": facts}, str(tmp_path)) == {"games": 1, "pitches": 2}
 
 
+def test_exports_of_ranges_weeks_and_days(spark, tmp_path):
+    days = {1: date(2024, 4, 1), 2: date(2024, 4, 8), 3: date(2024, 4, 9), 4: date(2024, 4, 8)}
+    games = spark.createDataFrame([(g, d, 2024, "Live" if g == 4 else "Final") for g, d in days.items()], "game_pk long, game_date date, season int, status string")
+    good, _ = feeds.split_corrupt(frame(spark, *(feed(g, [play(0, 3), play(1, 2)]) for g in days)))
+    thrown, at_bats, out = feeds.pitches(good), feeds.at_bats(good), str(tmp_path)
+    facts = {"pitches": thrown, "at_bats": at_bats}
+    assert tables.export_range(spark, games, facts, out, date(2024, 4, 1), date(2024, 4, 8)) == {"games": 3, "pitches": 15, "at_bats": 6}
+    assert {str(r[0]) for r in spark.read.parquet(f"{out}/at_bats").select("game_date").distinct().collect()} == {"2024-04-01", "2024-04-08"}
+    for _ in range(2):
+        assert tables.export_enriched(spark, thrown, games, out, date(2024, 4, 8)) == 10
+    assert "leverage_bucket" in spark.read.parquet(f"{out}/enriched/pitches_2024-04-01_2024-04-08").columns
+    assert tables.export_enriched(spark, thrown, games, out, date(2023, 1, 1)) == 0
+    for _ in range(2):
+        assert tables.update_daily_player_stats(spark, at_bats, games, out, date(2024, 4, 8)) == 2
+    assert tables.update_daily_player_stats(spark, at_bats, games, out, date(2024, 4, 9)) == 2
+    stats = spark.read.parquet(f"{out}/player_stats_daily")
+    assert stats.count() == 4 and {(r["hits"], r["games"]) for r in stats.collect()} == {(1, 1)}
+
+
+def test_metadata_and_conditions(spark):
+    games = spark.createDataFrame([(1, "Final", None, None), (2, "Final", 7, None), (3, "Live", None, None)], "game_pk long, status string, venue_id long, first_pitch_time_utc timestamp_ntz")
+    good, _ = feeds.split_corrupt(frame(spark, *(feed(g, [play(0, 1)]) for g in (1, 2, 3, 4))))
+    got = {r["game_pk"]: r for r in tables.patch_metadata(games, feeds.game_state(good)).collect()}
+    assert {g: r["venue_id"] for g, r in got.items()} == {1: 5, 2: 5, 3: None} and got[1]["first_pitch_time_utc"] and got[3]["first_pitch_time_utc"] is None
+    weather = spark.createDataFrame([(1, True, None, "x"), (2, False, None, "x"), (3, True, False, "x")], "game_pk long, is_indoor boolean, roof_closed boolean, condition string")
+    new = spark.createDataFrame([(2, True, None), (1, None, "Dome")], "game_pk long, roof_closed boolean, condition string")
+    got = {r["game_pk"]: (r["roof_closed"], r["condition"]) for r in tables.patch_conditions(weather, new).collect()}
+    assert got == {1: (True, "Dome"), 2: (True, "x"), 3: (False, "x")}
+
+
+def test_venues_teams_and_first_pitch(spark):
+    read = lambda schema, *docs: feeds.parse(spark.createDataFrame([(json.dumps(d),) for d in docs], "value string"), schema=schema)
+    place = {"city": "C", "state": "State", "country": "X", "defaultCoordinates": {"latitude": 1.5, "longitude": -2.5}, "elevation": 30, "azimuthAngle": 45}
+    venues = feeds.venue_rows(read(schemas.VENUE, {"id": 1, "name": "V", "location": place | {"stateAbbrev": "ST"}, "fieldInfo": {"roofType": "Open", "capacity": 9}}, {"id": 2, "location": place}))
+    got = {r["venue_id"]: r for r in venues.collect()}
+    assert (got[1]["state"], got[2]["state"], got[1]["azimuth_angle"], got[1]["roof_type"], got[2]["capacity"]) == ("ST", "State", 45.0, "Open", None)
+    teams = feeds.team_rows(read(schemas.TEAM, {"id": 3, "name": "T", "league": {"name": "L"}}, {"id": 4, "venue": {"name": "V"}}))
+    got = {r["team_id"]: tuple(r)[1:] for r in teams.collect()}
+    assert got == {3: ("T", "", "L", "", None), 4: ("", "", "", "", "V")}
+    first = play(0, 1)
+    del first["playEvents"][0]["startTime"]
+    later = feed(2, [])
+    later["gameData"]["datetime"] = {"dateTime": "2024-05-01T20:10:00+02:00"}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        good, _ = feeds.split_corrupt(frame(spark, feed(1, [first]), later))
+        got = {r["game_pk"]: str(r["first_pitch_time_utc"]) for r in feeds.game_state(good).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == {1: "2024-04-01 18:00:00", 2: "2024-05-01 18:10:00"}
+
+
 @pytest.fixture
 def landed(tmp_path):
     folder = tmp_path / "landing"
@@ -147,10 +233,60 @@ def test_live_ingest_corrects_and_resumes(spark, tmp_path, landed):
     run()
     assert read("pitches").count() == 3 and {r["away_score"] for r in read("pitches").collect()} == {1}
     assert read("at_bats").count() == 1 and read("game_state").first()["status"] == "Final"
-    assert spark.read.json(f"{topics}/pitches").count() == 5
+    assert spark.read.json(f"{topics}/pitches").count() == 5 and spark.read.json(f"{topics}/at_bats").count() == 1
+    state = json.loads(spark.read.json(f"{topics}/game_state").first()["value"])
+    assert (state["previous_state"], state["new_state"]) == ("Live", "Final")
     assert live.all_done(read("game_state"))
+    landed(5, feed(1, [play(0, 3), play(1, 1, complete=False)], status="Final"))
     run()
-    assert read("pitches").count() == 3
+    assert read("pitches").count() == 4 and spark.read.json(f"{topics}/pitches").count() == 6
+    assert spark.read.json(f"{topics}/at_bats").count() == 1 and spark.read.json(f"{topics}/game_state").count() == 1
+
+
+def test_a_batch_touches_its_own_games_only(spark, tmp_path, landed):
+    out = str(tmp_path / "out")
+    run = lambda: live.run_live(spark, landed.folder, out, str(tmp_path / "cp")).awaitTermination()
+    landed(1, feed(1, [play(0, 2)]))
+    run()
+    before = {f: os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(f"{out}/pitches") for f in fs if f.endswith(".parquet")}
+    landed(2, feed(10_000, [play(0, 2)]))
+    run()
+    after = {f: os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(f"{out}/pitches") for f in fs if f.endswith(".parquet")}
+    assert len(after) == 2 and before.items() <= after.items()
+
+
+def test_games_follow_their_scores(spark, tmp_path, landed):
+    out, games = str(tmp_path / "out"), spark.createDataFrame([(1, 2024, date(2024, 4, 1), 0, 0, "Live", None), (2, 2024, date(2024, 4, 1), 3, 3, "Live", None)],
+        "game_pk long, season int, game_date date, away_score int, home_score int, status string, home_team_won boolean")
+    tables.upsert(spark, f"{out}/games", games, ["game_pk"], "season", ["game_pk"])
+    landed(1, feed(1, [play(0, 2)], status="Final"))
+    landed(2, feed(9, [], status="Final"))
+    live.run_live(spark, landed.folder, out, str(tmp_path / "cp"), games=games.schema).awaitTermination()
+    got = {r["game_pk"]: (r["away_score"], r["home_score"], r["status"], r["home_team_won"]) for r in spark.read.parquet(f"{out}/games").collect()}
+    assert got == {1: (1, 0, "Final", False), 2: (3, 3, "Live", None)}
+
+
+def test_a_failed_publisher_stops_nothing(spark, tmp_path, landed):
+    def broken(name, rows):
+        raise ConnectionError(name)
+
+    landed(1, feed(1, [play(0, 2)]))
+    live.run_live(spark, landed.folder, str(tmp_path / "out"), str(tmp_path / "cp"), broken).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out/pitches")).count() == 2
+
+
+def test_a_consumer_goes_on_where_it_was(spark, tmp_path, landed):
+    out, topics, got = str(tmp_path / "out"), str(tmp_path / "topics"), []
+
+    def consume():
+        stream = live.read_topic(spark, topics, "pitches").writeStream.option("checkpointLocation", str(tmp_path / "seen"))
+        stream.foreachBatch(lambda rows, _: got.append(sorted(r["key"] for r in rows.collect()))).trigger(availableNow=True).start().awaitTermination()
+
+    for k, n in ((1, 2), (2, 3)):
+        landed(k, feed(1, [play(0, n)]))
+        live.run_live(spark, landed.folder, out, str(tmp_path / "cp"), live.file_topics(topics)).awaitTermination()
+        consume()
+    assert got == [["1_0_1", "1_0_2"], ["1_0_3"]]
 
 
 def test_new_pitches_once(spark, tmp_path, landed):
