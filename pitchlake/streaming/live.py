@@ -1,27 +1,35 @@
 """Live feed snapshots with Structured Streaming.
 
-A folder of JSON snapshots is the source.  The tables are kept by idempotent
-upserts, so a replayed micro-batch changes nothing; state advances with the
-checkpoint, only after a batch is stored.  A pitch is stored again when its
-at-bat completes, which corrects the score it was first seen with.
+A folder of JSON snapshots is the source.  Tables are kept by idempotent upserts
+of what a batch changes: rows that are stored already with the same content are
+dropped first, so a replayed micro-batch writes and publishes nothing new.  State
+advances with the checkpoint, only after a batch is stored.  A pitch is stored and
+published again when its at-bat completes, which corrects the score it was first
+seen with.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pitchlake.schemas import KEY
 from pitchlake.sources import feeds
-from pitchlake.sources.tables import latest, upsert
+from pitchlake.sources.tables import latest, patch_scores, read_table, upsert
 
 DONE = ("Final", "Postponed", "Suspended")
 STAY = "1 day"
+#: Tables are partitioned by so many neighbouring game ids: a key never changes its
+#: partition, and a batch rewrites the blocks of its own games only.
+BLOCK = 500
+SEEN = ("snapshot_ts",)
 
 
 def snapshots(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,35 +39,71 @@ def snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return feeds.parse(raw.select("value", F.col("_metadata.file_modification_time").alias("snapshot_ts")))
 
 
-def store_batch(folder: str, publish: Callable[[str, DataFrame], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """A micro-batch into tables ``pitches`` and ``at_bats`` by game, the latest
-    state of each game, and a quarantine; then to a publisher, if there is one."""
+def changed(spark: SparkSession, path: str, rows: DataFrame, keys) -> DataFrame:
+    """The rows whose key is not stored, or with other content than now; the time
+    of the snapshot is no content.  Only the blocks of ``rows`` are read."""
+    blocks = [r[0] for r in rows.select("block").distinct().collect()]
+    content = F.xxhash64(*(c for c in rows.columns if c not in SEEN))
+    stored = read_table(spark, path, rows.schema).where(F.col("block").isin(blocks))
+    was = stored.select(*keys, content.alias("_was"))
+    return rows.join(was, list(keys), "left").where(F.col("_was").isNull() | (F.col("_was") != content)).drop("_was")
+
+
+def transitions(spark: SparkSession, path: str, states: DataFrame) -> DataFrame:
+    """Games whose status is another than the stored one; first sightings are none."""
+    stored = read_table(spark, path, states.schema).select("game_pk", F.col("status").alias("previous_state"))
+    moved = states.join(stored, "game_pk").where("status IS NOT NULL AND previous_state <> status")
+    return moved.select("game_pk", "previous_state", F.col("status").alias("new_state"), "away_score", "home_score", "snapshot_ts")
+
+
+def store_batch(folder: str, publish: Callable[[str, DataFrame], None] | None = None, games: T.StructType | None = None) -> Callable[[DataFrame, int], None]:
+    """A micro-batch into tables ``pitches`` and ``at_bats``, the latest state of
+    each game, and a quarantine; then to a publisher, if there is one: new pitches
+    and at-bats and changes of state.  games: schema of the table ``games`` (by
+    season), whose scores and status then follow too."""
 
     def store(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         good, bad = feeds.split_corrupt(batch)
-        thrown = feeds.pitches(good)
-        done = feeds.at_bats(good, only_complete=True)
         state = latest(feeds.game_state(good), ["game_pk"], ["snapshot_ts"])
-        news = {"pitches": (thrown, KEY, ["is_complete", "snapshot_ts"]), "at_bats": (done, KEY[:2], ["snapshot_ts"]), "game_state": (state, KEY[:1], ["snapshot_ts"])}
+        news = {
+            "pitches": (feeds.pitches(good), KEY, ["is_complete", "snapshot_ts"]), "at_bats": (feeds.at_bats(good, only_complete=True), KEY[:2], ["snapshot_ts"]),
+            "game_state": (state, KEY[:1], ["snapshot_ts"]),
+        }
         if not bad.isEmpty():
             bad.select("snapshot_ts", "_corrupt_record").write.mode("append").parquet(f"{folder}/quarantine")
+        told: dict[str, DataFrame] = {}
         for name, (rows, keys, version) in news.items():
-            rows = latest(rows, keys, version).withColumn("shard", F.pmod("game_pk", F.lit(16)).cast("int"))
-            if not rows.isEmpty():
-                upsert(spark, f"{folder}/{name}", rows, keys, "shard", version)
-                if publish:
-                    publish(name, rows.drop("shard"))
-        batch.unpersist()
+            rows = latest(rows, keys, version).withColumn("block", F.floor(F.col("game_pk") / BLOCK).cast("long"))
+            new = changed(spark, f"{folder}/{name}", rows, keys).persist()
+            if name == "game_state":
+                told[name] = transitions(spark, f"{folder}/{name}", new).persist()
+                told[name].count()
+            else:
+                told[name] = new
+            if new.count():  # all of it, against what was stored before
+                upsert(spark, f"{folder}/{name}", new, keys, "block", version, version, moves=False)
+        if games is not None:
+            kept = read_table(spark, f"{folder}/games", games)
+            rows = patch_scores(kept.join(state.select("game_pk"), "game_pk", "left_semi"), state)
+            upsert(spark, f"{folder}/games", rows, ["game_pk"], "season", ["game_pk"], ["game_date"], moves=False)
+        for name, rows in told.items():
+            if publish and not rows.isEmpty():
+                try:
+                    publish(name, rows.drop("block"))
+                except Exception:
+                    logging.getLogger(__name__).exception("%s of batch %s not published", name, epoch)
+        for rows in (batch, *told.values()):
+            rows.unpersist()
 
     return store
 
 
-def run_live(spark: SparkSession, source: str, folder: str, checkpoint: str, publish=None, **trigger) -> StreamingQuery:
+def run_live(spark: SparkSession, source: str, folder: str, checkpoint: str, publish=None, games=None, **trigger) -> StreamingQuery:
     """Start the ingest; by default it takes all that is there and stops."""
     writer = snapshots(spark, source).writeStream.option("checkpointLocation", checkpoint)
-    return writer.foreachBatch(store_batch(folder, publish)).trigger(**(trigger or {"availableNow": True})).start()
+    return writer.foreachBatch(store_batch(folder, publish, games)).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def to_messages(rows: DataFrame, *keys: str) -> DataFrame:
@@ -77,6 +121,12 @@ def file_topics(folder: str) -> Callable[[str, DataFrame], None]:
     return publish
 
 
+def read_topic(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A stream of a topic's messages (key, value); its checkpoint is the consumer's
+    committed place."""
+    return spark.readStream.schema("key string, value string").json(f"{folder}/{name}")
+
+
 def new_pitches(stream: DataFrame) -> DataFrame:
     """Each pitch once while it is live and once when its at-bat is complete; the
     state is bounded by a day of event time."""
@@ -87,8 +137,8 @@ def new_pitches(stream: DataFrame) -> DataFrame:
 
 def state_changes(stream: DataFrame) -> DataFrame:
     """game_pk, old_state, new_state for each change; the first sighting of a game
-    is none.  A final game is forgotten, so the state is as large as the games that
-    are not over.  ``stream``: game_pk, status, snapshot_ts."""
+    is none.  A game that is over (``DONE``) is forgotten, so the state is as large as
+    the games that are not; one that is taken up again counts as seen first.  ``stream``: game_pk, status, snapshot_ts."""
 
     def change(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         old = state.get[0] if state.exists else None
@@ -97,7 +147,7 @@ def state_changes(stream: DataFrame) -> DataFrame:
             if old is not None and status != old:
                 out.append((key[0], old, status))
             old = status
-        if old != "Final":
+        if old not in DONE:
             state.update((old,))
         elif state.exists:
             state.remove()
