@@ -3,8 +3,11 @@
 Rules judge the pages they fit.  The hosts of allowed pages are trusted seeds,
 those of blocked pages are blocked seeds, each weighted by its pages.  Trust runs
 along the host edges as personalised PageRank; distrust runs against them, from a
-blocked host to the hosts that link to it.  A host's share of distrust in both is
-held against a threshold, which judges its pages that no rule fits.
+blocked host to the hosts that link to it.  Rounds go on until a walk has at most
+``TOLERANCE`` of its mass still to move, whatever the graph; what reaches hosts
+without edges starts again at the seeds, so both scores sum to 1.  A host's share
+of distrust in both is held against a threshold, which judges its pages that no
+rule fits.
 
 Host edges: hyperlinks between pages of different hosts (absolute or protocol
 relative), weighted by their number, and one edge each way between a host and
@@ -23,6 +26,8 @@ an empty table gives an empty result.  Pages are read whole.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +41,9 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-DAMPING, ROUNDS, BLOCK_SHARE = 0.85, 8, 0.75
+DAMPING, TOLERANCE, BLOCK_SHARE = 0.85, 1e-3, 0.75
+#: After r rounds at most DAMPING ** r of the mass is left to move.
+ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)href\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
 
@@ -106,7 +113,8 @@ def edges_and_seeds(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def standing(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """host, trust, distrust after so many rounds."""
+    """host, trust, distrust after so many rounds, each summing to 1: a host without
+    edges hands its mass back to the seeds, which only scales the scores of all."""
     start = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("score"))
     rank = seeds.select("kind", "host", F.col("seed").alias("score"))
     for i in range(rounds):
@@ -116,6 +124,9 @@ def standing(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, round
         rank = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("score").alias("score"))
         if i % 4 == 3 and i + 1 < rounds:
             rank = cut(rank)
+    rank = cut(rank)
+    whole = rank.groupBy("kind").agg(F.sum("score").alias("all"))  # two rows
+    rank = rank.join(F.broadcast(whole), "kind").select("kind", "host", (F.col("score") / F.col("all")).alias("score"))
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)).alias(kind)
     return rank.groupBy("host").agg(of("trust"), of("distrust"))
 
@@ -165,7 +176,8 @@ seeds AS MATERIALIZED (SELECT kind, host, n / SUM(n) OVER (PARTITION BY kind) AS
   SELECT CASE said WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, CAST(COUNT(*) AS DOUBLE) AS n FROM j
   WHERE said IS NOT NULL AND host <> '' GROUP BY 1, 2)),
 r0 AS (SELECT kind, host, seed AS score FROM seeds),{steps}
-s AS (SELECT host, ROUND(SUM(CASE WHEN kind = 'distrust' THEN score ELSE 0.0 END) / SUM(score), 9) AS distrust_share FROM r{rounds} GROUP BY host)
+z AS MATERIALIZED (SELECT kind, host, score / SUM(score) OVER (PARTITION BY kind) AS score FROM r{rounds}),
+s AS (SELECT host, ROUND(SUM(CASE WHEN kind = 'distrust' THEN score ELSE 0.0 END) / SUM(score), 9) AS distrust_share FROM z GROUP BY host)
 SELECT page_id, j.host AS host, path, rule,
   COALESCE(said, CASE WHEN distrust_share >= {share} THEN 'block' ELSE 'allow' END) AS verdict,
   COALESCE(distrust_share, 0.0) AS distrust_share
