@@ -1,7 +1,9 @@
 """Operator 7: licence scan by Dice coefficient over word bigrams.
 
-A text is cut into segments: its lines, its paragraphs of several lines (between
-blank lines) and the whole of it.  A segment and a licence template are sets of
+A text is cut into segments, comment marks at the start of lines aside: its lines,
+its paragraphs of several lines (between blank lines), the whole of it, and all
+runs of one to three sentences of a paragraph, so that a notice is found inside a
+longer line and across lines.  A segment and a licence template are sets of
 word bigrams of their normalised words.  Dice is twice the shared bigrams over
 the sum of both counts.  A Dice of t needs sizes within t / (2 - t) of each
 other, so a segment's number of words rules out most templates before any set is
@@ -12,7 +14,7 @@ All of it is built-in column functions; nothing is shuffled but the final
 grouping of matches.  Templates are constants, a few dozen.
 
 Defined results: one row for each document and matching licence, with its best
-Dice and the number of matching segments; equal Dice values are all reported.  A
+Dice and the number of different matching segments; equal Dice values are all reported.  A
 null or empty text matches nothing; a null doc_id is kept as a null key (its rows
 count as one document); repeated rows of one doc_id count each of their segments;
 extra columns are ignored; an empty table gives an empty result.  Texts of any
@@ -80,13 +82,29 @@ def bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(found, found[1:], strict=False)})
 
 
+#: Comment marks at the start of a line; ends of sentences; blank lines.
+MARKS, ENDS, BLANK = r"(?m)^[ \t]*(?:#+|/?\*+/?|//+|;+|--+)[ \t]*", r"([.!?;:])[ \t\r\n]+", r"\n[ \t\r]*\n"
+SENTENCES = 3
+
+
 def _segments(text: Column) -> Column:
-    """Lines, paragraphs of more than one line, and the whole of more than one
-    paragraph, each normalised to lower-case words and single spaces."""
-    lines = F.split(text, "\n", -1)
-    blocks = F.filter(F.split(text, r"\n[ \t\r]*\n", -1), lambda b: F.instr(b, "\n") > 0)
-    whole = F.when(F.regexp_like(text, F.lit(r"\n[ \t\r]*\n")), F.array(text)).otherwise(F.array().cast("array<string>"))
-    return F.concat(lines, blocks, whole)
+    """Lines, paragraphs of more than one line, the whole of more than one
+    paragraph, and runs of sentences; each segment once."""
+    bare = F.regexp_replace(text, MARKS, "")
+    blocks = F.split(bare, BLANK, -1)
+    many = F.filter(blocks, lambda b: F.instr(b, "\n") > 0)
+    whole = F.when(F.size(blocks) > 1, F.array(bare)).otherwise(F.array().cast("array<string>"))
+
+    def runs(block: Column) -> Column:
+        said = F.split(F.regexp_replace(F.translate(block, "\n", " "), ENDS, "$1\n"), "\n", -1)
+
+        def of(n: int) -> Column:
+            joined = F.transform(F.sequence(F.lit(1), F.greatest(F.size(said) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(said, i, n), " "))
+            return F.when(F.size(said) >= n, joined).otherwise(F.array().cast("array<string>"))
+
+        return F.concat(*map(of, range(1, SENTENCES + 1)))
+
+    return F.array_distinct(F.concat(F.split(bare, "\n", -1), many, whole, F.flatten(F.transform(blocks, runs))))
 
 
 def bounds(n: int, threshold: float) -> tuple[int, int]:
@@ -148,11 +166,11 @@ def oracle(threshold: float = THRESHOLD) -> str:
     rows = ", ".join("('{}', {})".format(n, "['" + "', '".join(bigrams(t)) + "']") for n, t in TEMPLATES.items())
     return rf"""
 WITH t(license, tb) AS (VALUES {rows}),
-seg AS (
-  SELECT doc_id, UNNEST(STRING_SPLIT(text, CHR(10))) AS s FROM documents
-  UNION ALL SELECT doc_id, p FROM (SELECT doc_id, UNNEST(REGEXP_SPLIT_TO_ARRAY(text, '\n[ \t\r]*\n')) AS p FROM documents) WHERE CONTAINS(p, CHR(10))
-  UNION ALL SELECT doc_id, text FROM documents WHERE REGEXP_MATCHES(text, '\n[ \t\r]*\n')
-),
+bare AS (SELECT doc_id, REGEXP_REPLACE(LOWER(text), '{MARKS}', '', 'g') AS t FROM documents WHERE text IS NOT NULL),
+parts AS (SELECT doc_id, t, STRING_SPLIT_REGEX(t, '{BLANK}') AS p FROM bare),
+said AS (SELECT doc_id, t, p, [STRING_SPLIT(REGEXP_REPLACE(TRANSLATE(b, CHR(10), ' '), '{ENDS}', '\1' || CHR(10), 'g'), CHR(10)) FOR b IN p] AS s FROM parts),
+seg AS (SELECT doc_id, UNNEST(LIST_DISTINCT(STRING_SPLIT(t, CHR(10)) || LIST_FILTER(p, LAMBDA b: CONTAINS(b, CHR(10))) || CASE WHEN LEN(p) > 1 THEN [t] ELSE [] END
+  || FLATTEN([FLATTEN([[ARRAY_TO_STRING(x[i:i + k], ' ') FOR i IN RANGE(1, LEN(x) + 1 - k)] FOR k IN RANGE(0, {SENTENCES})]) FOR x IN s]))) AS s FROM said),
 w AS (SELECT doc_id, STRING_SPLIT(TRIM(REGEXP_REPLACE(LOWER(s), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM seg),
 b AS (SELECT doc_id, LIST_DISTINCT([w[i] || ' ' || w[i + 1] FOR i IN RANGE(1, LEN(w))]) AS b FROM w WHERE LEN(w) > 1),
 d AS (SELECT doc_id, license, ROUND(2.0 * LEN(LIST_INTERSECT(b, tb)) / (LEN(b) + LEN(tb)), 6) AS dice FROM b, t)
