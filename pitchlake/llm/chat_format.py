@@ -13,7 +13,9 @@ Defined results: a null role or text counts as empty; turns are ordered by turn
 (null first), then role, then text, so ties and repeated rows have one order and
 all are kept; rows of a null conv_id form one conversation; a conversation that
 breaks the turn order is formatted all the same and has ``valid`` false; extra
-columns are ignored; an empty table gives an empty result.  Texts are kept whole.
+columns are ignored; an empty table gives an empty result.  Texts and roles of any
+length are kept whole.  ``with_tricky`` adds its two rows to conversation -7,
+whether or not the table has one.
 """
 
 from __future__ import annotations
@@ -98,7 +100,8 @@ def read_back(formatted: DataFrame, template: Template | None = None) -> DataFra
     text = F.array_join(F.transform("segments", lambda s: s["text"]), "")
     loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(s["text"])), "")
     mark = t.after_role[0]
-    role = rf"(?s)^\Q{t.head}\E((?:[^\\{mark}]|\\.)*)\Q{t.after_role}\E"
+    # Possessive, so that a role of any length is matched in a loop, not by recursion.
+    role = rf"(?s)^\Q{t.head}\E((?:[^\\{mark}]++|\\.)*+)\Q{t.after_role}\E"
 
     def turn(x: Column) -> Column:
         return F.struct(
