@@ -159,7 +159,10 @@ class Counter:
         text = text or ""
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
-        total = sum(map(self.chunks.__getitem__, text.lower().split()))
+        text = text.lower()
+        # str.split also cuts at the four separators, which the pattern takes for marks.
+        plain = not any(c in text for c in "\x1c\x1d\x1e\x1f")
+        total = sum(map(self.chunks.__getitem__, text.split() if plain else regex.split(r"\s+", text)))
         return total >> 40, total & (1 << 40) - 1
 
 
