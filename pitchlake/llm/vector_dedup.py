@@ -247,7 +247,7 @@ def _unit(v: np.ndarray) -> np.ndarray:
 def link(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
-    small_batches(spark, 2000)
+    small_batches(spark)
     nodes = nodes_of(vectors)
     total = nodes.count()
     shards, blocks = max(SHARDS, -(-total // SHARD_ROWS)), max(1, -(-total // (SHARDS * BLOCK_ROWS)))
@@ -328,7 +328,7 @@ def link(vectors: DataFrame, least: float = COSINE) -> DataFrame:
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("v").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 #: Brute force in DuckDB SQL.
