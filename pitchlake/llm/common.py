@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -10,19 +11,23 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Records in one Arrow batch handed to Python.  Texts reach 100 kB and more, so
-#: the default of 10,000 records could be a gigabyte.
-BATCH_RECORDS = 500
+#: Records and bytes in one Arrow batch handed to Python.  Texts reach 100 kB and
+#: more, so the default of 10,000 records could be a gigabyte.
+BATCH_RECORDS, BATCH_BYTES = 500, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, records: int = BATCH_RECORDS) -> None:
-    """Get this session ready for Python workers: bound the memory of a batch,
-    and send this package to executors, which need not have it installed."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
+def small_batches(spark: SparkSession) -> None:
+    """Get this session ready for Python workers: bound the memory of a batch (the
+    same bound for all operators, so that none loosens another's), and send this
+    package to executors, which need not have it installed."""
+    now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if now <= 0 or now > BATCH_RECORDS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_RECORDS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if _shipped.get("to") != sc.applicationId:
         package = Path(__file__).parent.parent
@@ -39,10 +44,12 @@ _shipped: dict[str, str] = {}
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir`` where the
-    cluster names one.  Only where it is unset (tests, one machine) a temporary
-    folder is taken."""
+    cluster names one.  Only where it is unset and the master is this very machine
+    (tests) a temporary folder is taken; on a cluster that is an error."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir names no folder that all executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return named or sc.getCheckpointDir()

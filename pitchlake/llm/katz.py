@@ -50,6 +50,7 @@ END, START = b" end", b" start"  # no word holds a space
 #: Sums of a history: how many n-grams have each count up to LOW, how many more
 #: than that, the same for what they fall back to, and the counts of the latter.
 TALLY = 2 * (LOW + 1) + 1
+FLUSHED = "kind string, flush long, data binary, docs array<string>, tokens long, texts long, words long"
 ANSWER = "kind string, flush long, level int, bucket long, data binary, h string, tally array<long>"
 
 
@@ -92,7 +93,7 @@ def packed(*arrays: np.ndarray) -> bytes:
         width = max(1, (int(a.max(initial=0)).bit_length() + 7) // 8)
         head += [len(a), width]
         body.append(a.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(np.array(head, "<i8").tobytes() + b"".join(body))
+    return zstandard.ZstdCompressor(level=2).compress(np.array(head, "<i8").tobytes() + b"".join(body))
 
 
 def unpacked(data: bytes) -> list[np.ndarray]:
@@ -116,11 +117,12 @@ class Numbers(dict):
 
 
 def flushes(docs: DataFrame, order: int) -> DataFrame:
-    """docs (doc, text, train) as rows of about ``FLUSH`` tokens: flush, keys (of
-    its words, in the order of their buckets), seen (how often in training), body
-    (tokens of all pieces with ``order`` - 1 tokens before each, words numbered by
-    frequency; numbers of their texts, sizes, training flags; places of the words
-    in keys), docs (ids), and sums over it."""
+    """docs (doc, text, train) as flushes of about ``FLUSH`` tokens, two rows each:
+    of kind ``keys`` with its words (keys in the order of their buckets, and how
+    often each was seen in training), of kind ``body`` with tokens of all pieces,
+    ``order`` - 1 tokens before each (words numbered by frequency; numbers of their
+    texts, sizes, training flags; places of the words among the keys), doc ids and
+    sums over it."""
     before = order - 1
 
     def cut_up(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -142,10 +144,10 @@ def flushes(docs: DataFrame, order: int) -> DataFrame:
             place[by] = np.arange(len(by))
             trained = np.bincount(name[tok[event & np.repeat(train, whole + before)]], minlength=len(number))[1:]
             base = first >> 32 << 40
+            data = packed(keys[by].astype(np.int64), trained[by]), packed(name[tok], np.array(texts) + base, whole, train, place)
             return pd.DataFrame({
-                "flush": [first + flush], "keys": [packed(keys[by].astype(np.int64))], "seen": [packed(trained[by])],
-                "body": [packed(name[tok], np.array(texts) + base, whole, train, place)], "docs": [list(docs)],
-                "tokens": [int(whole[train].sum())], "texts": [int((train & np.array(begins)).sum())], "words": [len(rank)],
+                "kind": ["keys", "body"], "flush": first + flush, "data": data, "docs": [None, list(docs)],
+                "tokens": [0, int(whole[train].sum())], "texts": [0, int((train & np.array(begins)).sum())], "words": [0, len(rank)],
             })
 
         for part in parts:
@@ -162,8 +164,7 @@ def flushes(docs: DataFrame, order: int) -> DataFrame:
         if pieces:
             yield packed_up()
 
-    shape = "flush long, keys binary, seen binary, body binary, docs array<string>, tokens long, texts long, words long"
-    return docs.mapInPandas(cut_up, shape)
+    return docs.mapInPandas(cut_up, FLUSHED)
 
 
 def dealt(spot: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -344,8 +345,9 @@ def score(docs: DataFrame, learn, order: int = ORDER) -> DataFrame:
     folder = f"{shared_folder(spark)}/katz-{uuid.uuid4().hex}"
     # Whole numbers with nulls among them would become floats in pandas.
     docs = docs.select(F.col("doc_id").cast("string").alias("doc"), "text", F.coalesce(learn, F.lit(False)).alias("train"))
-    flushes(docs, order).write.parquet(f"{folder}/flushes")
-    state = spark.read.parquet(f"{folder}/flushes")
+    flushes(docs, order).write.partitionBy("kind").parquet(f"{folder}/flushes")
+    flushed = spark.read.schema(FLUSHED).parquet(f"{folder}/flushes")
+    state = flushed.where("kind = 'body'").select("flush", "data", "docs", "tokens", "texts", "words")
     total, texts, words = state.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "texts", "words"))).first()
     buckets = {1: max(8, -(-words // KEYS))} | {k: max(8, -(-total // KEYS)) for k in range(2, order + 1)}
     gives: list[np.ndarray] = []
@@ -354,7 +356,7 @@ def score(docs: DataFrame, learn, order: int = ORDER) -> DataFrame:
 
     def ready(row, answers: pd.DataFrame, upto: int) -> Flush:
         """A flush with the answers up to a level."""
-        flush = Flush(row["body"], order, total, texts, buckets, SPREAD)
+        flush = Flush(row["data"], order, total, texts, buckets, SPREAD)
         answers = answers.sort_values(["level", "bucket"])
         for k in range(1, upto + 1):
             mine = answers[answers["level"] == k]
@@ -369,8 +371,8 @@ def score(docs: DataFrame, learn, order: int = ORDER) -> DataFrame:
 
     def first(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for flush, keys, seen in zip(part["flush"], part["keys"], part["seen"], strict=True):
-                (keys,), (seen,) = unpacked(keys), unpacked(seen)
+            for flush, data in zip(part["flush"], part["data"], strict=True):
+                keys, seen = unpacked(data)
                 edges = np.searchsorted(ranged(keys, buckets[1]), np.arange(buckets[1] + 1))
                 out = [(b, flush, packed(keys[s:e], seen[s:e])) for b, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if e > s]
                 yield pd.DataFrame(out, columns=["bucket", "flush", "data"])
@@ -391,17 +393,20 @@ def score(docs: DataFrame, learn, order: int = ORDER) -> DataFrame:
         every = frames[0]
         for more in frames[1:]:
             every = every.unionByName(more)
-        return state.select("flush", "body", "docs").groupBy("flush").cogroup(every.groupBy("flush"))
+        return state.select("flush", "data", "docs").groupBy("flush").cogroup(every.groupBy("flush"))
 
     request = "bucket long, flush long, data binary"
     distinct = 0
     for k in range(1, order + 1):
-        asked = state.select("flush", "keys", "seen").mapInPandas(first, request) if k == 1 else told(k - 1).applyInPandas(asking(k), request)
+        asked = flushed.where("kind = 'keys'").select("flush", "data").mapInPandas(first, request) if k == 1 else told(k - 1).applyInPandas(asking(k), request)
         asked.groupBy("bucket").applyInPandas(merge(k, buckets[k], k == order), ANSWER).write.partitionBy("kind").parquet(f"{folder}/{k}")
         table = spark.read.schema(ANSWER).parquet(f"{folder}/{k}")
         stat = table.where("kind = 'stat'").agg(*(F.coalesce(F.sum(F.col("tally")[i]), F.lit(0)) for i in range(LOW + 2))).first()
         gives.append(given_up(discounts(list(stat[:-1]))))
+        del asked
         free_shuffles(spark)
+        if k == 1:
+            delete_folder(spark, f"{folder}/flushes/kind=keys")
         if k == 1:
             distinct = sum(stat)
             rest = float(np.array(stat) @ np.r_[gives[0], REST]) / total if total else 1.0
