@@ -69,6 +69,19 @@ def test_token_counts(spark, docs):
     assert Counter(map(tuple, got)) == want
 
 
+def test_token_counts_of_separators_and_long_texts(spark):
+    vocab = Path(queries.PIECES).read_bytes()
+    texts = ["a\x1cb", "\x1c\x1d a\x1e", "x\x85y\xa0z", "", None, "word " * 100_000, "a" * 100_000]
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n_words int")
+    got = {r["doc_id"]: (r["n_words"], r["n_tokens"]) for r in token_counts.token_counts(df, vocab).collect()}
+    pieces, words = token_counts.vocabulary(vocab), token_counts.regex.compile(token_counts.WORDS)
+    for i, t in enumerate(texts[:5]):
+        found = words.findall((t or "").lower())
+        assert got[i] == (len(found), sum(greedy(pieces, [*w.encode(), token_counts.END]) for w in found))
+    assert got[5] == (100_000, 100_000) and got[6][0] == 1
+    assert token_counts.token_counts(df.limit(0), vocab).count() == 0
+
+
 # 2. Language model
 
 
@@ -221,6 +234,16 @@ def test_vectors(spark, monkeypatch):
     assert all(got[i[0]] == (0, i[0], True) for i in bad)
 
 
+def test_vectors_with_null_and_repeated_ids(spark):
+    """Null ids name no component; ties fall to the least id."""
+    a, b = [1.0, 0.0, 0.5], [0.0, 1.0, 0.0]
+    rows = [(None, a), (3, a), (3, a), (2, a), (None, b), (None, None), (7, None)]
+    df = spark.createDataFrame([(i, v, 0, 1) for i, v in rows], "vec_id long, embedding array<double>, node int, v int")
+    got = Counter((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in vector_dedup.link(df).collect())
+    assert got == Counter([(None, 3, 2, False), (3, 3, 2, False), (3, 3, 2, False), (2, 3, 2, True), (None, 0, None, True), (None, 0, None, True), (7, 0, 7, True)])
+    assert vector_dedup.link(df.limit(0)).count() == 0
+
+
 # 5. Quality
 
 
@@ -240,6 +263,50 @@ def test_quality(spark, sf_dir, docs):
     assert quality.accepted(docs, none).columns == docs.columns
 
 
+def plain_scores(docs, labels):
+    """The classifier by least squares on stacked rows and the min-max formula of isotonic regression."""
+    crc = lambda i, salt="": zlib.crc32((salt + ("" if i is None else str(i))).encode())
+    x = np.array([quality.statistics(t) for _, t in docs])
+    wanted = [(k, q) for k, (i, _) in enumerate(docs) for j, q in labels if i is not None and i == j and q in (0, 1) and crc(i) % 3 != 1]
+    at, y = np.array([k for k, _ in wanted]), np.array([q for _, q in wanted], float)
+    aside = np.array([crc(docs[k][0], "aside") % 5 == 0 for k in at])
+    mean, scale = x[at].mean(axis=0), np.maximum(x[at].std(axis=0), 1e-6)
+    make = np.random.default_rng(quality.SEED)
+    turn = make.standard_normal((x.shape[1], quality.FEATURES)) / (quality.WIDTH * np.sqrt(x.shape[1]))
+    shift = make.uniform(0, 2 * np.pi, quality.FEATURES)
+    z = np.sqrt(2 / quality.FEATURES) * np.cos(np.clip((x - mean) / scale, -6, 6) @ turn + shift)
+    z = np.hstack([z, np.ones((len(z), 1))])
+    mine = z[at[~aside]]
+    pull = np.sqrt(quality.RIDGE * len(mine)) * np.eye(z.shape[1])
+    ridge = z @ np.linalg.lstsq(np.vstack([mine, pull]), np.r_[y[~aside], np.zeros(len(pull))], rcond=None)[0]
+    bins = np.floor((np.clip(ridge[at[aside]], -0.5, 1.5) + 0.5) * quality.BINS / 2)
+    b = np.unique(bins)
+    n, total = (np.array([f(bins == v) for v in b]) for f in (np.sum, lambda m: y[aside][m].sum()))
+    level = [max(min(total[p : q + 1].sum() / n[p : q + 1].sum() for q in range(i, len(b))) for p in range(i + 1)) for i in range(len(b))]
+    place = (b + 0.5) / (quality.BINS / 2) - 0.5
+    knots = [(np.average(place[m], weights=n[m]), v) for v in np.unique(np.round(level, 12)) for m in [np.isclose(level, v)]]
+    return np.clip(np.interp(ridge, *np.array(knots).T), 0, 1)
+
+
+def test_quality_equals_a_plain_fit(spark, sf_dir):
+    sf = sf_dir.replace("0.001", "0.01")
+    docs = [(r["doc_id"], r["text"]) for r in rows_of(sf, "documents")]
+    labels = [(r["doc_id"], r["quality"]) for r in rows_of(sf, "labels")]
+    want = plain_scores(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in quality.classify(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")).collect()}
+    assert np.allclose([got[i] for i, _ in docs], want, atol=1e-6)
+
+
+def test_quality_of_odd_rows(spark):
+    rows = [(1, None), (1, ""), (None, "a b c"), (2, "word " * 200_000), (3, "\x00\ud7ff")]
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, score int, x int")
+    labels = spark.createDataFrame([(1, 1, 0), (2, None, 0), (None, 1, 0), (3, 7, 0)], "doc_id long, quality int, text int")
+    got = quality.classify(docs, labels).collect()
+    assert len(got) == 5 and all(0 <= r["score"] <= 1 for r in got)
+    assert quality.classify(docs.limit(0), labels).count() == 0 == quality.accepted(docs.limit(0), labels).count()
+    assert quality.accepted(docs, labels).columns == docs.columns
+
+
 # 6 to 8, against SQL
 
 
@@ -267,6 +334,42 @@ def test_urls_and_links(spark):
     assert got[5]["rule"] == "com/de/" and got[6]["verdict"] == "block" and got[7]["verdict"] == "allow"
 
 
+def test_distrust_runs_along_a_chain(spark):
+    """Twelve hosts, each linking to the next; the last one is blocked."""
+    rows = [(i, f"https://h{i}.net/", f'<a href="https://h{i + 1}.net/">x</a>') for i in range(12)]
+    rows += [(12, "https://h12.net/", '<a href="https://bad.com/de/">x</a>'), (13, "https://bad.com/de/", ""), (14, "https://fine.net/", None), (14, "https://fine.net/", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = url_filter.filter_urls(df).collect()
+    assert len(got) == 16 and {r["page_id"]: r["verdict"] for r in got} == {i: "allow" if i == 14 else "block" for i in range(15)}
+    assert url_filter.filter_urls(df.limit(0)).count() == 0
+    long = spark.createDataFrame([(1, "https://x.net/" + "a" * 300_000, "<p>" * 300_000)], "page_id long, url string, html string")
+    assert len(url_filter.filter_urls(long).first()["path"]) == 300_001
+
+
+def test_scores_equal_a_dense_solution(spark):
+    r = random.Random(14)
+    edges = {(f"n{r.randrange(8)}", f"n{r.randrange(8)}") for _ in range(20)}
+    edges = {(a, b) for a, b in edges if a != b}
+    names = sorted({x for e in edges for x in e} | {"alone"})
+    out, seeds = {}, {"trust": {names[0]: 1.0}, "distrust": {names[-2]: 0.5, "alone": 0.5}}
+    rows = []
+    for kind in seeds:
+        use = edges if kind == "trust" else {(b, a) for a, b in edges}
+        degree = Counter(a for a, _ in use)
+        w = np.zeros((len(names), len(names)))
+        for a, b in use:
+            rows.append((kind, a, b, 1 / degree[a]))
+            w[names.index(b), names.index(a)] = 1 / degree[a]
+        s = np.array([seeds[kind].get(n, 0.0) for n in names])
+        w[:, w.sum(axis=0) == 0] = s[:, None]  # without edges: back to the seeds
+        out[kind] = np.linalg.solve(np.eye(len(names)) - 0.85 * w, 0.15 * s)
+    e = spark.createDataFrame(rows, "kind string, src string, dst string, w double")
+    s = spark.createDataFrame([(k, h, x) for k, hs in seeds.items() for h, x in hs.items()], "kind string, host string, seed double")
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in url_filter.standing(e, s).collect()}
+    for i, n in enumerate(names):
+        assert np.allclose(got.get(n, (0, 0)), (out["trust"][i], out["distrust"][i]), atol=2 * url_filter.TOLERANCE)
+
+
 def test_licenses(spark, docs):
     texts = [(1, "Some words.\nreleased under the  MIT license!\nmore", 1), (2, license_scan.TEMPLATES["MIT"].replace(" to deal", "\nto deal"), 1), (2, None, 1), (3, "license", 1)]
     got = {(r["doc_id"], r["license"]) for r in license_scan.scan(spark.createDataFrame(texts, "doc_id long, text string, dice int")).collect()}
@@ -276,13 +379,17 @@ def test_licenses(spark, docs):
 
 def test_licenses_of_dice_just_at_the_threshold(spark):
     lines = ["This work is licensed under CC BY-SA 4.0.", "Licensed under CC BY-NC", "Code is released under the MIT License.", "Acme: all rights reserved."]
+    apache = license_scan.TEMPLATES["Apache-2.0"].replace(" you may", "\nyou may").replace(" You may", "\nYou may").replace(" a copy", "\na copy")
+    lines += ["Copyright 2020 Acme Inc. All rights reserved.", "# tool\n#\n# " + apache.replace("\n", "\n# ") + "\n#\n# more words", "", "one. two! three; four: five", "\n\n\n"]
+    lines += ["Some prose comes first. Then this: " + license_scan.TEMPLATES["MPL-2.0"] + " And then more prose follows in the same line of text.", "word " * 50_000]
     df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(lines)))
+    assert license_scan.scan(df.limit(0)).count() == 0
     cols = "doc_id, license, dice, n_segments"
     want = con.sql(f"SELECT {cols} FROM ({license_scan.oracle()})").fetchall()
-    assert {r[0] for r in want if r[2] == 0.8} == {0, 1, 2, 3}
+    assert {r[0] for r in want if r[2] == 0.8} >= {0, 1, 2} and {r[0] for r in want} == {0, 1, 2, 3, 4, 5, 9}
     assert Counter(map(tuple, license_scan.scan(df).select(*cols.split(", ")).collect())) == Counter(want)
 
 
@@ -296,6 +403,14 @@ def test_chats(spark):
     assert chat_format.format_chats(df.limit(0)).count() == 0
 
 
+def test_long_roles_and_texts(spark):
+    role, text = "ro:le \\ " * 130_000, "### a\n</turn>\\ " * 70_000
+    rows = [(1, 0, role, text, "x"), (-7, 0, "user", "mine", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, valid string")
+    got = {r["conv_id"]: r for r in chat_format.read_back(chat_format.format_chats(chat_format.with_tricky(df))).collect()}
+    assert [tuple(t) for t in got[1]["turns"]] == [(role, text)] and len(got[-7]["turns"]) == 3
+
+
 # 9. Decontamination
 
 
@@ -551,6 +666,51 @@ def test_one_of_each_with_null_and_repeated_ids(spark):
 # The pipeline
 
 
+def test_pipeline_equals_plain_python(spark, sf_dir, tmp_path, reference):
+    """Nulls, repeated rows and ids, empty texts, copies, a benchmark passage and clashing columns, through all stages."""
+    import corpus_pipeline
+
+    docs = [(r["doc_id"], r["text"]) for r in rows_of(sf_dir, "documents")]
+    good = [t for _, t in docs if t and len(t.split()) > 60][:12]
+    passage = " ".join(good[3].split()[:25])
+    docs += [(None, good[0]), (None, good[1]), (None, good[1]), (docs[0][0], good[2]), (docs[1][0], docs[1][1]), (None, None), (900, None), (901, ""), (902, good[4] + " end")]
+    docs += [(903, good[5] + " " + passage), (None, passage)]
+    labels = [(r["doc_id"], r["quality"]) for r in rows_of(sf_dir, "labels")] + [(None, 1), (5, None)]
+    items = [(1, passage), (None, "never seen words here at all"), (2, None), (3, "")]
+    put = lambda name, rows, schema: spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    put("documents", [(i, t, 1, 2, 3, 4) for i, t in docs], "doc_id long, text string, score int, key int, row int, hits int")
+    put("labels", labels, "doc_id long, quality int")
+    put("benchmark", items, "item_id long, text string")
+    sf = str(tmp_path)
+    left = [d for d, s in zip(docs, plain_scores(docs, labels), strict=True) if s >= 0.5]
+    words, root = [near_dup.words_of(t) for _, t in left], list(range(len(left)))
+
+    def top(i):
+        return i if root[i] == i else top(root[i])
+
+    for i in range(len(left)):
+        for j in range(i):
+            if words[i] and words[j] and near_dup.similar(words[i], words[j]):
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    kept = []
+    for i, (doc_id, text) in enumerate(left):
+        class_ = [k for k in range(len(left)) if top(k) == top(i)]
+        ids = [left[k][0] for k in class_ if left[k][0] is not None]
+        least = min(near_dup.key_of(words[k]) for k in class_) if words[i] else None
+        if not words[i] or (doc_id == min(ids) if ids else near_dup.key_of(words[i]) == least):
+            kept.append((doc_id, text))
+    kept = [(i, t) for i, t in kept if not brute_hits([(0, t)], [x for x in items if x[1]])]
+    want = Counter()
+    for i, t in kept:
+        ids = np.array(reference.encode_ordinary(t or ""), "<u4").tobytes()
+        want[i, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()] += 1
+    assert Counter(map(tuple, corpus_pipeline.run(spark, sf).collect())) == want and len(want) > 20
+    spark.read.parquet(f"{sf}/documents.parquet").limit(0).write.parquet(f"{sf}/none/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{sf}/none/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{sf}/none").count() == 0
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
