@@ -1,8 +1,10 @@
 """Connected components of an edge list, by large-star and small-star rounds.
 
-Each partition first shrinks its own edges to a forest.  A round then replaces
-neighbours by the least one, with joins and minima only; no component is ever
-gathered in one task.  A hub of very many edges is one key of a join whose other
+Each partition first shrinks its own edges to a forest, which has fewer edges than
+nodes.  At most ``LOCAL`` edges (counted) go on to one task, whose forest is the
+answer.  While there are more, a round replaces neighbours by the least one, with
+joins and minima only, and partitions of ``LOCAL`` edges shrink theirs again; no
+larger component is ever gathered in one task.  A hub of very many edges is one key of a join whose other
 side has one row for it, which adaptive execution splits.
 """
 
@@ -18,6 +20,10 @@ from pyspark.sql import functions as F
 from pitchlake.llm.common import cut
 
 
+#: Edges that one task may hold.
+LOCAL = 500_000
+
+
 def _forest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Edges of a partition as (node, least node of its tree)."""
     parent: dict[int, int] = {}
@@ -58,12 +64,16 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (long a, b): root is the least
     node of its component.  Loops and repeated edges change nothing."""
     ordered = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now = cut(ordered.mapInPandas(_forest, "a long, b long"))
+    forest = lambda df: cut(df.mapInPandas(_forest, "a long, b long"))
+    now = forest(ordered)
     state = None
     while True:
         row = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(row) == state or not row[0]:
+        if row[0] <= LOCAL:
+            now = forest(now.coalesce(1))
+            break
+        if tuple(row) == state:
             break
         state = tuple(row)
-        now = cut(_star(_star(now, True), False))
+        now = forest(_star(_star(now, True), False).coalesce(-(-row[0] // LOCAL)))
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b")).distinct()

@@ -165,18 +165,42 @@ def edits_within(a: list, b: list, most: int) -> int | None:
     return None
 
 
-def anchored(p: np.ndarray, q: np.ndarray, most: int) -> int:
+class Sequence:
+    """A text's words as numbers, with what alignment needs of it worked out once."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids = ids
+        self.words, self.often = np.unique(ids, return_counts=True)
+        self._once: tuple[np.ndarray, np.ndarray] | None = None
+
+    def once(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the pairs of neighbouring words that stand once, and where."""
+        if self._once is None:
+            x = self.ids
+            twos = x[:-1].astype(np.uint64) * MIX ^ (x[1:].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            value, first, count = np.unique(twos, return_index=True, return_counts=True)
+            self._once = value[count == 1], first[count == 1]
+        return self._once
+
+
+def _same(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of equal values in two sorted arrays without repeats."""
+    if not len(a) or not len(b):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    j = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    i = np.flatnonzero(b[j] == a)
+    return i, j[i]
+
+
+def anchored(x: Sequence, y: Sequence, most: int) -> int:
     """Edits of an alignment through pairs of words that either text holds once,
     inside the band: an upper bound of the edit distance.  Gaps of one length are
     aligned word by word, others replaced whole."""
+    p, q = x.ids, y.ids
     n, m = len(p), len(q)
-    twos = [x[:-1].astype(np.uint64) * MIX ^ (x[1:].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) for x in (p, q)]
-    once = []
-    for h in twos:
-        value, first, count = np.unique(h, return_index=True, return_counts=True)
-        once.append((value[count == 1], first[count == 1]))
-    _, i, j = np.intersect1d(once[0][0], once[1][0], assume_unique=True, return_indices=True)
-    i, j = once[0][1][i], once[1][1][j]
+    (v, first), (w, second) = x.once(), y.once()
+    i, j = _same(v, w)
+    i, j = first[i], second[j]
     order = np.argsort(i)
     i, j = i[order], j[order]
     inside = np.abs(j - i) <= most
@@ -198,24 +222,20 @@ def similar(a: list[str], b: list[str], least: float = SIMILARITY) -> bool:
     """Whether 1 - edits / words of the longer reaches ``least``."""
     number: dict[str, int] = {}
     p, q = (np.fromiter((number.setdefault(w, len(number)) for w in x), np.int64, len(x)) for x in (a, b))
-    return aligned(p, q, least)
+    return aligned(Sequence(p), Sequence(q), least)
 
 
-def aligned(p: np.ndarray, q: np.ndarray, least: float = SIMILARITY) -> bool:
-    """The same for arrays of word numbers.  Bounds from above and below decide
-    most pairs; the others are aligned."""
-    longer = max(len(p), len(q))
+def aligned(x: Sequence, y: Sequence, least: float = SIMILARITY) -> bool:
+    """The same for word numbers.  Bounds from below and above decide most pairs;
+    the others are aligned."""
+    longer = max(len(x.ids), len(y.ids))
     most = int((1 - least) * longer + 1e-9)
-    if abs(len(p) - len(q)) > most:
+    if abs(len(x.ids) - len(y.ids)) > most:
         return False
-    if anchored(p, q, most) <= most:
-        return True
-    x, m = np.unique(p, return_counts=True)
-    y, n = np.unique(q, return_counts=True)
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    if longer - int(np.minimum(m[i], n[j]).sum()) > most:
+    i, j = _same(x.words, y.words)
+    if longer - int(np.minimum(x.often[i], y.often[j]).sum()) > most:
         return False  # words that one side lacks
-    return edits_within(p.tolist(), q.tolist(), most) is not None
+    return anchored(x, y, most) <= most or edits_within(x.ids.tolist(), y.ids.tolist(), most) is not None
 
 
 def text_key(text: Column) -> Column:
@@ -306,32 +326,52 @@ def to_hubs(left: DataFrame, found: DataFrame, least: float = SIMILARITY) -> Dat
 
 def between(left: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Distinct pairs (a, b), a < b, of all texts of a bucket and of different
-    classes, but for those whose lengths or bags need too many edits."""
+    classes, but for those whose lengths or bags need too many edits.  The texts of
+    a bucket outside its largest class are held against all of it, in blocks of
+    both: each row is copied once for each block of the other side."""
     small_batches(left.sparkSession)
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("long")
-    dealt = left.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
-    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    both = other.select(
-        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root", "n", "bag"
-    )
+    sizes = left.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("rows"))
+    shape = main.select("bucket", F.col("main.root").alias("main"), _blocks("rows").alias("alls"), _blocks(F.col("rows") - F.col("main.n")).alias("others"))
+    dealt = left.drop("rows").join(shape, "bucket")
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    own = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
+    columns = ["bucket", "i", "j", "side", "node", "root", "n", "bag"]
+    asking = dealt.where("root <> main").withColumns({"i": own("others"), "j": every("alls"), "side": F.lit(0)}).select(*columns)
+    asked = dealt.withColumns({"j": own("alls"), "i": every("others"), "side": F.lit(1)}).select(*columns)
 
     def near(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
-        node, root, n, block = (rows[c].to_numpy() for c in ("node", "root", "n", "block"))
+        rows = rows.sort_values("n")
+        node, root, n, side = (rows[c].to_numpy() for c in ("node", "root", "n", "side"))
         bag = np.frombuffer(b"".join(rows["bag"]), np.uint8).reshape(len(rows), BINS).astype(np.int16)
+        coarse = bag.reshape(len(rows), -1, 8).sum(axis=2, dtype=np.int16)
+        here, there = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        low = np.searchsorted(n[there], np.ceil(n[here] * least - 1e-9))
+        high = np.searchsorted(n[there], np.floor(n[here] / least + 1e-9), "right")
         out = []
-        here = np.flatnonzero(block == i)
-        there = np.flatnonzero(block == j)
-        for x in here.tolist():
-            y = there[(root[there] != root[x]) & ((node[there] > node[x]) | (i != j))]
-            most = ((1 - least) * np.maximum(n[y], n[x]) + 1e-9).astype(np.int64)
-            y = y[(np.abs(n[y] - n[x]) <= most) & (np.abs(bag[y] - bag[x]).sum(axis=1) <= 2 * most)]
+        for x, s, e in zip(here.tolist(), low.tolist(), high.tolist(), strict=True):
+            y = there[s:e]
+            y = y[root[y] != root[x]]
+            for bins in (coarse, bag):
+                most = ((1 - least) * np.maximum(n[y], n[x]) + 1e-9).astype(np.int64)
+                y = y[np.abs(bins[y] - bins[x]).sum(axis=1) <= 2 * most]
             out.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], axis=1))
         return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 2), np.int64), columns=["a", "b"])
 
+    # Little to read but much to compare: by a number of partitions that stays.
+    both = asking.unionByName(asked).repartition(_partitions(left), "bucket", "i", "j")
     return both.groupBy("bucket", "i", "j").applyInPandas(near, "a long, b long").distinct()
 
 
+def _blocks(rows) -> Column:
+    """Blocks of at most about BLOCK rows; one at least."""
+    return F.greatest(F.ceil((F.col(rows) if isinstance(rows, str) else rows) / BLOCK), F.lit(1)).cast("long")
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def packed_texts(docs: DataFrame, nodes: DataFrame, folder: str) -> DataFrame:
     """node, data (the words, compressed), as a written table: one row for each of
     ``nodes`` (node, key), whatever the copies."""
@@ -362,15 +402,15 @@ def accepted(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> D
 
     def align(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number, press = Memo(xxhash.xxh3_64_intdigest), zstandard.ZstdDecompressor()
-        lately: dict[int, np.ndarray] = {}
+        lately: dict[int, Sequence] = {}
 
-        def known(node: int, data: bytes) -> np.ndarray:
+        def known(node: int, data: bytes) -> Sequence:
             """Word hashes of a node's text."""
             if node not in lately:
                 if len(lately) > 200:
                     lately.clear()
                 words = press.decompress(data).decode("utf-8", "surrogatepass").split(" ")
-                lately[node] = np.fromiter(map(number.__getitem__, words), np.uint64, len(words))
+                lately[node] = Sequence(np.fromiter(map(number.__getitem__, words), np.uint64, len(words)))
             return lately[node]
 
         for part in parts:

@@ -16,7 +16,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from pitchlake.llm import byte_bpe, chat_format, decontaminate, katz, license_scan, near_dup, quality, queries, token_counts, url_filter, vector_dedup
+from pitchlake.llm import byte_bpe, chat_format, components, decontaminate, katz, license_scan, near_dup, quality, queries, token_counts, url_filter, vector_dedup
 
 RANKS = Path(queries.RANKS).read_bytes()
 
@@ -552,6 +552,21 @@ def test_alignment():
         assert near_dup.similar(a, b) == (true <= int(0.2 * max(len(a), len(b)) + 1e-9))
 
 
+@pytest.mark.parametrize("local", [components.LOCAL, 20])
+def test_components(spark, monkeypatch, local):
+    """In one task and by rounds, against a search."""
+    monkeypatch.setattr(components, "LOCAL", local)
+    r = random.Random(15)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(1000 + k, 1001 + k) for k in range(60)] + [(2000, 2000 + k) for k in range(80)] + [(5, 5)] * 3
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = components.components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()
+    alone = {x for x in root if all(a == b for a, b in edges if x in (a, b))}
+    assert Counter(map(tuple, got)) == Counter((x, y) for x, y in root.items() if x not in alone)
+
+
 def test_near_duplicates(spark, docs):
     r = random.Random(6)
     rows, want = [], {}
