@@ -9,12 +9,12 @@ positive as soon as a history has been seen, so none is rounded or floored.
 
 Spark does it level by level.  1. Texts are cut into flushes of about ``FLUSH``
 tokens, each with its own numbering of words, written once.  2. At each level a
-flush sends its distinct n-grams, as (name of the history, name of the word), with
+flush sends its distinct n-grams, by the names that level 1 gave their words, with
 how often it saw each; equal ones were added up before, so the most frequent
 n-gram is one entry of a flush.  Entries are dealt over buckets by history, and
 those of a history of more than ``SPREAD`` tokens over as many buckets as that
-takes.  A bucket adds up the entries, names the n-grams it knows and answers every
-flush in the order of its entries; with those that nobody trained on it sends the
+takes.  A bucket adds up the entries (at level 1 it also names the words, frequent
+ones by small numbers) and answers every flush in the order of its entries; with those that nobody trained on it sends the
 sums that make the history's weight.  Sums of spread histories are added up by
 Spark and joined with those who ask.  Answers are the tables of the next level.
 3. Each flush works out the probabilities of its tokens recursively from the
@@ -178,16 +178,21 @@ def ranged(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed(keys) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def label(h: np.ndarray) -> str:
+    """A history as text."""
+    return " ".join(map(str, h.tolist()))
+
+
 def runs_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where runs of equal values begin, and the number of each entry's run."""
-    new = np.r_[True, h[1:] != h[:-1]][: len(h)]
+    """Where runs of equal columns begin, and the number of each entry's run."""
+    new = np.r_[True, (h[:, 1:] != h[:, :-1]).any(axis=0)][: h.shape[1]]
     return np.flatnonzero(new), np.cumsum(new) - 1
 
 
 class Flush:
     """The tokens of a flush and what is known of their n-grams so far: for each
-    level and place a local number of the n-gram that ends there, its name (-1:
-    unknown) and its count in training."""
+    level and place a local number of the n-gram that ends there and its count in
+    training; for each place the name of the word (-1: unknown)."""
 
     def __init__(self, body: bytes, order: int, total: int, texts: int, buckets: dict[int, int], spread: int):
         self.order, self.total, self.texts, self.buckets, self.spread = order, total, texts, buckets, spread
@@ -196,7 +201,7 @@ class Flush:
         self.piece = np.repeat(np.arange(len(whole)), whole)
         self.at = np.arange(len(self.tok)) - np.repeat(np.cumsum(whole) - whole, whole)
         self.event = self.at >= order - 1
-        self.local, self.name, self.count, self.alpha = {}, {}, {}, {}
+        self.local, self.count, self.alpha = {}, {}, {}
 
     def words(self, blocks: list[bytes]) -> None:
         """Takes the answers of level 1."""
@@ -206,7 +211,7 @@ class Flush:
         if found:
             c[1:], name[1:] = (np.concatenate([f[i] for f in found])[self.place] for i in (0, 1))
         name[c == 0] = -1
-        self.local[1], self.count[1], self.name[1] = self.tok, c[self.tok], name[self.tok]
+        self.local[1], self.count[1], self.name = self.tok, c[self.tok], name[self.tok]
 
     def entries(self, k: int) -> None:
         """Distinct n-grams of level k whose history is known, in the order of the buckets."""
@@ -217,12 +222,15 @@ class Flush:
         n = int(inv.max(initial=-1)) + 1
         some = np.empty(n, np.int64)
         some[inv] = p
-        self.h, self.w, self.low = self.name[k - 1][some - 1], self.name[1][some] + 1, self.count[k - 1][some]
+        self.h, self.w, self.low = np.stack([self.name[some - j] for j in range(k - 1, 0, -1)]), self.name[some] + 1, self.count[k - 1][some]
         self.c = np.bincount(inv, self.train[self.piece[p]] * self.event[p], n).astype(np.int64)
         parts = -(-self.count[k - 1][some - 1] // self.spread)
         self.wide = parts > 1
         spread = np.where(self.wide, mixed(self.w) % np.maximum(parts, 1).astype(np.uint64) + np.uint64(1), np.uint64(0))
-        spot = mixed(mixed(self.h) + spread) % np.uint64(self.buckets[k])
+        whole = np.zeros(n, np.uint64)
+        for h in self.h:
+            whole = mixed(whole + h.astype(np.uint64))
+        spot = mixed(whole + spread) % np.uint64(self.buckets[k])
         self.order_of, self.edges = dealt(spot, self.buckets[k])
         self.inv = inv
 
@@ -231,29 +239,28 @@ class Flush:
         for b, (s, e) in enumerate(zip(self.edges[:-1].tolist(), self.edges[1:].tolist(), strict=True)):
             if e > s:
                 at = self.order_of[s:e]
-                h = self.h[at]
+                h = self.h[:, at]
                 start, _ = runs_of(h)
-                out.append((b, packed(h[start], np.diff(np.r_[start, len(h)]), self.wide[at][start], self.w[at], self.c[at], self.low[at])))
+                out.append((b, packed(np.diff(np.r_[start, len(at)]), self.wide[at][start], self.w[at], self.c[at], self.low[at], *h[:, start])))
         return out
 
-    def answers(self, k: int, blocks: list[bytes], sums: dict[int, np.ndarray], give: np.ndarray, below: np.ndarray) -> None:
+    def answers(self, k: int, blocks: list[bytes], sums: dict[str, np.ndarray], give: np.ndarray, below: np.ndarray) -> None:
         """Takes the answers of level k.  give, below: what counts give up at this
         level and at the one below."""
-        n = len(self.h)
-        c, name, alpha = np.zeros(n, np.int64), np.full(n, -1), np.ones(n)
+        n, c = len(self.w), np.zeros(len(self.w), np.int64)
+        alpha = np.ones(n)
         found, at = [unpacked(b) for b in blocks], self.order_of
         if found:
-            c[at], name[at] = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-            name[c == 0] = -1
+            c[at] = np.concatenate([f[0] for f in found])
             # Sums for the runs of histories that were asked for, block by block.
             block = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-            _, run = runs_of(self.h[at] * len(found) + block)
+            _, run = runs_of(np.vstack([self.h[:, at], block]))
             asked = c[at] == 0
-            tally = np.concatenate([f[2].reshape(TALLY, -1) for f in found], axis=1).T
+            tally = np.concatenate([f[1].reshape(TALLY, -1) for f in found], axis=1).T
             _, nth = np.unique(run[asked], return_inverse=True)
             e, t = at[asked], tally[nth]
             for i in np.flatnonzero(self.wide[e]).tolist():
-                t[i] = sums[int(self.h[e[i]])]
+                t[i] = sums[label(self.h[:, e[i]])]
             some = np.empty(n, np.int64)
             some[self.inv] = self.p
             total = self.count[k - 2][some[e] - 1] if k > 2 else np.full(len(e), self.total)
@@ -262,11 +269,11 @@ class Flush:
             left = (total - count) + theirs @ below
             alpha[e] = kept / np.where(left > 0, left, 1) * total
         size = len(self.tok)
-        self.count[k], self.name[k], self.local[k] = np.zeros(size, np.int64), np.full(size, -1), np.zeros(size, np.int64)
+        self.count[k], self.local[k] = np.zeros(size, np.int64), np.zeros(size, np.int64)
         self.alpha[k] = np.ones(size)
         start = (self.tok == 0) & (self.at >= k - 1)
-        self.count[k][start], self.name[k][start] = self.texts, 0
-        self.count[k][self.p], self.name[k][self.p], self.local[k][self.p] = c[self.inv], name[self.inv], self.inv + 1
+        self.count[k][start] = self.texts
+        self.count[k][self.p], self.local[k][self.p] = c[self.inv], self.inv + 1
         self.alpha[k][self.p] = alpha[self.inv]
 
     def scores(self, gives: list[np.ndarray], rest: float) -> np.ndarray:
@@ -285,7 +292,7 @@ class Flush:
         return out
 
 
-def merge(level: int, buckets: int, last: bool):
+def merge(level: int, buckets: int):
     """A bucket's work: adds up the entries of all flushes and answers them."""
 
     def counted(key, rows: pd.DataFrame) -> pd.DataFrame:
@@ -293,44 +300,44 @@ def merge(level: int, buckets: int, last: bool):
         if level == 1:
             sizes = [len(g[0]) for g in got]
             w, c = (np.concatenate([g[i] for g in got]) for i in (0, 1))
-            h, wide, low = np.zeros(len(w), np.int64), np.zeros(len(w), bool), np.zeros(len(w), np.int64)
+            h, wide, low = np.zeros((0, len(w)), np.int64), np.zeros(len(w), bool), np.zeros(len(w), np.int64)
         else:
-            sizes = [len(g[3]) for g in got]
-            h, wide = np.concatenate([np.repeat(g[0], g[1]) for g in got]), np.concatenate([np.repeat(g[2], g[1]) for g in got]) > 0
-            w, c, low = (np.concatenate([g[i] for g in got]) for i in (3, 4, 5))
-        order = np.lexsort((w, h))
-        h, w = h[order], w[order]
-        new = np.r_[True, (h[1:] != h[:-1]) | (w[1:] != w[:-1])]
-        start, group = np.flatnonzero(new), np.cumsum(new) - 1
-        n, gh, glow = np.add.reduceat(c[order], start), h[start], low[order][start]
-        names = np.zeros(len(n), np.int64)
-        known = np.flatnonzero(n)
-        if not last:
-            names[known[np.argsort(-n[known], kind="stable")]] = np.arange(len(known)) * buckets + bucket + 1
+            sizes = [len(g[2]) for g in got]
+            h = np.concatenate([np.repeat(np.stack(g[5:]), g[0], axis=1) for g in got], axis=1)
+            wide = np.concatenate([np.repeat(g[1], g[0]) for g in got]) > 0
+            w, c, low = (np.concatenate([g[i] for g in got]) for i in (2, 3, 4))
+        order = np.lexsort((w, *h[::-1]))
+        h, w = h[:, order], w[order]
+        start, group = runs_of(np.vstack([h, w]))
+        n, gh, glow = np.add.reduceat(c[order], start), h[:, start], low[order][start]
         place = np.empty(len(order), np.int64)
         place[order] = group
         out = []
         put = lambda kind, **x: out.append({"kind": kind, "flush": None, "level": level, "bucket": bucket, "data": None, "h": None, "tally": None} | x)
         classes = np.arange(1, LOW + 2)
-        if level > 1:
+        if level == 1:
+            names, known = np.zeros(len(n), np.int64), np.flatnonzero(n)
+            names[known[np.argsort(-n[known], kind="stable")]] = np.arange(len(known)) * buckets + bucket + 1
+        else:
             run, run_of = runs_of(gh)
             kinds = [np.minimum(x, LOW + 1) * (n > 0) for x in (n, glow)]
             tally = np.stack([*(np.add.reduceat((x == r).astype(np.int64), run) for x in kinds for r in classes), np.add.reduceat(glow * (n > 0), run)])
             is_wide = np.zeros(len(run), bool)
             is_wide[run_of[place[wide]]] = True
             for i in np.flatnonzero(is_wide).tolist():
-                put("sum", h=str(gh[run[i]]), tally=tally[:, i].tolist())
+                put("sum", h=label(gh[:, run[i]]), tally=tally[:, i].tolist())
         edges = np.cumsum([0, *sizes])
         for flush, s, e in zip(rows["flush"].tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             g = place[s:e]
-            extra = ()
-            if level > 1:
+            if level == 1:
+                extra = names[g]
+            else:
                 asked = run_of[g[n[g] == 0]]
                 asked = asked[np.r_[True, asked[1:] != asked[:-1]][: len(asked)]]
-                extra = (tally[:, asked].ravel(),)
+                extra = tally[:, asked].ravel()
                 for i in asked[is_wide[asked]].tolist():
-                    put("ask", flush=flush, h=str(gh[run[i]]))
-            put("answer", flush=flush, data=packed(n[g], names[g], *extra))
+                    put("ask", flush=flush, h=label(gh[:, run[i]]))
+            put("answer", flush=flush, data=packed(n[g], extra))
         put("stat", tally=np.bincount(np.minimum(n, LOW + 2), minlength=LOW + 3)[1:].tolist())
         return pd.DataFrame(out, columns=[x.split()[0] for x in ANSWER.split(", ")]).astype({"flush": "Int64"})
 
@@ -366,7 +373,7 @@ def score(docs: DataFrame, learn, order: int = ORDER) -> DataFrame:
                 continue
             extra = mine[mine["kind"] == "ask"]
             flush.entries(k)
-            flush.answers(k, blocks, dict(zip(map(int, extra["h"]), map(np.array, extra["tally"]), strict=True)), gives[k - 1], gives[k - 2])
+            flush.answers(k, blocks, dict(zip(extra["h"], map(np.array, extra["tally"]), strict=True)), gives[k - 1], gives[k - 2])
         return flush
 
     def first(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -399,7 +406,7 @@ def score(docs: DataFrame, learn, order: int = ORDER) -> DataFrame:
     distinct = 0
     for k in range(1, order + 1):
         asked = flushed.where("kind = 'keys'").select("flush", "data").mapInPandas(first, request) if k == 1 else told(k - 1).applyInPandas(asking(k), request)
-        asked.groupBy("bucket").applyInPandas(merge(k, buckets[k], k == order), ANSWER).write.partitionBy("kind").parquet(f"{folder}/{k}")
+        asked.groupBy("bucket").applyInPandas(merge(k, buckets[k]), ANSWER).write.partitionBy("kind").parquet(f"{folder}/{k}")
         table = spark.read.schema(ANSWER).parquet(f"{folder}/{k}")
         stat = table.where("kind = 'stat'").agg(*(F.coalesce(F.sum(F.col("tally")[i]), F.lit(0)) for i in range(LOW + 2))).first()
         gives.append(given_up(discounts(list(stat[:-1]))))
