@@ -17,6 +17,7 @@ there (``SPACED``); under any other pattern they are matched whole.
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 from collections.abc import Iterator
 from struct import pack
@@ -197,6 +198,15 @@ def bpe(content: bytes, pattern: str) -> Bpe:
     return _ready[key]
 
 
+@functools.cache
+def spelt(content: bytes) -> np.ndarray:
+    """The bytes of each token; once for each worker process and rank file."""
+    found = read_ranks(content)
+    words = np.empty(max(found.values()) + 1, object)
+    words[list(found.values())] = list(found)
+    return words
+
+
 def encode(docs: DataFrame, ranks: bytes, pattern: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """Adds ``out_col``: token ids as a binary of little-endian 32-bit integers.
     ranks: content of the rank file, of fixed size (about 1 MB), shipped once."""
@@ -219,11 +229,9 @@ def decode(encoded: DataFrame, ranks: bytes, ids_col: str = "ids", out_col: str
 
     @F.pandas_udf("binary")
     def texts(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        found = read_ranks(sent.value)
-        spelt = np.empty(max(found.values()) + 1, object)
-        spelt[list(found.values())] = list(found)
+        words = spelt(sent.value)
         for ids in parts:
-            yield pd.Series([b"".join(spelt[np.frombuffer(x or b"", "<u4")].tolist()) for x in ids], dtype=object)
+            yield pd.Series([b"".join(words[np.frombuffer(x or b"", "<u4")].tolist()) for x in ids], dtype=object)
 
     return encoded.withColumn(out_col, texts(F.col(ids_col)))
 

@@ -16,7 +16,9 @@ its parent domain (of two labels at least), so that mirrors such as ``www.`` and
 before it is shuffled; each round is one join and one sum on it.
 
 All of it is built-in column functions.  Rules are constants, a few hundred at
-most; hosts and edges are never collected or broadcast by request.
+most; hosts and edges are never collected.  Of the hosts only those of more than
+one page in ``HOT`` are broadcast, so ``HOT`` at most: their pages are judged
+where they are read, and only those of other hosts are shuffled.
 
 Defined results: a null url, or one without ``://``, has an empty host and path;
 pages of a host without trust and distrust are allowed; equal rules count once;
@@ -44,6 +46,7 @@ RULES = (
 DAMPING, TOLERANCE, BLOCK_SHARE = 0.85, 1e-3, 0.75
 #: After r rounds at most DAMPING ** r of the mass is left to move.
 ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
+HOT = 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)href\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
 
@@ -68,10 +71,10 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     return df.withColumns({"rule": best["rule"], "said": best["said"]})
 
 
-def edges_and_seeds(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def edges_and_seeds(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Edges (kind, src, dst, w) in both kinds, forward for trust and reversed
     for distrust, with the weights leaving a host summing to 1, and seeds
-    (kind, host, seed), each kind summing to 1."""
+    (kind, host, seed), each kind summing to 1; and hosts with their pages."""
     links = (
         pages.where("host <> ''")
         .select(F.col("host").alias("a"), F.explode(F.regexp_extract_all("html", F.lit(LINK), 1)).alias("b"))
@@ -81,7 +84,7 @@ def edges_and_seeds(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         .agg(F.count(F.lit(1)).cast("double").alias("n"))
     )
     hosts = pages.where("host <> ''").groupBy("host").agg(
-        F.count_if(F.col("said") == "allow").alias("allow"), F.count_if(F.col("said") == "block").alias("block")
+        F.count_if(F.col("said") == "allow").alias("allow"), F.count_if(F.col("said") == "block").alias("block"), F.count(F.lit(1)).alias("pages")
     )
     hosts = cut(hosts)
     links = cut(links)
@@ -109,7 +112,7 @@ def edges_and_seeds(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     ).select("host", "x.*").where("n > 0")
     total = counts.groupBy("kind").agg(F.sum("n").alias("all"))
     seeds = counts.join(F.broadcast(total), "kind").select("kind", "host", (F.col("n") / F.col("all")).alias("seed"))
-    return cut(edges), cut(seeds)
+    return cut(edges), cut(seeds), hosts.select("host", "pages")
 
 
 def standing(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
@@ -133,12 +136,16 @@ def standing(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, round
 
 def filter_urls(pages: DataFrame, rules=RULES, share: float = BLOCK_SHARE) -> DataFrame:
     """page_id, host, path, rule, verdict, distrust_share."""
-    edges, seeds = edges_and_seeds(judged(pages.select("page_id", "url", "html"), rules))
+    edges, seeds, sizes = edges_and_seeds(judged(pages.select("page_id", "url", "html"), rules))
     part = F.round(F.col("distrust") / (F.col("trust") + F.col("distrust")), 9)
-    hosts = standing(edges, seeds).select("host", part.alias("distrust_share"))
+    hosts = cut(sizes.join(standing(edges, seeds).select("host", part.alias("distrust_share")), "host", "full"))
+    total = hosts.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
+    hot = F.broadcast(hosts.where(F.col("pages") > total / HOT).drop("pages"))
     plain = judged(pages.select("page_id", "url"), rules)
+    near = plain.join(hot, "host")
+    far = plain.join(hot.select("host"), "host", "left_anti").join(hosts.drop("pages"), "host", "left")
     bad = F.coalesce(F.col("distrust_share") >= share, F.lit(False))
-    return plain.join(hosts, "host", "left").select(
+    return near.unionByName(far).select(
         "page_id", "host", "path", "rule", F.coalesce("said", F.when(bad, "block").otherwise("allow")).alias("verdict"),
         F.coalesce("distrust_share", F.lit(0.0)).alias("distrust_share"),
     )
