@@ -87,6 +87,11 @@ def first_ids(df: DataFrame, key: str = "game_pk", most: int = 20) -> DataFrame:
     return df.select(key).distinct().orderBy(key).limit(most)
 
 
+def venue_ids(games: DataFrame) -> DataFrame:
+    """Venues that games refer to."""
+    return games.select("venue_id").where("venue_id IS NOT NULL").distinct()
+
+
 def schedule_counts(schedule: DataFrame, *keys: str) -> DataFrame:
     return schedule.groupBy(*keys).agg(F.count(ROWS).alias("games"))
 

@@ -476,7 +476,7 @@ def not_loaded(w, g):
 
 @register("SELECT DISTINCT venue_id FROM v_games WHERE venue_id IS NOT NULL", "v_games")
 def venue_ids(g):
-    return g.select("venue_id").where("venue_id IS NOT NULL").distinct()
+    return quality.venue_ids(g)
 
 
 @register(

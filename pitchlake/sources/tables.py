@@ -26,9 +26,10 @@ from pitchlake.operators.quality import final_game_facts
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType, game_pk: int | None = None, game_date=None) -> DataFrame:
-    """Rows of a table, of one game, of one date or all; a table that is not there
-    is an empty frame of the same type, any other failure is raised."""
+def read_table(spark: SparkSession, path: str, schema: T.StructType, game_pk: int | None = None, game_date=None, dates: tuple | None = None) -> DataFrame:
+    """Rows of a table, of one game, of one date or a range of them (only their
+    folders are listed and read) or all; a table that is not there is an empty
+    frame of the same type, any other failure is raised."""
     try:
         df = spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
@@ -37,6 +38,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, game_pk: in
         return spark.createDataFrame([], schema)
     if game_date is not None:
         df = df.where(F.col("game_date") == F.lit(game_date).cast("date"))
+    if dates is not None:
+        df = df.where(F.col("game_date").between(*(F.lit(d).cast("date") for d in dates)))
     return df if game_pk is None else df.where(F.col("game_pk") == game_pk)
 
 

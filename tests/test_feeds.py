@@ -136,6 +136,8 @@ def test_compaction_keeps_rows(spark, tmp_path):
     assert sum(len(f) for _, _, f in os.walk(path)) < before
     one = tables.read_table(spark, path, df.schema, game_pk=4, game_date="2024-04-02")
     plan = one._jdf.queryExecution().executedPlan().toString()
+    some = tables.read_table(spark, path, df.schema, dates=("2024-04-01", "2024-04-02"))
+    assert sorted(map(tuple, some.collect())) == sorted(tuple(r) for r in df.collect() if r["game_date"].day <= 2)
     assert one.count() == 4 and "PartitionFilters: [isnotnull(game_date" in plan and "PushedFilters: [IsNotNull(game_pk)" in plan
 
 

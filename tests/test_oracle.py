@@ -39,6 +39,15 @@ def test_matches_oracle(spark, duck, name):
     assert bag(df.columns, df.collect()) == bag(found.columns, found.fetchall())
 
 
+@pytest.mark.parametrize(("name", "keys"), [
+    ("standings", ("season", "-win_pct", "-run_diff")), ("daily_leaders", ("-strikeouts", "-total_pitches")), ("season_batting", ("-batting_avg",)),
+    ("season_batting_all", ("season", "-batting_avg")), ("pitcher_arsenal", ("-count",)), ("coverage_first_missing", ("game_pk",)),
+])
+def test_order(spark, name, keys):
+    rows = [tuple(-r[k[1:]] if k[0] == "-" else r[k] for k in keys) for r in registry.QUERIES[name](spark, SF).collect()]
+    assert rows and rows == sorted(rows)
+
+
 def test_entry_imports_and_registers(spark):
     import __spark_entry__ as entry
 
