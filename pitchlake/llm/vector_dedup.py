@@ -33,7 +33,8 @@ from pitchlake.llm.common import cut, small_batches
 from pitchlake.llm.components import components
 
 COSINE, RECALL = 0.95, 0.999
-SHARDS, SHARD_ROWS, BLOCK_ROWS = 6, 50_000, 6_000
+#: Shards at least; bytes of the vectors of one; queries of a block from one shard.
+SHARDS, SHARD_BYTES, BLOCK_ROWS = 6, 64 << 20, 12_000
 LINKS, BEAM, WIDEST, SPARE, AUDIT, LANES = 12, 32, 128, 16, 512, 256
 
 
@@ -249,8 +250,8 @@ def link(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     spark = vectors.sparkSession
     small_batches(spark)
     nodes = nodes_of(vectors)
-    total = nodes.count()
-    shards, blocks = max(SHARDS, -(-total // SHARD_ROWS)), max(1, -(-total // (SHARDS * BLOCK_ROWS)))
+    total, size = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("v") * F.lit(8).cast("long")), F.lit(0))).first()
+    shards, blocks = max(SHARDS, -(-size // SHARD_BYTES)), max(1, -(-total // (SHARDS * BLOCK_ROWS)))
     dealt = nodes.select("node", "v", "rows", F.size("v").alias("dim"), F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard"))
     rows = dealt.select(
         "node", "v", "rows", "dim", F.col("shard").alias("home"), F.pmod(F.xxhash64("node", F.lit(1)), F.lit(blocks)).cast("int").alias("block"),
