@@ -13,7 +13,7 @@ most copies in pairs linear in the rows.  Buckets that still hold several classe
 go on: their text of most accepted pairs is held against the others, and in the
 end all pairs of different classes are, in blocks, so that every two texts of a
 bucket are in one class or were compared.  There, counts of words (128 bins of
-them) bound the edits from below before a pair leaves its block.  A candidate pair
+them) bound the edits from below, and pairs never leave their block.  A candidate pair
 is accepted if a banded alignment of its words needs at most (1 - similarity)
 edits for each word of the longer text.  Components of accepted pairs are the
 classes.
@@ -136,33 +136,52 @@ def key_of(words: list[str]) -> bytes:
 
 
 def edits_within(a: list, b: list, most: int) -> int | None:
-    """Edit distance of two sequences if it is at most ``most``: furthest points
-    on the diagonals of a band that widens with each edit."""
+    """Edit distance of two sequences if it is at most ``most``.  A column of the
+    band, ``most`` places to either side of the diagonal, is a number with one bit
+    for each place, whose differences to its neighbours are worked out at once.
+    The distance is followed down the band's lower edge, then along the last row."""
     n, m = len(a), len(b)
     if abs(n - m) > most:
         return None
-    if a == b:
-        return 0
-    goal = m - n
-    reached: dict[int, int] = {}
-    for edits in range(most + 1):
-        now: dict[int, int] = {}
-        rest = most - edits
-        for d in range(max(-edits, goal - rest), min(edits, goal + rest) + 1):
-            if edits:
-                i = max(reached.get(d, -2) + 1, reached.get(d - 1, -2), reached.get(d + 1, -2) + 1)
-                i = min(i, n, m - d)
-                if i < 0 or i + d < 0:
-                    continue
-            else:
-                i = 0
-            while i < n and i + d < m and a[i] == b[i + d]:
-                i += 1
-            now[d] = i
-            if d == goal and i == n:
-                return edits
-        reached = now
-    return None
+    if n <= most:
+        return _by_rows(a, b, most)
+    width = 2 * most + 1
+    full, bottom = (1 << width) - 1, 1 << 2 * most
+    where: dict = {}  # of a value, its places in the band as bits, and for which column
+    for row in range(most):
+        bits, since = where.get(a[row], (0, -most))
+        where[a[row]] = bits | 1 << (row + most), since
+    up, down, distance = full >> most << most, 0, most
+    for j, x in enumerate(b):
+        start = j - most
+        if (row := j + most) < n:
+            bits, since = where.get(a[row], (0, start))
+            where[a[row]] = bits >> (start - since) | bottom, start
+        bits, since = where.get(x, (0, start))
+        equal = bits >> (start - since)
+        level = ((((equal & up) + up) ^ up) | equal | down) & full
+        right, left = (down | ~(level | up)) & full, level & up
+        if row < n:
+            distance += not level & bottom
+            rest = m - n + most
+        else:
+            last = 1 << (n - 1 - start)
+            distance += bool(right & last) - bool(left & last)
+            rest = m - 1 - j
+        if distance - rest > most:
+            return None
+        up, down = (left | ~(level >> 1 | right)) & full, level >> 1 & right
+    return distance if distance <= most else None
+
+
+def _by_rows(a: list, b: list, most: int) -> int | None:
+    """The same for sequences shorter than the band."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        old, row[0] = row[:], i
+        for j, y in enumerate(b, 1):
+            row[j] = min(old[j] + 1, row[j - 1] + 1, old[j - 1] + (x != y))
+    return row[-1] if row[-1] <= most else None
 
 
 class Sequence:
@@ -324,48 +343,89 @@ def to_hubs(left: DataFrame, found: DataFrame, least: float = SIMILARITY) -> Dat
     return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
-def between(left: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of all texts of a bucket and of different
-    classes, but for those whose lengths or bags need too many edits.  The texts of
+def opposed(rows: pd.DataFrame, bucket: int, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """For each asking row of a block (side 0) the asked rows (side 1) of other
+    classes whose lengths and bags allow the similarity.  A pair is left to the
+    least bucket that both are in and, if both ask, to the lower node."""
+    node, root, n, side = (rows[c].to_numpy() for c in ("node", "root", "n", "side"))
+    asks, held = root != rows["main"].to_numpy(), [set(m) for m in rows["held"]]
+    bag = np.frombuffer(b"".join(rows["bag"]), np.uint8).reshape(len(rows), BINS).astype(np.int16)
+    coarse = bag.reshape(len(rows), -1, 8).sum(axis=2, dtype=np.int16)
+    order = np.argsort(n, kind="stable")
+    here, there = np.flatnonzero(side == 0), order[side[order] == 1]
+    low = np.searchsorted(n[there], np.ceil(n[here] * least - 1e-9))
+    high = np.searchsorted(n[there], np.floor(n[here] / least + 1e-9), "right")
+    for x, s, e in zip(here.tolist(), low.tolist(), high.tolist(), strict=True):
+        y = there[s:e]
+        y = y[(root[y] != root[x]) & (~asks[y] | (node[y] > node[x]))]
+        for bins in (coarse, bag):
+            most = ((1 - least) * np.maximum(n[y], n[x]) + 1e-9).astype(np.int64)
+            y = y[np.abs(bins[y] - bins[x]).sum(axis=1) <= 2 * most]
+        y = y[[min(held[x] & held[k]) == bucket for k in y.tolist()]] if len(y) else y
+        if len(y):
+            yield x, y
+
+
+def between(left: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Accepted pairs (a, b), a < b, that unite the classes of each bucket: all of
+    its texts of different classes are compared, but for those whose lengths or
+    bags need too many edits and those that pairs before have united.  The texts of
     a bucket outside its largest class are held against all of it, in blocks of
-    both: each row is copied once for each block of the other side."""
+    both: each row is copied once for each block of the other side.  Pairs never
+    leave a block: first the rows that have any are kept, then these get their
+    texts and the block sends on links that unite, fewer than its rows."""
     small_batches(left.sparkSession)
     sizes = left.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("rows"))
-    shape = main.select("bucket", F.col("main.root").alias("main"), _blocks("rows").alias("alls"), _blocks(F.col("rows") - F.col("main.n")).alias("others"))
-    dealt = left.drop("rows").join(shape, "bucket")
+    shape = main.select("bucket", F.col("main.root").alias("main"), _blocks(F.col("rows")).alias("alls"), _blocks(F.col("rows") - F.col("main.n")).alias("others"))
+    held = left.groupBy("node").agg(F.collect_set("bucket").alias("held"))  # a node has a few dozen buckets at most
+    dealt = left.drop("rows").join(shape, "bucket").join(held, "node")
     every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     own = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
-    columns = ["bucket", "i", "j", "side", "node", "root", "n", "bag"]
+    columns = ["bucket", "i", "j", "side", "node", "root", "main", "n", "bag", "held"]
     asking = dealt.where("root <> main").withColumns({"i": own("others"), "j": every("alls"), "side": F.lit(0)}).select(*columns)
     asked = dealt.withColumns({"j": own("alls"), "i": every("others"), "side": F.lit(1)}).select(*columns)
+    block, partitions = ["bucket", "i", "j"], _partitions(left)
+
+    def hopeful(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        has = np.zeros(len(rows), bool)
+        for x, y in opposed(rows, key[0], least):
+            has[x] = has[y] = True
+        return rows[has]
+
+    def compared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        number, press = Memo(xxhash.xxh3_64_intdigest), zstandard.ZstdDecompressor()
+        node, root, data, known = rows["node"].to_numpy(), rows["root"].tolist(), rows["data"].tolist(), {}
+        up = {r: r for r in root}
+
+        def top(r: int) -> int:
+            while (parent := up[r]) != r:
+                up[r] = r = up[parent]
+            return r
+
+        def words(k: int) -> Sequence:
+            if k not in known:
+                known[k] = unpacked(data[k], number, press)
+            return known[k]
 
-    def near(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("n")
-        node, root, n, side = (rows[c].to_numpy() for c in ("node", "root", "n", "side"))
-        bag = np.frombuffer(b"".join(rows["bag"]), np.uint8).reshape(len(rows), BINS).astype(np.int16)
-        coarse = bag.reshape(len(rows), -1, 8).sum(axis=2, dtype=np.int16)
-        here, there = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        low = np.searchsorted(n[there], np.ceil(n[here] * least - 1e-9))
-        high = np.searchsorted(n[there], np.floor(n[here] / least + 1e-9), "right")
         out = []
-        for x, s, e in zip(here.tolist(), low.tolist(), high.tolist(), strict=True):
-            y = there[s:e]
-            y = y[root[y] != root[x]]
-            for bins in (coarse, bag):
-                most = ((1 - least) * np.maximum(n[y], n[x]) + 1e-9).astype(np.int64)
-                y = y[np.abs(bins[y] - bins[x]).sum(axis=1) <= 2 * most]
-            out.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], axis=1))
-        return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 2), np.int64), columns=["a", "b"])
+        for x, ys in opposed(rows, key[0], least):
+            for y in ys.tolist():
+                p, q = top(root[x]), top(root[y])
+                if p != q and aligned(words(x), words(y), least):
+                    up[p] = q
+                    out.append((min(node[x], node[y]), max(node[x], node[y])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
     # Little to read but much to compare: by a number of partitions that stays.
-    both = asking.unionByName(asked).repartition(_partitions(left), "bucket", "i", "j")
-    return both.groupBy("bucket", "i", "j").applyInPandas(near, "a long, b long").distinct()
+    shape = "bucket long, i long, j long, side int, node long, root long, main long, n long, bag binary, held array<long>"
+    kept = asking.unionByName(asked).repartition(partitions, *block).groupBy(*block).applyInPandas(hopeful, shape)
+    return kept.join(texts, "node").repartition(partitions, *block).groupBy(*block).applyInPandas(compared, "a long, b long").distinct()
 
 
-def _blocks(rows) -> Column:
+def _blocks(rows: Column) -> Column:
     """Blocks of at most about BLOCK rows; one at least."""
-    return F.greatest(F.ceil((F.col(rows) if isinstance(rows, str) else rows) / BLOCK), F.lit(1)).cast("long")
+    return F.greatest(F.ceil(rows / BLOCK), F.lit(1)).cast("long")
 
 
 def _partitions(df: DataFrame) -> int:
@@ -394,6 +454,11 @@ def packed_texts(docs: DataFrame, nodes: DataFrame, folder: str) -> DataFrame:
     return docs.sparkSession.read.parquet(f"{folder}/texts")
 
 
+def unpacked(data: bytes, number: Memo, press: zstandard.ZstdDecompressor) -> Sequence:
+    words = press.decompress(data).decode("utf-8", "surrogatepass").split(" ")
+    return Sequence(np.fromiter(map(number.__getitem__, words), np.uint64, len(words)))
+
+
 def accepted(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The pairs whose words align."""
     small_batches(pairs.sparkSession)
@@ -409,8 +474,7 @@ def accepted(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> D
             if node not in lately:
                 if len(lately) > 200:
                     lately.clear()
-                words = press.decompress(data).decode("utf-8", "surrogatepass").split(" ")
-                lately[node] = Sequence(np.fromiter(map(number.__getitem__, words), np.uint64, len(words)))
+                lately[node] = unpacked(data, number, press)
             return lately[node]
 
         for part in parts:
@@ -430,17 +494,13 @@ def united(nodes: DataFrame, docs: DataFrame, folder: str, least: float = SIMILA
     found = cut(accepted(tried, texts, least))
     roots = cut(components(found))
     left = unsettled(inside, firsts, roots, nodes)
-    for last in (False, True):
-        if left.isEmpty():
-            break
-        more = cut((between(left, least) if last else to_hubs(left, found, least)).join(tried, ["a", "b"], "left_anti"))
-        if not more.isEmpty():
-            new = cut(accepted(more, texts, least))
-            tried, found = tried.unionByName(more), found.unionByName(new)
-            if not new.isEmpty():
-                roots = cut(components(found))
-                left = still_apart(left, roots)
-    return roots
+    if left.isEmpty():
+        return roots
+    hubs = cut(to_hubs(left, found, least).join(tried, ["a", "b"], "left_anti"))
+    found = cut(found.unionByName(accepted(hubs, texts, least)))
+    roots = cut(components(found))
+    links = cut(between(still_apart(left, roots), texts, least))
+    return roots if links.isEmpty() else cut(components(found.unionByName(links)))
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
