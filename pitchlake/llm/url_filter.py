@@ -46,7 +46,8 @@ RULES = (
 DAMPING, TOLERANCE, BLOCK_SHARE = 0.85, 1e-3, 0.75
 #: After r rounds at most DAMPING ** r of the mass is left to move.
 ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
-HOT = 1000
+#: Host edges that one task may hold.
+HOT, LOCAL = 1000, 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)href\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
 
@@ -118,15 +119,19 @@ def edges_and_seeds(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def standing(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
     """host, trust, distrust after so many rounds, each summing to 1: a host without
     edges hands its mass back to the seeds, which only scales the scores of all."""
+    # A graph that one task holds (counted) is walked there, without a shuffle.
+    few = edges.count() <= LOCAL
+    together = lambda df: df.coalesce(1) if few else df
+    edges = together(edges)
     start = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("score"))
-    rank = seeds.select("kind", "host", F.col("seed").alias("score"))
+    rank = together(seeds.select("kind", "host", F.col("seed").alias("score")))
     for i in range(rounds):
         moved = rank.withColumnRenamed("host", "src").join(edges, ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("score") * F.col("w") * damping).alias("score")
         )
-        rank = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        rank = together(moved.unionByName(start)).groupBy("kind", "host").agg(F.sum("score").alias("score"))
         if i % 4 == 3 and i + 1 < rounds:
-            rank = cut(rank)
+            rank = together(cut(rank))
     rank = cut(rank)
     whole = rank.groupBy("kind").agg(F.sum("score").alias("all"))  # two rows
     rank = rank.join(F.broadcast(whole), "kind").select("kind", "host", (F.col("score") / F.col("all")).alias("score"))

@@ -346,7 +346,9 @@ def test_distrust_runs_along_a_chain(spark):
     assert len(url_filter.filter_urls(long).first()["path"]) == 300_001
 
 
-def test_scores_equal_a_dense_solution(spark):
+@pytest.mark.parametrize("local", [url_filter.LOCAL, 0])
+def test_scores_equal_a_dense_solution(spark, monkeypatch, local):
+    monkeypatch.setattr(url_filter, "LOCAL", local)
     r = random.Random(14)
     edges = {(f"n{r.randrange(8)}", f"n{r.randrange(8)}") for _ in range(20)}
     edges = {(a, b) for a, b in edges if a != b}
