@@ -87,24 +87,28 @@ MARKS, ENDS, BLANK = r"(?m)^[ \t]*(?:#+|/?\*+/?|//+|;+|--+)[ \t]*", r"([.!?;:])[
 SENTENCES = 3
 
 
-def _segments(text: Column) -> Column:
-    """Lines, paragraphs of more than one line, the whole of more than one
-    paragraph, and runs of sentences; each segment once."""
-    bare = F.regexp_replace(text, MARKS, "")
-    blocks = F.split(bare, BLANK, -1)
-    many = F.filter(blocks, lambda b: F.instr(b, "\n") > 0)
-    whole = F.when(F.size(blocks) > 1, F.array(bare)).otherwise(F.array().cast("array<string>"))
-
-    def runs(block: Column) -> Column:
-        said = F.split(F.regexp_replace(F.translate(block, "\n", " "), ENDS, "$1\n"), "\n", -1)
-
-        def of(n: int) -> Column:
-            joined = F.transform(F.sequence(F.lit(1), F.greatest(F.size(said) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(said, i, n), " "))
-            return F.when(F.size(said) >= n, joined).otherwise(F.array().cast("array<string>"))
-
-        return F.concat(*map(of, range(1, SENTENCES + 1)))
-
-    return F.array_distinct(F.concat(F.split(bare, "\n", -1), many, whole, F.flatten(F.transform(blocks, runs))))
+def _segments(docs: DataFrame, told) -> DataFrame:
+    """doc_id, segment: lines, paragraphs of more than one line, the whole of more
+    than one paragraph, and runs of sentences, each once; only those that hold a
+    tell-tale word.  Columns are made one after the other, so that each is worked
+    out once and not again for every element."""
+    none = F.array().cast("array<string>")
+    bare = docs.select("doc_id", F.regexp_replace("text", MARKS, "").alias("bare"))
+    parts = bare.withColumn("blocks", F.split("bare", BLANK, -1))
+    said = parts.withColumn("said", F.transform("blocks", lambda b: F.split(F.regexp_replace(F.translate(b, "\n", " "), ENDS, "$1\n"), "\n", -1)))
+
+    def runs(sentences: Column) -> Column:
+        found, longer = [sentences], sentences
+        for n in range(2, SENTENCES + 1):
+            rest = F.greatest(F.size(sentences) - n + 1, F.lit(0))
+            longer = F.zip_with(F.slice(longer, F.lit(1), rest), F.slice(sentences, F.lit(n), rest), lambda a, b: F.concat(a, F.lit(" "), b))
+            found.append(longer)
+        return F.concat(*found)
+
+    many = F.filter("blocks", lambda b: F.instr(b, "\n") > 0)
+    whole = F.when(F.size("blocks") > 1, F.array("bare")).otherwise(none)
+    every = F.concat(F.split("bare", "\n", -1), many, whole, F.flatten(F.transform("said", runs)))
+    return said.select("doc_id", F.explode(F.array_distinct(F.filter(every, told))).alias("segment"))
 
 
 def bounds(n: int, threshold: float) -> tuple[int, int]:
@@ -135,9 +139,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     low, high = ({n: bounds(len(b), threshold)[i] for n, b in known.items()} for i in (0, 1))
     least, most = min(low.values()), max(high.values())
     signs = tell_tales(known, threshold)
-    told = lambda c: functools.reduce(lambda p, q: p | q, (F.contains(F.col(c), F.lit(w)) for w in signs))
-    hopeful = docs.select("doc_id", F.lower("text").alias("text")).where(told("text"))
-    segments = hopeful.select("doc_id", F.explode(_segments(F.col("text"))).alias("segment")).where(told("segment"))
+    told = lambda c: functools.reduce(lambda p, q: p | q, (F.contains(c, F.lit(w)) for w in signs))
+    segments = _segments(docs.select("doc_id", F.lower("text").alias("text")).where(told(F.col("text"))), told)
     # A set of n bigrams needs n + 1 words, which need 2 n + 1 characters.
     short = segments.where(F.length("segment") >= 2 * least + 1)
     near = short.select("doc_id", F.trim(F.regexp_replace("segment", "[^a-z0-9]+", " ")).alias("s"))
