@@ -118,19 +118,24 @@ def bounds(n: int, threshold: float) -> tuple[int, int]:
     return math.ceil(n * t / (2 - t)), math.floor(n * (2 - t) / t)
 
 
-def tell_tales(templates: dict[str, list[str]], threshold: float) -> list[str]:
-    """Words of which a text must hold one to match any template.  A Dice of t
-    takes at least t / (2 - t) of a template's bigrams, so words that touch more
-    than the rest of them can't all be missing.  Long words are taken first."""
-    chosen: set[str] = set()
-    for found in templates.values():
-        spare = len(found) - bounds(len(found), threshold)[0]
-        for word in sorted({w for b in found for w in b.split()}, key=lambda w: (w not in chosen, -len(w), w)):
-            if sum(bool(chosen & set(b.split())) for b in found) > spare:
+#: Words that most prose holds; they tell little.
+COMMON = ("a", "an", "and", "any", "as", "by", "for", "in", "is", "of", "or", "that", "the", "this", "to", "with", "you")
+
+
+def tell_tales(templates: dict[str, list[str]], threshold: float) -> dict[str, list[str]]:
+    """For each template, words of which a match must hold one.  A Dice of t takes
+    at least t / (2 - t) of a template's bigrams, so words that touch more than the
+    rest of them can't all be missing.  Words that serve another template and long
+    ones are taken first."""
+    told: dict[str, list[str]] = {}
+    for name, found in templates.items():
+        spare, chosen, used = len(found) - bounds(len(found), threshold)[0], [], {w for words in told.values() for w in words}
+        for word in sorted({w for b in found for w in b.split()}, key=lambda w: (w in COMMON, w not in used, -len(w), w)):
+            if sum(bool(set(chosen) & set(b.split())) for b in found) > spare:
                 break
-            if any(word in b.split() for b in found):
-                chosen.add(word)
-    return sorted(chosen)
+            chosen.append(word)
+        told[name] = chosen
+    return told
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
@@ -139,7 +144,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     low, high = ({n: bounds(len(b), threshold)[i] for n, b in known.items()} for i in (0, 1))
     least, most = min(low.values()), max(high.values())
     signs = tell_tales(known, threshold)
-    told = lambda c: functools.reduce(lambda p, q: p | q, (F.contains(c, F.lit(w)) for w in signs))
+    holds = lambda c, words: functools.reduce(lambda p, q: p | q, (F.contains(c, F.lit(w)) for w in words))
+    told = lambda c: holds(c, sorted({w for words in signs.values() for w in words}))
     segments = _segments(docs.select("doc_id", F.lower("text").alias("text")).where(told(F.col("text"))), told)
     # A set of n bigrams needs n + 1 words, which need 2 n + 1 characters.
     short = segments.where(F.length("segment") >= 2 * least + 1)
@@ -148,10 +154,10 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     pairs = F.array_distinct(
         F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat(a, F.lit(" "), b))
     )
-    sets = split.select("doc_id", pairs.alias("b")).where(F.size("b").between(int(least), int(most)))
+    sets = split.select("doc_id", "s", pairs.alias("b")).where(F.size("b").between(int(least), int(most)))
     shared = {n: F.size(F.array_intersect("b", F.array(*map(F.lit, b)))) for n, b in known.items()}
     dice = {
-        n: F.when(F.size("b").between(int(low[n]), int(high[n])), F.round(2.0 * shared[n] / (F.size("b") + len(b)), 6))
+        n: F.when(F.size("b").between(int(low[n]), int(high[n])) & holds(F.col("s"), signs[n]), F.round(2.0 * shared[n] / (F.size("b") + len(b)), 6))
         for n, b in known.items()
     }
     found = sets.select(
