@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchlake.llm import byte_bpe, chat_format, decontaminate, katz, license_scan, near_dup, quality, spelling, token_counts, turn_repair, url_filter, vector_dedup
+from pitchlake.llm import byte_bpe, chat_format, decontaminate, katz, license_scan, near_dup, quality, spelling, token_counts, toxicity, turn_repair, url_filter, vector_dedup
 from pitchlake.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -55,6 +55,10 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repaired(table(spark, sf_dir, "conversations"))
 
@@ -67,7 +71,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_katz_score, op3_byte_bpe, op4_vector_dedup, op5_quality, op6_url_filter, op7_license_scan, op8_chat_format, op9_decontaminate,
-        op10_near_dup, op12_turn_repair, op13_spelling,
+        op10_near_dup, op11_toxicity, op12_turn_repair, op13_spelling,
     )
 }
 ORACLE: dict[str, str] = {
