@@ -1,37 +1,35 @@
 """Partitioned tables on Parquet: typed reads, keyed upserts, compaction.
 
-A write goes to a staging folder first; then each touched partition is put in the
-place of the stored one by a rename.  A job that fails before the renames leaves
-the table as it was; one that dies among them leaves every partition either old
-or new, and running it again completes it.
+A write replaces whole partitions, as one change (see ``commits``): readers see all
+of it or none, and a job that dies at any point leaves a table that is read as it
+was before or after, and that the next write to it puts in order.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
-
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from pitchlake.functions.dates import week_before
+from pitchlake.functions.dates import previous_month, week_before
 from pitchlake.operators.aggregates import batter_day
 from pitchlake.operators.features import enrich_pitches
 from pitchlake.operators.quality import final_game_facts
-
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+from pitchlake.sources import commits
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, game_pk: int | None = None, game_date=None, dates: tuple | None = None) -> DataFrame:
     """Rows of a table, of one game, of one date or a range of them (only their
     folders are listed and read) or all; a table that is not there is an empty
     frame of the same type, any other failure is raised."""
+    files, path = commits.Files(spark, path), path.rstrip("/")
     try:
-        df = spark.read.schema(schema).parquet(path)
+        change = commits.pending(files, path)
+        df = spark.read.schema(schema).parquet(path) if change is None else commits.read_through(spark, path, schema, files, change)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -57,22 +55,32 @@ def _among(by: str, values: Sequence) -> Column:
     return found | F.col(by).isNull() if None in values else found
 
 
-def replace_partitions(df: DataFrame, path: str, by: str, order: Sequence[str], touched: Sequence = ()) -> None:
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """A frame that counts its rows while it is written, and where to read the number."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def replace_partitions(
+    df: DataFrame, path: str, by: str, order: Sequence[str], touched: Sequence = (), key: str | None = None, same_keys: bool = False, staging: str | None = None
+) -> None:
     """Write the rows of whole partitions in place of what those hold; those of
     ``touched`` that have no row are removed.  Large partitions are dealt over
-    several tasks (and files), small ones share a task; files are sorted."""
+    several tasks (and files), small ones share a task; files are sorted.  key: a
+    column to index partitions by; same_keys: the old index still holds."""
     spark, path = df.sparkSession, path.rstrip("/")
-    staging = f"{path}__staging_{uuid.uuid4().hex}"
+    own = staging is None
+    if own:
+        commits.recover(spark, path)
+        staging = commits.new_staging(path)
+    whole, staging = staging, f"{staging}/new"
     df.hint("rebalance", F.col(by)).sortWithinPartitions(by, *order).write.partitionBy(by).parquet(staging)
-    at = spark._jvm.org.apache.hadoop.fs.Path
-    files = at(staging).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(at(path))
-    new = {s.getPath().getName() for s in files.listStatus(at(staging)) if s.isDirectory()}
-    for name in sorted(new | {f"{by}={NULL_PARTITION if v is None else v}" for v in touched}):
-        files.delete(at(f"{path}/{name}"), True)
-        if name in new and not files.rename(at(f"{staging}/{name}"), at(f"{path}/{name}")):
-            raise OSError(f"{staging}/{name} could not be moved to {path}")
-    files.delete(at(staging), True)
+    if key is not None:
+        commits.write_index(spark, staging, df.schema, key, by)
+    gone = [commits.partition_name(by, v) for v in touched]
+    commits.commit(spark, path, staging, gone, "new" if key else "keep" if same_keys else "drop")
+    if own:
+        commits.Files(spark, path).delete(whole)
 
 
 def upsert(
@@ -80,22 +88,30 @@ def upsert(
 ) -> dict[str, int]:
     """Last write wins by key.  Only partitions (null is one) that hold an old or a
     new row of a changed key are read whole and rewritten; a row whose partition
-    changed leaves the old one.  moves=False says that a key never changes its
-    partition: then only the partitions of ``rows`` are scanned for old rows.
-    Counts of inserted and updated keys are returned."""
+    changed leaves the old one.  To find it, the key columns of those partitions are
+    read whose index may hold an arriving value of the first key.  moves=False says
+    that a key never changes its partition: then only the partitions of ``rows`` are
+    read for old rows.  The arriving rows are written once and read from there, so a lost
+    executor does not have them worked out again.  Counts of inserted and
+    updated keys are returned."""
+    commits.recover(spark, path)
+    staging = commits.new_staging(path)
+    new, kept = counted(latest(rows, keys, version))
+    new.write.parquet(f"{staging}/arriving")
+    new = spark.read.schema(rows.schema).parquet(f"{staging}/arriving")
     stored = read_table(spark, path, rows.schema)
-    new = latest(rows, keys, version).persist()
-    values = lambda df: {r[0] for r in df.select(by).distinct().collect()}  # noqa: E731  partition values, not rows
-    arriving = values(new)
-    scanned = stored if moves else stored.where(_among(by, arriving))
-    old = scanned.select(by, *keys).join(new.select(*keys), list(keys), "left_semi").persist()
-    touched, updated, total = arriving | values(old), old.select(*keys).distinct().count(), new.count()
-    kept = stored.where(_among(by, touched)).withColumn("_new", F.lit(0))
-    merged = latest(kept.unionByName(new.withColumn("_new", F.lit(1))), keys, [*version, "_new"]).drop("_new")
+    arriving = {r[0] for r in new.select(by).distinct().collect()}  # partition values, not rows
+    may_hold = commits.may_hold(spark, path, new, keys[0], by) if moves else set()
+    scanned = stored if may_hold is None else stored.where(_among(by, arriving | may_hold))
+    old = scanned.select(by, *keys).join(new.select(*keys), list(keys), "left_semi")
+    updated, places, in_null = old.agg(F.count_distinct(F.struct(*keys)), F.collect_set(by), F.max(F.col(by).isNull())).first()
+    touched = arriving | set(places) | ({None} if in_null else set())
+    rest = stored.where(_among(by, touched)).withColumn("_new", F.lit(0))
+    merged = latest(rest.unionByName(new.withColumn("_new", F.lit(1))), keys, [*version, "_new"]).drop("_new")
     if touched:
-        replace_partitions(merged, path, by, [c for c in (order or keys) if c != by], touched)
-    new.unpersist(), old.unpersist()
-    return {"inserted": total - updated, "updated": updated}
+        replace_partitions(merged, path, by, [c for c in (order or keys) if c != by], touched, keys[0] if moves else None, staging=staging)
+    commits.Files(spark, path).delete(staging)
+    return {"inserted": kept.get["rows"] - updated, "updated": updated}
 
 
 def patch(stored: DataFrame, changes: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -133,14 +149,15 @@ def patch_conditions(weather: DataFrame, changes: DataFrame) -> DataFrame:
 
 def export_games(spark: SparkSession, games: DataFrame, facts: dict[str, DataFrame], folder: str) -> dict[str, int]:
     """All tables of a set of games in one job each: games by season, facts by the
-    date of their game.  Returns the row counts."""
-    counts = {"games": games.count()}
-    upsert(spark, f"{folder}/games", games, ["game_pk"], "season", ["game_date"])
+    date of their game.  Returns the row counts, taken while the rows are written."""
+    told, seen = counted(games)
+    upsert(spark, f"{folder}/games", told, ["game_pk"], "season", ["game_date"])
+    counts = {"games": seen.get["rows"]}
     for name, df in facts.items():
-        dated = df.drop("game_date").join(games.select("game_pk", "game_date"), "game_pk")
-        counts[name] = dated.count()
+        dated, seen = counted(df.drop("game_date").join(games.select("game_pk", "game_date"), "game_pk"))
         keys = [c for c in ("game_pk", "at_bat_index", "pitch_number") if c in dated.columns]
         upsert(spark, f"{folder}/{name}", dated, keys, "game_date", keys, keys)
+        counts[name] = seen.get["rows"]
     return counts
 
 
@@ -155,14 +172,18 @@ def enriched_week(pitches: DataFrame, games: DataFrame, day: date) -> DataFrame:
 
 
 def export_enriched(spark: SparkSession, pitches: DataFrame, games: DataFrame, folder: str, day: date) -> int:
-    """The enriched week as ``enriched/pitches_<start>_<end>``, written anew each
-    time; a week without pitches writes nothing.  Returns the number of pitches."""
-    df, (start, end) = enriched_week(pitches, games, day), week_before(day)
-    if df.isEmpty():
-        return 0
-    path = f"{folder}/enriched/pitches_{start}_{end}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).count()
+    """The enriched week as ``enriched/pitches_<start>_<end>``, put in place of the
+    last one as a whole; a week without pitches writes nothing.  Returns the number of pitches."""
+    path, (start, end) = f"{folder}/enriched", week_before(day)
+    commits.recover(spark, path)
+    staging = commits.new_staging(path)
+    df, seen = counted(enriched_week(pitches, games, day))
+    df.write.parquet(f"{staging}/pitches_{start}_{end}")
+    if n := seen.get["rows"]:
+        commits.commit(spark, path, staging, [], "keep")
+    else:
+        commits.Files(spark, path).delete(staging)
+    return n
 
 
 def daily_player_stats(at_bats: DataFrame, games: DataFrame, day: date | None = None) -> DataFrame:
@@ -182,8 +203,13 @@ def update_daily_player_stats(spark: SparkSession, at_bats: DataFrame, games: Da
 def compact_month(spark: SparkSession, path: str, schema: T.StructType, year: int, month: int, order: Sequence[str]) -> int:
     """Rewrite a month's dates in place, each as few files as its size needs.
     Returns the number of rows, which does not change."""
-    df = read_table(spark, path, schema).where((F.year("game_date") == year) & (F.month("game_date") == month))
-    n = df.count()
-    if n:
-        replace_partitions(df, path, "game_date", list(order))
-    return n
+    commits.recover(spark, path)
+    df, seen = counted(read_table(spark, path, schema).where((F.year("game_date") == year) & (F.month("game_date") == month)))
+    replace_partitions(df, path, "game_date", list(order), same_keys=True)
+    return seen.get["rows"]
+
+
+def compact_last_month(spark: SparkSession, folder: str, schemas: dict[str, T.StructType], day: date, order: Sequence[str] = ("game_pk",)) -> dict[str, int]:
+    """The monthly job: each table's month before ``day``; rows by table."""
+    year, month = previous_month(day)
+    return {name: compact_month(spark, f"{folder}/{name}", schema, year, month, order) for name, schema in schemas.items()}
