@@ -102,14 +102,23 @@ def game_pace(pitches: DataFrame, game_pk: int | None = None) -> DataFrame:
     )
 
 
-def daily_leaders(pitches: DataFrame, at_bats: DataFrame, limit: int | None = None) -> DataFrame:
-    """Pitchers of a day's games by strikeouts; with a limit, a top-k plan."""
-    thrown = pitches.groupBy("pitcher_name", "pitcher_id", "game_pk").agg(
+def daily_leaders(pitches: DataFrame, at_bats: DataFrame, limit: int | None = None, game_date=None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Pitchers by strikeouts, then pitches: of the given rows, of one date
+    (``game_date``), or of each value of ``by``, as ("game_date",), which both tables hold.
+    A limit is kept in each group by a ranked window, whose rank Spark applies in every task
+    before it shuffles."""
+    if game_date is not None:
+        pitches, at_bats = (df.where(F.col("game_date") == F.lit(game_date).cast("date")) for df in (pitches, at_bats))
+    thrown = pitches.groupBy(*by, "pitcher_name", "pitcher_id", "game_pk").agg(
         F.count(ROWS).alias("total_pitches"), rounded_avg(F.col("start_speed"), 1).alias("avg_speed"), rounded(F.max("start_speed"), 1).alias("max_speed")
     )
-    outs = at_bats.groupBy("pitcher_id", "game_pk").agg(F.count_if(is_event("strikeout")).alias("strikeouts"))
-    df = thrown.join(outs, ["pitcher_id", "game_pk"], "left").withColumn("strikeouts", F.coalesce("strikeouts", F.lit(0)))
-    df = df.orderBy(F.desc("strikeouts"), F.desc("total_pitches"), "pitcher_id", "game_pk")
+    outs = at_bats.groupBy(*by, "pitcher_id", "game_pk").agg(F.count_if(is_event("strikeout")).alias("strikeouts"))
+    df = thrown.join(outs, [*by, "pitcher_id", "game_pk"], "left").withColumn("strikeouts", F.coalesce("strikeouts", F.lit(0)))
+    order = [F.desc("strikeouts"), F.desc("total_pitches"), F.asc("pitcher_id"), F.asc("game_pk")]
+    if limit and by:
+        df = df.withColumn("_rank", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where(F.col("_rank") <= limit).drop("_rank")
+        return df.orderBy(*by, *order)
+    df = df.orderBy(*by, *order)
     return df.limit(limit) if limit else df
 
 

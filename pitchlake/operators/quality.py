@@ -101,8 +101,13 @@ def played(schedule: DataFrame) -> DataFrame:
 
 
 def final_game_facts(facts: DataFrame, games: DataFrame, start=None, end=None) -> DataFrame:
-    """Facts of final games, of a range of dates if one is given."""
+    """Facts of final games, of a range of dates if one is given.  Facts that carry the
+    date of their game, as stored ones do by folder, are matched on it too: a range bounds
+    the folders when planning, and the dates found in ``games`` when running."""
     wanted = games.where("status = 'Final'")
+    within = lambda df: df.where(F.col("game_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    dated = "game_date" in facts.columns
     if start is not None:
-        wanted = wanted.where(F.col("game_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    return facts.join(wanted.select("game_pk"), "game_pk", "left_semi")
+        wanted, facts = within(wanted), within(facts) if dated else facts
+    keys = ["game_date", "game_pk"] if dated else ["game_pk"]
+    return facts.join(wanted.select(*keys), keys, "left_semi")

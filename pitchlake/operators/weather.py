@@ -14,10 +14,11 @@ MODEL_COLUMNS = (
     "effective_wind_cross_mph", "effective_precipitation_in", "elevation_ft", "relative_humidity_pct",
 )
 READINGS = {
-    "temperature_2m": "temperature_f", "relative_humidity_2m": "relative_humidity_pct", "dew_point_2m": "dew_point_f", "precipitation": "precipitation_in",
-    "pressure_msl": "pressure_msl_hpa", "cloud_cover": "cloud_cover_pct", "wind_speed_10m": "wind_speed_mph", "wind_direction_10m": "wind_direction_deg",
-    "wind_gusts_10m": "wind_gusts_mph", "weather_code": "weather_code",
+    "temperature_2m": "temperature_f", "apparent_temperature": "feels_like_f", "relative_humidity_2m": "relative_humidity_pct",
+    "precipitation": "precipitation_in", "wind_speed_10m": "wind_speed_mph", "wind_gusts_10m": "wind_gust_mph", "wind_direction_10m": "wind_direction_deg",
+    "cloud_cover": "cloud_cover_pct", "pressure_msl": "pressure_hpa", "weather_code": "weather_code",
 }
+SOURCE = "open-meteo"
 
 
 def is_indoor(roof: Column) -> Column:
@@ -69,20 +70,24 @@ def model_columns(features: DataFrame) -> DataFrame:
 
 
 def hourly_rows(payloads: DataFrame) -> DataFrame:
-    """venue_id and ``hourly`` (a struct of arrays keyed by time) to one row an hour."""
-    zipped = F.arrays_zip("hourly.time", *(f"hourly.{c}" for c in READINGS))
-    rows = payloads.select("venue_id", F.explode(zipped).alias("h"))
-    return rows.select("venue_id", F.to_timestamp_ntz("h.time").alias("hour"), *(F.col(f"h.{c}").alias(name) for c, name in READINGS.items()))
+    """venue_id and ``hourly`` (a struct of arrays keyed by time) to one row an hour.
+    A reading that a payload lacks, as a field, an array or an hour of it, is null."""
+    there = payloads.schema["hourly"].dataType.names
+    array = lambda c: F.coalesce(F.col(f"hourly.{c}"), F.array()) if c in there else F.array(F.lit(None).cast("double"))
+    zipped = F.arrays_zip(F.col("hourly.time").alias("time"), *(array(c).alias(c) for c in READINGS))
+    rows = payloads.select("venue_id", F.explode(zipped).alias("h")).where("h.time is not null")
+    value = lambda c: F.col(f"h.{c}").cast("int" if c == "weather_code" else "double")
+    return rows.select("venue_id", F.to_timestamp_ntz("h.time").alias("hour"), *(value(c).alias(name) for c, name in READINGS.items()))
 
 
-def weather_rows(games: DataFrame, venues: DataFrame, hours: DataFrame) -> DataFrame:
+def weather_rows(games: DataFrame, venues: DataFrame, hours: DataFrame, source: str = SOURCE) -> DataFrame:
     """Each game's reading at the hour of its first pitch; indoor games, and games
     without a reading, have keys only."""
     hour = F.date_trunc("hour", "first_pitch_time_utc").cast("timestamp_ntz")
     placed = games.join(venues.select("venue_id", "roof_type"), "venue_id", "left").withColumns({"hour": hour, "is_indoor": is_indoor(F.col("roof_type"))})
     joined = placed.join(hours, ["venue_id", "hour"], "left")
     readings = [F.when(~F.col("is_indoor"), F.col(c)).alias(c) for c in READINGS.values()]
-    return joined.select("game_pk", "venue_id", F.col("hour").alias("observation_time_utc"), "is_indoor", *readings)
+    return joined.select("game_pk", "venue_id", F.col("hour").alias("observation_time_utc"), "is_indoor", *readings, F.lit(source).alias("source"))
 
 
 def feed_conditions(feeds: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.schemas import FEED
+from pitchlake.schemas import FEED, GAME_DATA, LINESCORE, PLAY
 
 
 def parse(raw: DataFrame, column: str = "value", schema: str = FEED) -> DataFrame:
@@ -19,10 +19,39 @@ def parse(raw: DataFrame, column: str = "value", schema: str = FEED) -> DataFram
     return parsed.select(*(c for c in raw.columns if c != column), "_feed.*")
 
 
+def parse_plays(raw: DataFrame, column: str = "value") -> DataFrame:
+    """The columns of ``parse`` and ``_bad_plays``: a document is split into its plays as
+    variants and each is read by itself, so a play that does not fit its schema, or names no
+    at-bat, is set aside as text and the other plays of the game are kept.
+    ``_corrupt_record`` is left for text that is no JSON at all."""
+    strict = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    kind = f"{PLAY[:-1]}, _corrupt_record: STRING>"
+    whole = raw.withColumn("_v", F.try_parse_json(column))
+    part = lambda path, kind: F.try_variant_get("_v", path, kind)
+    texts = F.transform(part("$.liveData.plays.allPlays", "array<variant>"), lambda p: F.to_json(p))
+    whole = whole.withColumn("_plays", F.transform(F.coalesce(texts, F.array().cast("array<string>")), lambda t: F.struct(F.from_json(t, kind, strict).alias("play"), t.alias("text"))))
+    fits = lambda t: t["play"]["_corrupt_record"].isNull() & t["play"]["about"]["atBatIndex"].isNotNull()
+    good = F.transform(F.filter("_plays", fits), lambda t: t["play"].dropFields("_corrupt_record"))
+    bad = F.transform(F.filter("_plays", lambda t: ~fits(t)), lambda t: t["text"])
+    return whole.select(
+        *(c for c in raw.columns if c != column), part("$.gamePk", "bigint").alias("gamePk"), part("$.gameData", GAME_DATA).alias("gameData"),
+        F.struct(part("$.liveData.linescore", LINESCORE).alias("linescore"), F.struct(good.alias("allPlays")).alias("plays")).alias("liveData"),
+        F.when(F.col("_v").isNull(), F.col(column)).alias("_corrupt_record"), bad.alias("_bad_plays"),
+    )
+
+
+def quarantined(feeds: DataFrame) -> DataFrame:
+    """What could not be read, with the other columns of the feed: whole documents and
+    single plays, as text in ``_corrupt_record``; game_pk where it is known."""
+    kept = [c for c in feeds.columns if c not in ("gameData", "liveData", "gamePk", "_corrupt_record", "_bad_plays")]
+    document = F.when(F.col("_corrupt_record").isNotNull() | F.col("gamePk").isNull(), F.array(F.coalesce("_corrupt_record", F.to_json(F.struct("gameData", "liveData")))))
+    return feeds.select(F.col("gamePk").alias("game_pk"), *kept, F.explode(F.coalesce(document, F.col("_bad_plays"))).alias("_corrupt_record"))
+
+
 def split_corrupt(feeds: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good feeds and quarantined ones; one bad game does not stop the others."""
     bad = F.col("_corrupt_record").isNotNull() | F.col("gamePk").isNull()
-    return feeds.where(~bad).drop("_corrupt_record"), feeds.where(bad)
+    return feeds.where(~bad).drop("_corrupt_record", "_bad_plays"), feeds.where(bad)
 
 
 def moment(*choices: Column) -> Column:

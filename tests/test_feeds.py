@@ -305,6 +305,144 @@ def test_state_changes(spark, tmp_path, landed):
     for k, status in enumerate(["Preview", "Live", "Live", "Final"]):
         landed(k, feed(1, [], status=status))
     stream = feeds.game_state(live.snapshots(spark, landed.folder)).select("game_pk", "status", "snapshot_ts")
-    q = live.state_changes(stream).writeStream.format("memory").queryName("changes").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q = live.state_changes(stream, stay_ms=None).writeStream.format("memory").queryName("changes").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert [(r["old_state"], r["new_state"]) for r in spark.table("changes").collect()] == [("Preview", "Live"), ("Live", "Final")]
+
+
+def test_a_bad_play_is_set_aside_alone(spark, tmp_path, landed):
+    mixed = feed(1, [play(0, 2), play(1, 3), play(2, 1)], status="Live")
+    mixed["liveData"]["plays"]["allPlays"][1]["playEvents"][1]["pitchData"]["startSpeed"] = "fast"
+    nameless = play(3, 1)
+    del nameless["about"]["atBatIndex"]
+    mixed["liveData"]["plays"]["allPlays"].append(nameless)
+    out = str(tmp_path / "out")
+    landed(1, mixed)
+    landed(2, feed(2, [play(0, 1)]))
+    landed(3, "{broken")
+    landed(4, {"no": "game"})
+    live.run_live(spark, landed.folder, out, str(tmp_path / "cp")).awaitTermination()
+    got = sorted((r["game_pk"], r["at_bat_index"]) for r in spark.read.parquet(f"{out}/pitches").collect())
+    assert got == [(1, 0), (1, 0), (1, 2), (2, 0)]
+    bad = [(r["game_pk"], r["_corrupt_record"]) for r in spark.read.parquet(f"{out}/quarantine").collect()]
+    assert sorted((g or 0, '"fast"' in t, "isTopInning" in t) for g, t in bad) == [(0, False, False), (0, False, False), (1, False, True), (1, True, True)]
+    assert sorted(json.loads(t)["about"].get("atBatIndex", -1) for g, t in bad if g) == [-1, 1]
+
+
+def test_plays_are_read_as_whole_documents_are(spark):
+    documents = [(json.dumps(d),) for d in (feed(1, [play(0, 3), play(1, 2, complete=False)]), feed(2, []), {"gamePk": 3}, {"gamePk": 4, "liveData": {"plays": {"allPlays": [play(0, 1)]}}})]
+    raw = spark.createDataFrame(documents, "value string")
+    one, other = (feeds.split_corrupt(f(raw))[0] for f in (feeds.parse, feeds.parse_plays))
+    for f in (feeds.pitches, feeds.at_bats, feeds.game_state):
+        assert sorted(map(str, f(one).collect())) == sorted(map(str, f(other).collect()))
+
+
+@pytest.mark.parametrize("table", ["at_bats", "game_state"])
+def test_a_failed_store_is_told_of_when_it_is_run_again(spark, tmp_path, landed, monkeypatch, table):
+    out, topics, broken = str(tmp_path / "out"), str(tmp_path / "topics"), [True]
+    plain = live.upsert
+
+    def failing(spark, path, *args, **more):
+        if broken[0] and path.endswith(table):
+            raise OSError("store is away")
+        return plain(spark, path, *args, **more)
+
+    monkeypatch.setattr(live, "upsert", failing)
+    run = lambda: live.run_live(spark, landed.folder, out, str(tmp_path / "cp"), live.file_topics(topics))
+    landed(1, feed(1, [play(0, 2)]))
+    with pytest.raises(Exception, match="store is away"):
+        run().awaitTermination()
+    assert spark.read.parquet(f"{out}/pitches").count() == 2 and not os.path.exists(f"{topics}/pitches")
+    broken[0] = False
+    run().awaitTermination()
+    keys = lambda t: [r["key"] for r in spark.read.json(f"{topics}/{t}").collect()]
+    assert sorted(keys("pitches")) == ["1_0_1", "1_0_2"] and keys("at_bats") == ["1_0"]
+    assert spark.read.parquet(f"{out}/at_bats").count() == 1 and os.listdir(f"{out}/outbox") == []
+
+
+def test_refused_messages_are_sent_later_and_in_order(spark, tmp_path, landed):
+    out, got, away = str(tmp_path / "out"), [], {"pitches"}
+
+    def publish(name, rows):
+        if name in away:
+            raise ConnectionError(name)
+        got.append((name, rows.count()))
+
+    run = lambda: live.run_live(spark, landed.folder, out, str(tmp_path / "cp"), publish).awaitTermination()
+    landed(1, feed(1, [play(0, 2)]))
+    run()
+    landed(2, feed(1, [play(0, 2), play(1, 3)]))
+    run()
+    assert got == [("at_bats", 1), ("at_bats", 1)] and len(os.listdir(f"{out}/outbox")) == 2
+    away.clear()
+    run()  # nothing new has landed
+    assert got[2:] == [("pitches", 2), ("pitches", 3)] and os.listdir(f"{out}/outbox") == []
+
+
+def test_progress_keeps_the_open_play_only(spark, tmp_path, landed):
+    seen = []
+
+    def run():
+        stream = live.progress(live.snapshots(spark, landed.folder), stay_ms=None).writeStream.option("checkpointLocation", str(tmp_path / "cp"))
+        q = stream.foreachBatch(lambda rows, _: seen.extend((r["game_pk"], r["at_bat_index"], r["pitch_number"], r["is_complete"]) for r in rows.collect())).trigger(availableNow=True).start()
+        q.awaitTermination()
+        return sum(op["numRowsTotal"] for op in q.lastProgress["stateOperators"])
+
+    landed(1, feed(1, [play(0, 2, complete=False)]))
+    landed(2, feed(2, [play(0, 1)]))
+    run()
+    assert sorted(seen) == [(1, 0, 1, False), (1, 0, 2, False), (2, 0, 0, True), (2, 0, 1, True)]
+    seen.clear()
+    landed(3, feed(1, [play(0, 3, complete=False)]))
+    landed(4, feed(2, [play(0, 1)]))
+    run()
+    assert seen == [(1, 0, 3, False)]
+    seen.clear()
+    landed(5, feed(1, [play(0, 4), play(1, 1, complete=False)]))
+    size = run()
+    assert sorted(seen) == [(1, 0, 0, True), (1, 0, 1, True), (1, 0, 2, True), (1, 0, 3, True), (1, 0, 4, True), (1, 1, 1, False)]
+    assert size <= 6  # two games' last plays and one open pitch, with what RocksDB keeps for their expiry
+
+
+def test_literal_weather_payload(spark):
+    from pitchlake.operators import weather
+
+    hourly = {
+        "time": ["2024-04-01T17:00", "2024-04-01T18:00"], "temperature_2m": [60.1, 61.5], "apparent_temperature": [58.0, 59.25], "relative_humidity_2m": [40, 41],
+        "precipitation": [0.0, 0.02], "wind_speed_10m": [8.1, 9.4], "wind_gusts_10m": [15.0, 17.2], "wind_direction_10m": [180, 190], "cloud_cover": [20, 25],
+        "pressure_msl": [1013.2, 1012.9], "weather_code": [1, 61],
+    }
+    without = {k: v for k, v in hourly.items() if k not in ("wind_gusts_10m", "weather_code")} | {"cloud_cover": [20]}
+    raw = spark.createDataFrame([(json.dumps({"venue_id": 5, "hourly": hourly}),), (json.dumps({"venue_id": 6, "hourly": without}),), ('{"venue_id": 7}',)], "value string")
+    hours = weather.hourly_rows(feeds.parse(raw, schema=schemas.HOURLY))
+    assert hours.count() == 4
+    games = spark.createDataFrame([(1, 5, "2024-04-01 18:40:00"), (2, 6, "2024-04-01 18:05:00"), (3, 5, "2024-04-01 20:00:00"), (4, 8, "2024-04-01 18:00:00"), (5, 9, None)], "game_pk long, venue_id long, t string")
+    games = games.select("game_pk", "venue_id", F.to_timestamp_ntz("t").alias("first_pitch_time_utc"))
+    venues = spark.createDataFrame([(5, "Open"), (6, "Retractable"), (8, " Dome ")], "venue_id long, roof_type string")
+    got = {r["game_pk"]: r.asDict() for r in weather.weather_rows(games, venues, hours).collect()}
+    names = ("temperature_f", "feels_like_f", "relative_humidity_pct", "precipitation_in", "wind_speed_mph", "wind_gust_mph", "wind_direction_deg", "cloud_cover_pct", "pressure_hpa", "weather_code")
+    assert [got[1][n] for n in names] == [61.5, 59.25, 41, 0.02, 9.4, 17.2, 190, 25, 1012.9, 61]
+    assert [got[2][n] for n in names] == [61.5, 59.25, 41, 0.02, 9.4, None, 190, None, 1012.9, None]
+    assert all(got[g][n] is None for g in (3, 4, 5) for n in names) and got[4]["is_indoor"] and not got[1]["is_indoor"]
+    assert {r["source"] for r in got.values()} == {"open-meteo"} and str(got[1]["observation_time_utc"]) == "2024-04-01 18:00:00"
+    inferred = spark.read.json(spark.sparkContext.parallelize([json.dumps({"venue_id": 6, "hourly": {k: v for k, v in without.items() if k != "cloud_cover"}})]))
+    assert weather.hourly_rows(inferred).where("feels_like_f = 59.25 and cloud_cover_pct is null and weather_code is null").count() == 1
+
+
+def test_state_of_a_game_expires(spark, tmp_path, landed):
+    import time
+
+    stream = feeds.game_state(live.snapshots(spark, landed.folder)).select("game_pk", "status", "snapshot_ts")
+    landed(1, feed(1, [], status="Preview"))
+    q = live.state_changes(stream, stay_ms=1000).writeStream.format("memory").queryName("short").option("checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="1 second").start()
+    try:
+        end = time.time() + 60
+        while time.time() < end and not (q.lastProgress and q.lastProgress["batchId"] >= 3):
+            time.sleep(0.5)
+        landed(2, feed(1, [], status="Live"))
+        wanted = lambda p: p["numInputRows"] > 0
+        while time.time() < end and sum(map(wanted, q.recentProgress)) < 2:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert sum(map(wanted, q.recentProgress)) == 2 and spark.table("short").count() == 0  # seen first, again
