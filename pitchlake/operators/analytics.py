@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pitchlake.functions.baseball import bases, is_at_bat, is_event, is_hit, is_whiff
+from pitchlake.functions.dates import season_start
 from pitchlake.functions.numeric import ratio, rounded, rounded_avg
 
 ROWS = "*"
@@ -137,3 +140,8 @@ def season_batting(at_bats: DataFrame, min_at_bats: int = 50, strict_ab: bool =
     )
     df = df.where(F.col("at_bats") >= min_at_bats).orderBy(*by, F.desc("batting_avg"), "batter_id")
     return df.limit(limit) if limit else df
+
+
+def season_batting_until(at_bats: DataFrame, day: date, **more) -> DataFrame:
+    """``season_batting`` from the start of a day's season to the day; ``at_bats`` carry game_date."""
+    return season_batting(at_bats.where(F.col("game_date").between(F.lit(season_start(day)), F.lit(day))), **more)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.functions.numeric import rounded
 from pitchlake.operators import aggregates, analytics, features, quality, weather
-from pitchlake.sources import tables
+from pitchlake.sources import scratch, tables
 from pitchlake.sources.adapters import view, with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -288,6 +288,28 @@ def daily_leaders_top(p, ab):
     return analytics.daily_leaders(p, ab, limit=25)
 
 
+def _leaders_by_day(where: str = "") -> str:
+    return f"""WITH d AS (SELECT game_pk, game_date FROM v_games {where}),
+p AS (SELECT game_date, pitcher_name, pitcher_id, game_pk, COUNT(*) AS total_pitches, {avg("AVG(start_speed)", 1)} AS avg_speed, {r("MAX(start_speed)", 1)} AS max_speed
+  FROM v_pitches JOIN d USING (game_pk) GROUP BY 1, 2, 3, 4),
+a AS (SELECT pitcher_id, game_pk, {n("event_type = 'strikeout'")} AS strikeouts FROM v_at_bats GROUP BY 1, 2),
+l AS (SELECT game_date, pitcher_name, p.pitcher_id, p.game_pk, total_pitches, COALESCE(strikeouts, 0) AS strikeouts, avg_speed, max_speed FROM p LEFT JOIN a USING (pitcher_id, game_pk))"""
+
+
+@register(_leaders_by_day("WHERE game_date = DATE '1995-06-08'") + " SELECT * EXCLUDE (game_date) FROM l", "v_pitches", "v_at_bats", "v_games")
+def daily_leaders_date(p, ab, g):
+    return analytics.daily_leaders(_dated(p, g), _dated(ab, g), game_date=date(1995, 6, 8))
+
+
+@register(
+    _leaders_by_day() + """ SELECT * FROM l
+QUALIFY ROW_NUMBER() OVER (PARTITION BY game_date ORDER BY strikeouts DESC, total_pitches DESC, pitcher_id, game_pk) <= 3""",
+    "v_pitches", "v_at_bats", "v_games",
+)
+def daily_leaders_by_day(p, ab, g):
+    return analytics.daily_leaders(_dated(p, g), _dated(ab, g), limit=3, by=("game_date",))
+
+
 @register(
     f"""SELECT batter_name, batter_id, COUNT(DISTINCT game_pk) AS games, COUNT(*) AS at_bats, {n(HIT)} AS hits, {n("event_type = 'home_run'")} AS home_runs,
   CAST(SUM(rbi) AS BIGINT) AS rbi, {r(f"CAST({n(HIT)} AS DOUBLE) / COUNT(*)", 3)} AS batting_avg,
@@ -310,6 +332,17 @@ def season_batting_all(ab, g):
     return analytics.season_batting(ab.join(g.select("game_pk", "season"), "game_pk"), by=("season",))
 
 
+@register(
+    f"""SELECT batter_name, batter_id, COUNT(DISTINCT game_pk) AS games, COUNT(*) AS at_bats, {n(HIT)} AS hits, {n("event_type = 'home_run'")} AS home_runs,
+  CAST(SUM(rbi) AS BIGINT) AS rbi, {r(f"CAST({n(HIT)} AS DOUBLE) / COUNT(*)", 3)} AS batting_avg,
+  {r("CAST(SUM(CASE event_type WHEN 'single' THEN 1 WHEN 'double' THEN 2 WHEN 'triple' THEN 3 WHEN 'home_run' THEN 4 ELSE 0 END) AS DOUBLE) / COUNT(*)", 3)} AS slug_pct_approx
+FROM v_at_bats JOIN v_games USING (game_pk) WHERE game_date BETWEEN DATE '1995-03-01' AND DATE '1995-08-15' GROUP BY 1, 2 HAVING COUNT(*) >= 20""",
+    "v_at_bats", "v_games",
+)
+def season_batting_until(ab, g):
+    return analytics.season_batting_until(_dated(ab, g), date(1995, 8, 15), min_at_bats=20)
+
+
 @register(DAILY.replace("USING (game_pk)", "USING (game_pk) WHERE status = 'Final'"), "v_at_bats", "v_games")
 def daily_player_stats(ab, g):
     return tables.daily_player_stats(ab, g)
@@ -365,6 +398,28 @@ def weather_routing(g, v):
     return weather.weather_routing(g.withColumn("first_pitch", F.when(F.col("game_pk") % 3 != 0, F.col("game_date"))), v)
 
 
+PITCHED = "SELECT event_id AS game_pk, user_id % 12 AS venue_id, ts AS first_pitch_time_utc FROM events WHERE event_id % 2 = 0"
+
+
+@register(
+    f"""WITH h AS (SELECT user_id % 12 AS venue_id, DATE_TRUNC('hour', ts) AS hour, {avg("AVG(value)", 3)} AS t, COUNT(*) AS n FROM events GROUP BY 1, 2),
+g AS ({PITCHED}), j AS (SELECT game_pk, g.venue_id, DATE_TRUNC('hour', first_pitch_time_utc) AS hour, TRIM(COALESCE(roof_type, '')) IN ('Dome', 'Indoor', 'Closed') AS is_indoor FROM g LEFT JOIN v_venues v ON v.venue_id = g.venue_id)
+SELECT game_pk, j.venue_id, CAST(j.hour AS VARCHAR) AS observed, is_indoor, CASE WHEN NOT is_indoor THEN t END AS temperature_f, CASE WHEN NOT is_indoor THEN t - 2 END AS feels_like_f,
+  CASE WHEN NOT is_indoor THEN CAST(n AS DOUBLE) END AS wind_gust_mph, CASE WHEN NOT is_indoor THEN CAST(n AS INT) END AS weather_code, CAST(NULL AS DOUBLE) AS pressure_hpa, 'open-meteo' AS source
+FROM j LEFT JOIN h ON h.venue_id = j.venue_id AND h.hour = j.hour""",
+    "events", "v_venues",
+)
+def weather_rows(e, v):
+    by = (F.col("user_id") % 12).alias("venue_id"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")
+    hour = e.groupBy(*by).agg(rounded(rounded(F.avg("value"), 9), 3).alias("t"), F.count(F.lit(1)).alias("n"))
+    row = F.struct(F.date_format("hour", "yyyy-MM-dd'T'HH:mm").alias("time"), F.col("t").alias("temperature_2m"), (F.col("t") - 2).alias("apparent_temperature"), F.col("n").alias("wind_gusts_10m"), F.col("n").alias("weather_code"))
+    lists = hour.groupBy("venue_id").agg(F.collect_list(row).alias("r"))
+    payloads = lists.select("venue_id", F.struct(*(F.col(f"r.{c}").alias(c) for c in ("time", "temperature_2m", "apparent_temperature", "wind_gusts_10m", "weather_code"))).alias("hourly"))
+    games = e.where("event_id % 2 = 0").select(F.col("event_id").alias("game_pk"), by[0], F.col("ts").alias("first_pitch_time_utc"))
+    made = weather.weather_rows(games, v, weather.hourly_rows(payloads))
+    return made.select("game_pk", "venue_id", F.col("observation_time_utc").cast("string").alias("observed"), "is_indoor", "temperature_f", "feels_like_f", "wind_gust_mph", "weather_code", "pressure_hpa", "source")
+
+
 RULES = {
     "speed_range": "start_speed < 40 OR start_speed > 110",
     "location_range": "ABS(plate_x) > 3 OR (plate_x IS NOT NULL AND (plate_z < -1 OR plate_z > 6))",
@@ -394,10 +449,10 @@ STORED_VIEW = "SELECT game_pk, CASE WHEN game_pk % 11 = 0 THEN 'Live' ELSE statu
 PLAYED = "status = 'Final' AND COALESCE(detailed_state, '') NOT IN ('Postponed', 'Cancelled', 'Suspended')"
 
 
-def _coverage(g, p):
+def _schedule(g):
     schedule = g.select("game_pk", "game_date", "status", F.when(F.col("game_pk") % 41 == 0, "Postponed").when(F.col("game_pk") % 43 == 0, "Suspended").alias("detailed_state"))
     stored = g.where("game_pk % 7 <> 0").select("game_pk", F.when(F.col("game_pk") % 11 == 0, "Live").otherwise(F.col("status")).alias("status"))
-    return schedule, stored, p.where("game_pk % 5 <> 0")
+    return schedule, stored
 
 
 @register(
@@ -411,12 +466,12 @@ SELECT measure, COUNT(*) AS games FROM x GROUP BY 1""",
     "v_games", "v_pitches",
 )
 def coverage_report(g, p):
-    return quality.coverage_report(*_coverage(g, p))
+    return quality.coverage_report(*_schedule(g), p.where("game_pk % 5 <> 0"))
 
 
-@register(f"WITH s AS ({SCHEDULE_VIEW}), d AS ({STORED_VIEW}) SELECT game_pk FROM s WHERE {PLAYED} AND game_pk NOT IN (SELECT game_pk FROM d) ORDER BY 1 LIMIT 20", "v_games", "v_pitches")
-def coverage_first_missing(g, p):
-    schedule, stored, _ = _coverage(g, p)
+@register(f"WITH s AS ({SCHEDULE_VIEW}), d AS ({STORED_VIEW}) SELECT game_pk FROM s WHERE {PLAYED} AND game_pk NOT IN (SELECT game_pk FROM d) ORDER BY 1 LIMIT 20", "v_games")
+def coverage_first_missing(g):
+    schedule, stored = _schedule(g)
     return quality.first_ids(quality.missing_games(quality.played(schedule), stored))
 
 
@@ -425,9 +480,9 @@ def without_pitches(g, p):
     return quality.without_pitches(g, p.where("game_pk % 5 <> 0"))
 
 
-@register(f"WITH s AS ({SCHEDULE_VIEW}) SELECT CAST(EXTRACT(YEAR FROM game_date) AS INT) AS season, COUNT(*) AS games FROM s WHERE {PLAYED} GROUP BY 1", "v_games", "v_pitches")
-def played(g, p):
-    return quality.played(_coverage(g, p)[0]).groupBy(F.year("game_date").alias("season")).agg(F.count(F.lit(1)).alias("games"))
+@register(f"WITH s AS ({SCHEDULE_VIEW}) SELECT CAST(EXTRACT(YEAR FROM game_date) AS INT) AS season, COUNT(*) AS games FROM s WHERE {PLAYED} GROUP BY 1", "v_games")
+def played(g):
+    return quality.played(_schedule(g)[0]).groupBy(F.year("game_date").alias("season")).agg(F.count(F.lit(1)).alias("games"))
 
 
 @register(
@@ -469,6 +524,17 @@ def final_game_facts_all(p, g):
     return quality.final_game_facts(p, g).select(*KEY, "event_id")
 
 
+@register(
+    f"SELECT {KEYS}, event_id FROM v_pitches WHERE game_pk IN (SELECT game_pk FROM v_games WHERE status = 'Final' AND season = 1995 AND home_score > 7)", "v_pitches", "v_games"
+)
+def final_facts_of_folders(p, g):
+    """Facts are stored by date first; then the dates of the chosen games prune the folders."""
+    folder = scratch.scratch_folder(p.sparkSession, "facts")
+    tables.replace_partitions(_dated(p, g).select(*KEY, "event_id", "game_date"), folder, "game_date", KEY)
+    facts = p.sparkSession.read.parquet(folder)
+    return scratch.settled(quality.final_game_facts(facts, g.where("season = 1995 AND home_score > 7")).select(*KEY, "event_id"), folder)
+
+
 @register("SELECT game_pk FROM v_weather WHERE game_pk NOT IN (SELECT game_pk FROM v_games WHERE status = 'Final')", "v_weather", "v_games")
 def not_loaded(w, g):
     return quality.missing_games(w, g.where("status = 'Final'"))

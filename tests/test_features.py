@@ -168,3 +168,47 @@ def test_hourly_lookup(spark):
     venues = spark.createDataFrame([(1, "Open")], "venue_id int, roof_type string")
     got = {r["game_pk"]: r["temperature_f"] for r in weather.weather_rows(games, venues, hours).collect()}
     assert got == {9: 60.0, 8: None}
+
+
+def leaves(plan):
+    """Scans of an executed plan, those inside finished stages too."""
+    name = plan.getClass().getSimpleName()
+    if name in ("AdaptiveSparkPlanExec", "ReusedExchangeExec") or name.endswith("QueryStageExec"):
+        return leaves(plan.executedPlan() if name == "AdaptiveSparkPlanExec" else plan.child() if name == "ReusedExchangeExec" else plan.plan())
+    found = plan.collectLeaves()
+    found = [found.apply(i) for i in range(found.size())]
+    return [y for x in found for y in ([x] if x.equals(plan) else leaves(x))]
+
+
+def test_dates_of_games_prune_the_folders_of_facts(spark, tmp_path):
+    from pitchlake.operators.quality import final_game_facts
+    from pitchlake.sources import tables
+
+    facts = spark.range(400).selectExpr("id DIV 10 AS game_pk", "CAST(id % 10 AS INT) AS pitch_number", "date_add(DATE'2024-04-01', CAST(id DIV 20 AS INT)) AS game_date")
+    tables.replace_partitions(facts, str(tmp_path / "pitches"), "game_date", ["game_pk"])
+    games = facts.select("game_pk", "game_date").distinct().selectExpr("*", "IF(game_pk % 13 = 0, 'Final', 'Live') AS status")
+    games.write.parquet(str(tmp_path / "games"))
+    games, stored = spark.read.parquet(str(tmp_path / "games")), tables.read_table(spark, str(tmp_path / "pitches"), facts.schema)
+    for args, days in (((), 4), (("2024-04-01", "2024-04-08"), 2)):
+        got = final_game_facts(stored, games, *args)
+        assert got.count() == 10 * days and "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+        got.collect()
+        scans = [x for x in leaves(got._jdf.queryExecution().executedPlan()) if "dynamicpruning" in x.toString()]
+        assert [x.metrics().apply("numFiles").value() for x in scans] == [days]
+    undated = final_game_facts(stored.drop("game_date"), games)
+    assert undated.count() == 40
+
+
+def test_leaders_of_each_day_are_ranked_before_the_shuffle(spark):
+    from pitchlake.operators.analytics import daily_leaders
+
+    p = spark.range(3000).selectExpr("id % 100 AS game_pk", "id % 7 AS pitcher_id", "concat('P', id % 7) AS pitcher_name", "90.0 + id % 9 AS start_speed", "date_add(DATE'2024-04-01', CAST(id % 100 % 5 AS INT)) AS game_date")
+    ab = p.selectExpr("game_pk", "pitcher_id", "game_date", "IF(hash(game_pk, pitcher_id, start_speed) % 3 = 0, 'strikeout', 'walk') AS event_type")
+    top = daily_leaders(p, ab, limit=2, by=("game_date",))
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+    whole = [tuple(r) for r in daily_leaders(p, ab, by=("game_date",)).collect()]
+    want = [r for i, r in enumerate(whole) if sum(x[0] == r[0] for x in whole[:i]) < 2]
+    assert [tuple(r) for r in top.collect()] == want and len(want) == 10
+    day = daily_leaders(p, ab, limit=2, game_date="2024-04-03").collect()
+    assert [tuple(r) for r in day] == [r[1:] for r in want if str(r[0]) == "2024-04-03"]
