@@ -14,7 +14,7 @@ pairs, matches are searched by length instead, in memory linear in both texts.
 A benchmark of at most ``MOST_CHARS`` characters (checked) goes to all executors
 and documents are read once, without a shuffle.  A larger one is joined on seed
 hashes instead, by a number given to each row of either table and written once;
-only documents that share as many seeds as the threshold takes meet an item's
+only documents that share one of an item's rarest seeds, of which every hit holds one, meet its
 text.  Both ways give the same rows.
 
 Defined results: null and empty texts and items match nothing; an item of three
@@ -300,11 +300,30 @@ def numbered(df: DataFrame) -> DataFrame:
     return cut(df.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("whole")))
 
 
+def few_seeds(frequency: list[int], places: list[int], n: int, threshold: float, width: int = LEAST) -> list[int]:
+    """Which of an item's seeds (by position in the lists) any hit must hold one of: the most
+    frequent are left out as long as they alone can't cover the threshold of its ``n``
+    tokens."""
+    covered, kept = bytearray(n), []
+    free = threshold * n - 1e-9
+    total = 0
+    for k in sorted(range(len(places)), key=lambda k: (-frequency[k], places[k])):
+        window = [x for x in range(places[k], min(n, places[k] + width)) if not covered[x]]
+        if total + len(window) < free:
+            total += len(window)
+            for x in window:
+                covered[x] = 1
+        else:
+            kept.append(k)
+    return kept
+
+
 def _joined(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
     """The way for a benchmark of any size: join on seed hashes, then tile the
-    pairs that share enough seeds.  A tile of n tokens starts a seed at n - 4 of
-    them, at least a fifth; so covering a share t of n tokens takes seeds at t n / 5
-    of the item's places.  Both tables numbered; row, item (its row), coverage,
+    pairs.  An item is looked up only by its rarest seeds: of the places where a hit's
+    tiles start seeds, some must be among those, as the others don't cover
+    enough.  So a passage that many items and documents share makes no pairs unless it
+    is most of an item.  Both tables numbered; row, item (its row), coverage,
     n_tiles, longest."""
     docs = docs.select("row", F.col("whole.text").alias("text"))
     items = items.select(F.col("row").alias("item"), F.col("whole.text").alias("text"))
@@ -323,10 +342,10 @@ def _joined(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
             for item, text in zip(part["item"], part["text"], strict=True):
                 found = hashed(text)
                 if len(found):
-                    seed, places = np.unique(runs(found, min(len(found), LEAST)), return_counts=True)
-                    yield pd.DataFrame({"item": item, "seed": seed, "places": places, "n": len(found)})
+                    seed = runs(found, min(len(found), LEAST))
+                    yield pd.DataFrame({"item": item, "seed": seed, "place": np.arange(len(seed)), "n": len(found)})
 
-    right = cut(items.mapInPandas(of_items, "item long, seed long, places long, n long"))
+    right = cut(items.mapInPandas(of_items, "item long, seed long, place long, n long"))
     # Widths of items, five at most.
     widths = sorted(r[0] for r in right.select(F.least("n", F.lit(LEAST))).distinct().collect())
 
@@ -338,10 +357,18 @@ def _joined(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
                 if use:
                     yield pd.DataFrame({"row": row, "seed": np.unique(np.concatenate([runs(found, w) for w in use]))})
 
-    left = docs.mapInPandas(of_docs, "row long, seed long")
-    pairs = left.join(right, "seed").groupBy("row", "item").agg(F.sum("places").alias("places"), F.max("n").alias("n"))
-    enough = F.when(F.col("n") < LEAST, 1).otherwise(F.ceil(F.col("n") * (threshold / LEAST) - 1e-9))
-    pairs = pairs.where(F.col("places") >= enough).select("row", "item")
+    # Seeds of documents that some item has, and how many documents have them.
+    left = cut(docs.mapInPandas(of_docs, "row long, seed long").join(right.select("seed").distinct(), "seed", "left_semi"))
+    there = right.join(left.groupBy("seed").agg(F.count("*").alias("often")), "seed")
+    lists = there.groupBy("item", "n").agg(F.collect_list(F.struct("seed", "place", "often")).alias("s")).select("item", "n", "s.seed", "s.place", "s.often")
+
+    def rarest(parts):
+        for part in parts:
+            for item, n, seed, place, often in part.itertuples(index=False):
+                kept = few_seeds(list(often), list(place), n, threshold) if n >= LEAST else range(len(seed))
+                yield pd.DataFrame({"item": item, "seed": sorted({seed[k] for k in kept})}).astype("int64")
+
+    pairs = left.join(lists.mapInPandas(rarest, "item long, seed long"), "seed").select("row", "item").distinct()
     texts = pairs.join(docs.withColumnRenamed("text", "doc"), "row").join(items.withColumnRenamed("text", "passage"), "item")
 
     def tile(parts):

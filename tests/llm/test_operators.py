@@ -519,6 +519,35 @@ def test_decontamination_equals_brute_force(spark):
         assert decontaminate.contaminated(d.limit(0), b, most=most).count() == 0 == decontaminate.contaminated(d, b.limit(0), most=most).count()
 
 
+def test_a_shared_prompt_makes_no_pairs(spark):
+    r = random.Random(12)
+    words = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    prompt = "read the text and answer the question that follows"
+    items = [(k, f"{prompt} {words(25)}") for k in range(400)]
+    rows = [(k, f"{words(20)} {prompt} {words(30)}") for k in range(400)] + [(1000 + k, f"{words(9)} {items[k][1]} {words(9)}") for k in range(5)]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(docs, bench, most=0).collect()
+    assert sorted((x["doc_id"], x["item_id"], x["coverage"]) for x in got) == [(1000 + k, k, 1.0) for k in range(5)]
+    assert sorted(map(tuple, got)) == sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))
+    shared = {" ".join(prompt.split()[k : k + 5]) for k in range(5)}
+    first = items[0][1].split()
+    seeds = [" ".join(first[k : k + 5]) for k in range(len(first) - 4)]
+    kept = decontaminate.few_seeds([405 if x in shared else 1 for x in seeds], list(range(len(seeds))), len(first), 0.8)
+    assert kept and not shared & {seeds[k] for k in kept}  # so the prompt is no key of the join
+
+
+def test_every_hit_holds_a_rare_seed():
+    r = random.Random(13)
+    for _ in range(300):
+        n = r.randrange(5, 40)
+        often = [r.choice([1, 1, 2, 50, 900]) for _ in range(n - 4)]
+        kept = set(decontaminate.few_seeds(often, list(range(n - 4)), n, 0.8))
+        for _ in range(20):
+            found = {p for p in range(n - 4) if r.random() < r.choice([0.3, 0.6, 0.9])}
+            covered = len({x for p in found for x in range(p, p + 5)})
+            assert covered < 0.8 * n or found & kept
+
+
 def test_long_repeats_take_little_memory():
     import tracemalloc
 
