@@ -29,11 +29,12 @@ an empty table gives an empty result.  Pages are read whole.
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import cut
+from pitchlake.llm.common import cut, delete_folder, shared_folder
 
 #: Host, path and verdict of each rule.
 RULES = (
@@ -48,6 +49,8 @@ DAMPING, TOLERANCE, BLOCK_SHARE = 0.85, 1e-3, 0.75
 ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
 #: Host edges that one task may hold.
 HOT, LOCAL = 1000, 200_000
+#: Rounds between two tables of a larger graph's scores.
+EVERY = 6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)href\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
 
@@ -119,10 +122,13 @@ def edges_and_seeds(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def standing(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
     """host, trust, distrust after so many rounds, each summing to 1: a host without
     edges hands its mass back to the seeds, which only scales the scores of all."""
-    # A graph that one task holds (counted) is walked there, without a shuffle.
-    few = edges.count() <= LOCAL
+    # A graph that one task holds (counted) is walked there, without a shuffle.  Of a larger
+    # one the edges are dealt by source once, so a round moves scores only; every few
+    # rounds those are written and the table before is removed.
+    spark, few = edges.sparkSession, edges.count() <= LOCAL
     together = lambda df: df.coalesce(1) if few else df
-    edges = together(edges)
+    edges = together(edges) if few else cut(edges.repartition("kind", "src"))
+    folder, last = f"{shared_folder(spark)}/walk-{uuid.uuid4().hex}", None
     start = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("score"))
     rank = together(seeds.select("kind", "host", F.col("seed").alias("score")))
     for i in range(rounds):
@@ -130,9 +136,16 @@ def standing(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, round
             "kind", F.col("dst").alias("host"), (F.col("score") * F.col("w") * damping).alias("score")
         )
         rank = together(moved.unionByName(start)).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if i % 4 == 3 and i + 1 < rounds:
+        if few and i % 4 == 3 and i + 1 < rounds:
             rank = together(cut(rank))
+        elif not few and i % EVERY == EVERY - 1 and i + 1 < rounds:
+            rank.write.parquet(f"{folder}/{i}")
+            rank = spark.read.schema(rank.schema).parquet(f"{folder}/{i}")
+            if last is not None:
+                delete_folder(spark, f"{folder}/{last}")
+            last = i
     rank = cut(rank)
+    delete_folder(spark, folder)
     whole = rank.groupBy("kind").agg(F.sum("score").alias("all"))  # two rows
     rank = rank.join(F.broadcast(whole), "kind").select("kind", "host", (F.col("score") / F.col("all")).alias("score"))
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)).alias(kind)

@@ -372,6 +372,25 @@ def test_scores_equal_a_dense_solution(spark, monkeypatch, local):
         assert np.allclose(got.get(n, (0, 0)), (out["trust"][i], out["distrust"][i]), atol=2 * url_filter.TOLERANCE)
 
 
+def test_a_large_graph_is_walked_by_all_tasks_alike(spark, monkeypatch):
+    """Half a million links in either kind between 50,000 hosts, some of them very hot."""
+    hosts = 50_000
+    links = spark.range(500_000).selectExpr(f"pmod(xxhash64(id, 1), {hosts}) AS a", f"CAST(floor(pow(pmod(xxhash64(id, 2), 1000000) / 1e6, 3) * {hosts}) AS LONG) AS b").where("a <> b").distinct()
+    both = links.selectExpr("'trust' AS kind", "a AS src", "b AS dst").unionByName(links.selectExpr("'distrust' AS kind", "b AS src", "a AS dst"))
+    out = both.groupBy("kind", "src").count()
+    edges = both.join(out, ["kind", "src"]).selectExpr("kind", "'h' || src AS src", "'h' || dst AS dst", "1 / count AS w").cache()
+    assert edges.count() > 900_000
+    seeds = spark.createDataFrame([("trust", "h1", 0.5), ("trust", "h2", 0.5), ("distrust", "h7", 1.0)], "kind string, host string, seed double")
+    scores = []
+    for local in (10**9, 0):
+        monkeypatch.setattr(url_filter, "LOCAL", local)
+        got = url_filter.standing(edges, seeds, rounds=8)
+        scores.append({r["host"]: (r["trust"], r["distrust"]) for r in got.collect()})
+    edges.unpersist()
+    assert scores[0].keys() == scores[1].keys() and len(scores[0]) > 40_000
+    assert all(np.allclose(scores[0][h], scores[1][h], rtol=1e-9, atol=1e-15) for h in scores[0])
+
+
 def test_licenses(spark, docs):
     texts = [(1, "Some words.\nreleased under the  MIT license!\nmore", 1), (2, license_scan.TEMPLATES["MIT"].replace(" to deal", "\nto deal"), 1), (2, None, 1), (3, "license", 1)]
     got = {(r["doc_id"], r["license"]) for r in license_scan.scan(spark.createDataFrame(texts, "doc_id long, text string, dice int")).collect()}
