@@ -4,8 +4,10 @@ Equal vectors are one node.  Nodes are dealt over shards of bounded size; each
 shard builds a hierarchical small-world graph.  Every node queries its own shard
 and all later ones (a pair needs one direction only), in blocks, with a beam that
 is widened for queries that find links, and for all of a block until an audit of
-a sample against the whole shard finds at least ``RECALL`` of the links; a beam
-as wide as the shard is the whole shard.  What is found is
+a sample against the whole shard finds at least ``RECALL`` of the links, and
+until vectors planted just within the limit are found again, so recall is measured in each
+block also where links are rare (the figure is logged); a beam as wide as the shard is the
+whole shard.  What is found is
 verified by cosine in double precision.
 
 A block sends on sums of links for each node and a forest of its links, so the
@@ -22,6 +24,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +39,9 @@ COSINE, RECALL = 0.95, 0.999
 #: Shards at least; bytes of the vectors of one; queries of a block from one shard.
 SHARDS, SHARD_BYTES, BLOCK_ROWS = 6, 64 << 20, 12_000
 LINKS, BEAM, WIDEST, SPARE, AUDIT, LANES = 12, 32, 128, 16, 512, 256
+#: Vectors of a shard that are moved to cosines just above the limit and must be found again
+#: from there, and the share of their links that must be.
+PLANTED, PLANTED_RECALL = 128, 0.99
 
 
 class SmallWorld:
@@ -168,6 +174,27 @@ class SmallWorld:
             at = self.search(q, at, layer, 1)[0][:, 0]
         return self.search(q, at, 0, beam)
 
+    def planted(self, least: float) -> np.ndarray:
+        """Some of the graph's vectors, each turned in a direction of its own to a
+        cosine between ``least`` and a little more."""
+        make = np.random.default_rng(len(self.x))
+        x = self.x[np.unique(np.linspace(0, len(self.x) - 1, min(PLANTED, len(self.x))).astype(int))].astype(np.float64)
+        turn = make.standard_normal(x.shape)
+        turn -= (turn * x).sum(axis=1, keepdims=True) * x
+        turn /= np.maximum(np.linalg.norm(turn, axis=1, keepdims=True), 1e-12)
+        c = make.uniform(least, least + 0.4 * (1 - least), (len(x), 1))
+        return np.ascontiguousarray(c * x + np.sqrt(1 - c * c) * turn, np.float32)
+
+    def found_again(self, planted: np.ndarray, low: np.float32, beam: int) -> tuple[int, int]:
+        """Links of planted vectors that a beam finds, as far as it can hold them, and all."""
+        truth = planted @ self.x.T >= low
+        ids = self.query(planted, beam)[0]
+        if len(self.islands):
+            ids = np.hstack([ids, np.tile(self.islands, (len(ids), 1))])
+        got = [int(t[np.unique(i[i >= 0])].sum()) for t, i in zip(truth, ids, strict=True)]
+        want = [min(int(t.sum()), beam) for t in truth]
+        return sum(map(min, got, want)), sum(want)
+
     def links(self, q: np.ndarray, least: float, recall: float = RECALL) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs (query, id) that may reach ``least``, in portions.  Queries that
         find a link beside themselves go on to a wider beam, those that then find
@@ -177,9 +204,13 @@ class SmallWorld:
         low, n, todo = np.float32(least - 1e-4), len(self.x), np.arange(len(q))
         sample = np.unique(np.linspace(0, len(q) - 1, min(AUDIT, len(q))).astype(int))
         truth = [np.flatnonzero(row >= low) for row in q[sample] @ self.x.T]
-        beam = BEAM
+        beam, planted = BEAM, self.planted(least)
         while len(todo):
             whole, held, full = beam >= n, [], np.zeros(len(q), bool)
+            self.measured = (len(planted), len(planted)) if whole else self.found_again(planted, low, beam)
+            if self.measured[0] < PLANTED_RECALL * self.measured[1]:
+                beam = 4 * beam if 4 * beam <= WIDEST else n
+                continue
             for k in range(0, len(todo), LANES):
                 part = todo[k : k + LANES]
                 if whole:
@@ -308,6 +339,7 @@ def link(vectors: DataFrame, least: float = COSINE) -> DataFrame:
             queries, first, many_of = np.unique(i, return_index=True, return_counts=True)
             for me, start, found in zip(queries, first, many_of, strict=True):
                 trees.join(np.r_[local[me], j[start : start + found]])
+        again, planted = graph.measured
         at, roots = np.flatnonzero(sums), trees.find(np.arange(len(names)))
         low = np.full(len(names), np.iinfo(np.int64).max)
         np.minimum.at(low, roots, names)
@@ -315,11 +347,14 @@ def link(vectors: DataFrame, least: float = COSINE) -> DataFrame:
         return pd.concat([
             pd.DataFrame({"a": names[at], "b": -1, "n": sums[at]}),
             pd.DataFrame({"a": names[tied], "b": low[roots[tied]], "n": 0}),
+            pd.DataFrame({"a": [again], "b": [-2], "n": [planted]}),
         ])
 
     keys = ["dim", "shard", "block"]
     found = cut(copies.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(asked, "a long, b long, n long"))
-    counts = found.where("b < 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    again, planted = found.where("b = -2").agg(F.sum("a"), F.sum("n")).first()
+    logging.getLogger(__name__).info("%s of %s links of planted vectors were found", again or 0, planted or 0)
+    counts = found.where("b = -1").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = components(found.where("b >= 0").select("a", "b"))
     named = nodes.join(counts, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = cut(named.select("v", "rows", "vec_id", "root", F.coalesce("n", F.lit(0)).alias("n")))

@@ -234,6 +234,26 @@ def test_vectors(spark, monkeypatch):
     assert all(got[i[0]] == (0, i[0], True) for i in bad)
 
 
+def test_recall_is_measured_where_links_are_rare(monkeypatch):
+    """8,000 vectors of which almost none link: the planted ones tell of a graph that is too
+    thin, and the search goes on to the whole shard."""
+    r = np.random.default_rng(8)
+    x = r.standard_normal((8000, 48))
+    pairs = [(k, k + 4000) for k in range(0, 4000, 200)]
+    for a, b in pairs:
+        x[b] = 0.96 * x[a] / np.linalg.norm(x[a]) + 0.28 * (t := r.standard_normal(48)) / np.linalg.norm(t)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    truth = {(int(i), int(j)) for i, j in zip(*np.nonzero(x @ x.T >= 0.95), strict=True) if i != j}
+    graph = vector_dedup.SmallWorld(x)
+    found = lambda: {(int(a), int(b)) for i, j in graph.links(x, 0.95) for a, b in zip(i, j, strict=True) if a != b}
+    assert truth and len(truth & found()) >= 0.97 * len(truth)
+    got, want = graph.found_again(graph.planted(0.95), np.float32(0.9499), vector_dedup.BEAM)
+    assert want >= vector_dedup.PLANTED and got >= 0.9 * want
+    graph.near = [np.full_like(layer, -1) for layer in graph.near]  # no way leads anywhere
+    assert graph.found_again(graph.planted(0.95), np.float32(0.9499), vector_dedup.BEAM)[0] < 0.1 * want
+    assert truth <= found() and graph.measured == (vector_dedup.PLANTED, vector_dedup.PLANTED)
+
+
 def test_vectors_with_null_and_repeated_ids(spark):
     """Null ids name no component; ties fall to the least id."""
     a, b = [1.0, 0.0, 0.5], [0.0, 1.0, 0.0]
