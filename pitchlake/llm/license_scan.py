@@ -2,8 +2,9 @@
 
 A text is cut into segments, comment marks at the start of lines aside: its lines,
 its paragraphs of several lines (between blank lines), the whole of it, and all
-runs of one to three sentences of a paragraph, so that a notice is found inside a
-longer line and across lines.  A segment and a licence template are sets of
+runs of one to three sentences of a paragraph; and wherever a word stands that tells of a
+template, the words around it that lie as the template's do.  So a notice is found inside
+a longer line or sentence and across lines.  A segment and a licence template are sets of
 word bigrams of their normalised words.  Dice is twice the shared bigrams over
 the sum of both counts.  A Dice of t needs sizes within t / (2 - t) of each
 other, so a segment's number of words rules out most templates before any set is
@@ -14,10 +15,9 @@ All of it is built-in column functions; nothing is shuffled but the final
 grouping of matches.  Templates are constants, a few dozen.
 
 Defined results: one row for each document and matching licence, with its best
-Dice and the number of different matching segments; equal Dice values are all reported.  A
+Dice and the number of matching segments that differ in their words; equal Dice values are all reported.  A
 null or empty text matches nothing; a null doc_id is kept as a null key (its rows
-count as one document); repeated rows of one doc_id count each of their segments;
-extra columns are ignored; an empty table gives an empty result.  Texts of any
+count as one document); rows of one doc_id are one document; extra columns are ignored; an empty table gives an empty result.  Texts of any
 length are read whole.
 """
 
@@ -68,6 +68,28 @@ TEMPLATES = {
         " distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
     ),
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "MIT-full": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+        " documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation"
+        " the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and"
+        " to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+        " The above copyright notice and this permission notice shall be included in all copies or substantial portions of"
+        " the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT"
+        " NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO"
+        " EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN"
+        " ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR"
+        " OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held"
+        " liable for any damages arising from the use of this software. Permission is granted to anyone to use this software"
+        " for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the"
+        " following restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote"
+        " the original software. If you use this software in a product, an acknowledgment in the product documentation would"
+        " be appreciated but is not required. Altered source versions must be plainly marked as such, and must not be"
+        " misrepresented as being the original software. This notice may not be removed or altered from any source"
+        " distribution."
+    ),
 }
 THRESHOLD = 0.8
 
@@ -85,15 +107,44 @@ def bigrams(text: str) -> list[str]:
 #: Comment marks at the start of a line; ends of sentences; blank lines.
 MARKS, ENDS, BLANK = r"(?m)^[ \t]*(?:#+|/?\*+/?|//+|;+|--+)[ \t]*", r"([.!?;:])[ \t\r\n]+", r"\n[ \t\r]*\n"
 SENTENCES = 3
+#: Words of a text that are looked through for windows at a time.
+CHUNK = 2000
 
 
-def _segments(docs: DataFrame, told) -> DataFrame:
+def anchors(templates: dict[str, str], signs: dict[str, list[str]]) -> dict[str, list[tuple[int, int]]]:
+    """Of each tell-tale word its places in templates, each with the template's number of words."""
+    found: dict[str, set[tuple[int, int]]] = {}
+    for name, text in templates.items():
+        own = words(text)
+        for place, word in enumerate(own):
+            if word in signs[name]:
+                found.setdefault(word, set()).add((place, len(own)))
+    return {word: sorted(places) for word, places in sorted(found.items())}
+
+
+def _windows(bare: DataFrame, places: dict[str, list[tuple[int, int]]]) -> DataFrame:
+    """doc_id, segment: around each tell-tale word the words that would be a template's.
+    Texts are taken in pieces that overlap by the longest template, and a window belongs to
+    the piece that it starts in, so what a row makes is bounded."""
+    longest = max(n for of in places.values() for _, n in of)
+    of = F.create_map(*(x for w, ps in places.items() for x in (F.lit(w), F.array(*(F.struct(F.lit(p).alias("place"), F.lit(n).alias("n")) for p, n in ps)))))
+    split = bare.select("doc_id", F.split(F.trim(F.regexp_replace("bare", "[^a-z0-9]+", " ")), " ").alias("w"))
+    pieces = F.transform(F.sequence(F.lit(1), F.size("w"), F.lit(CHUNK)), lambda s: F.struct(s.alias("s"), F.slice("w", s, F.lit(CHUNK + longest)).alias("c")))
+    rows = split.select("doc_id", F.explode(pieces).alias("piece")).select("doc_id", "piece.s", "piece.c")
+    start = lambda i, a: F.greatest(F.lit(1), F.col("s") + i - a["place"])
+    none = F.array().cast("array<struct<place: int, n: int>>")
+    around = F.flatten(F.transform("c", lambda x, i: F.transform(F.coalesce(F.try_element_at(of, x), none), lambda a: F.struct(start(i, a).alias("start"), a["n"].alias("n")))))
+    own = F.array_distinct(F.filter(around, lambda z: z["start"].between(F.col("s"), F.col("s") + CHUNK - 1)))
+    texts = rows.withColumn("at", own).select("doc_id", F.transform("at", lambda z: F.array_join(F.slice("c", z["start"] - F.col("s") + 1, z["n"]), " ")).alias("t"))
+    return texts.select("doc_id", F.explode(F.array_distinct("t")).alias("segment"))
+
+
+def _segments(bare: DataFrame, told) -> DataFrame:
     """doc_id, segment: lines, paragraphs of more than one line, the whole of more
     than one paragraph, and runs of sentences, each once; only those that hold a
     tell-tale word.  Columns are made one after the other, so that each is worked
     out once and not again for every element."""
     none = F.array().cast("array<string>")
-    bare = docs.select("doc_id", F.regexp_replace("text", MARKS, "").alias("bare"))
     parts = bare.withColumn("blocks", F.split("bare", BLANK, -1))
     said = parts.withColumn("said", F.transform("blocks", lambda b: F.split(F.regexp_replace(F.translate(b, "\n", " "), ENDS, "$1\n"), "\n", -1)))
 
@@ -138,15 +189,28 @@ def tell_tales(templates: dict[str, list[str]], threshold: float) -> dict[str, l
     return told
 
 
+def any_word(found: list[str]) -> str:
+    """A pattern for any of some words as a whole word, which looks at each place where a
+    word begins once and by its first letter."""
+    by: dict[str, list[str]] = {}
+    for word in sorted(found):
+        by.setdefault(word[0], []).append(word[1:])
+    return "(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by.items()) + ")(?![a-z0-9])"
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license, dice, n_segments."""
-    known = {name: bigrams(text) for name, text in (templates or TEMPLATES).items()}
+    templates = templates or TEMPLATES
+    known = {name: bigrams(text) for name, text in templates.items()}
     low, high = ({n: bounds(len(b), threshold)[i] for n, b in known.items()} for i in (0, 1))
     least, most = min(low.values()), max(high.values())
     signs = tell_tales(known, threshold)
     holds = lambda c, words: functools.reduce(lambda p, q: p | q, (F.contains(c, F.lit(w)) for w in words))
-    told = lambda c: holds(c, sorted({w for words in signs.values() for w in words}))
-    segments = _segments(docs.select("doc_id", F.lower("text").alias("text")).where(told(F.col("text"))), told)
+    pattern = any_word(sorted({w for words in signs.values() for w in words}))
+    told = lambda c: F.rlike(c, F.lit(pattern))
+    lower = docs.select("doc_id", F.lower("text").alias("text")).where(told(F.col("text")))
+    bare = lower.select("doc_id", F.regexp_replace("text", MARKS, "").alias("bare"))
+    segments = _segments(bare, told).unionByName(_windows(bare, anchors(templates, signs)))
     # A set of n bigrams needs n + 1 words, which need 2 n + 1 characters.
     short = segments.where(F.length("segment") >= 2 * least + 1)
     near = short.select("doc_id", F.trim(F.regexp_replace("segment", "[^a-z0-9]+", " ")).alias("s"))
@@ -161,17 +225,19 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
         for n, b in known.items()
     }
     found = sets.select(
-        "doc_id", F.explode(F.array(*(F.struct(F.lit(n).alias("license"), d.alias("dice")) for n, d in dice.items()))).alias("x")
-    ).select("doc_id", "x.*")
+        "doc_id", "s", F.explode(F.array(*(F.struct(F.lit(n).alias("license"), d.alias("dice")) for n, d in dice.items()))).alias("x")
+    ).select("doc_id", "s", "x.*")
     return (
         found.where(F.col("dice") >= threshold)
         .groupBy("doc_id", "license")
-        .agg(F.max("dice").alias("dice"), F.count(F.lit(1)).alias("n_segments"))
+        .agg(F.max("dice").alias("dice"), F.count_distinct("s").alias("n_segments"))
     )
 
 
 def oracle(threshold: float = THRESHOLD) -> str:
     """The same in DuckDB SQL, without any pruning."""
+    signs = tell_tales({n: bigrams(t) for n, t in TEMPLATES.items()}, threshold)
+    places = ", ".join(f"{{'word': '{w}', 'place': {p}, 'n': {n}}}" for w, ps in anchors(TEMPLATES, signs).items() for p, n in ps)
     rows = ", ".join("('{}', {})".format(n, "['" + "', '".join(bigrams(t)) + "']") for n, t in TEMPLATES.items())
     return rf"""
 WITH t(license, tb) AS (VALUES {rows}),
@@ -180,8 +246,13 @@ parts AS (SELECT doc_id, t, STRING_SPLIT_REGEX(t, '{BLANK}') AS p FROM bare),
 said AS (SELECT doc_id, t, p, [STRING_SPLIT(REGEXP_REPLACE(TRANSLATE(b, CHR(10), ' '), '{ENDS}', '\1' || CHR(10), 'g'), CHR(10)) FOR b IN p] AS s FROM parts),
 seg AS (SELECT doc_id, UNNEST(LIST_DISTINCT(STRING_SPLIT(t, CHR(10)) || LIST_FILTER(p, LAMBDA b: CONTAINS(b, CHR(10))) || CASE WHEN LEN(p) > 1 THEN [t] ELSE [] END
   || FLATTEN([FLATTEN([[ARRAY_TO_STRING(x[i:i + k], ' ') FOR i IN RANGE(1, LEN(x) + 1 - k)] FOR k IN RANGE(0, {SENTENCES})]) FOR x IN s]))) AS s FROM said),
-w AS (SELECT doc_id, STRING_SPLIT(TRIM(REGEXP_REPLACE(LOWER(s), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM seg),
-b AS (SELECT doc_id, LIST_DISTINCT([w[i] || ' ' || w[i + 1] FOR i IN RANGE(1, LEN(w))]) AS b FROM w WHERE LEN(w) > 1),
-d AS (SELECT doc_id, license, ROUND(2.0 * LEN(LIST_INTERSECT(b, tb)) / (LEN(b) + LEN(tb)), 6) AS dice FROM b, t)
-SELECT doc_id, license, MAX(dice) AS dice, COUNT(*) AS n_segments FROM d WHERE dice >= {threshold} GROUP BY doc_id, license
+plain AS (SELECT doc_id, STRING_SPLIT(TRIM(REGEXP_REPLACE(t, '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM bare),
+tells AS (SELECT [{places}] AS a),
+near AS (SELECT doc_id, w, a, UNNEST(LIST_FILTER(RANGE(1, LEN(w) + 1), LAMBDA p: LIST_CONTAINS([x.word FOR x IN a], w[p]))) AS p FROM plain, tells),
+cut AS (SELECT doc_id, w, GREATEST(1, p - x.place) AS b, x.n AS n FROM (SELECT doc_id, w, p, UNNEST(LIST_FILTER(a, LAMBDA x: x.word = w[p])) AS x FROM near)),
+every AS (SELECT doc_id, s FROM seg UNION ALL SELECT doc_id, ARRAY_TO_STRING(w[b:b + n - 1], ' ') FROM cut),
+w AS (SELECT doc_id, STRING_SPLIT(TRIM(REGEXP_REPLACE(LOWER(s), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM every),
+b AS (SELECT doc_id, ARRAY_TO_STRING(w, ' ') AS s, LIST_DISTINCT([w[i] || ' ' || w[i + 1] FOR i IN RANGE(1, LEN(w))]) AS b FROM w WHERE LEN(w) > 1),
+d AS (SELECT doc_id, s, license, ROUND(2.0 * LEN(LIST_INTERSECT(b, tb)) / (LEN(b) + LEN(tb)), 6) AS dice FROM b, t)
+SELECT doc_id, license, MAX(dice) AS dice, COUNT(DISTINCT s) AS n_segments FROM d WHERE dice >= {threshold} GROUP BY doc_id, license
 """

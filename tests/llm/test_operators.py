@@ -422,6 +422,7 @@ def test_licenses_of_dice_just_at_the_threshold(spark):
     lines = ["This work is licensed under CC BY-SA 4.0.", "Licensed under CC BY-NC", "Code is released under the MIT License.", "Acme: all rights reserved."]
     apache = license_scan.TEMPLATES["Apache-2.0"].replace(" you may", "\nyou may").replace(" You may", "\nYou may").replace(" a copy", "\na copy")
     lines += ["Copyright 2020 Acme Inc. All rights reserved.", "# tool\n#\n# " + apache.replace("\n", "\n# ") + "\n#\n# more words", "", "one. two! three; four: five", "\n\n\n"]
+    lines += ["we say that it is licensed under CC BY 4.0 and that is all there is to say about it in this long sentence of many words", "licensed under cc by 4 0", "x " * 1995 + "this work is licensed under CC BY-SA 4.0 " + "y " * 100]
     lines += ["Some prose comes first. Then this: " + license_scan.TEMPLATES["MPL-2.0"] + " And then more prose follows in the same line of text.", "word " * 50_000]
     df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     con = duckdb.connect()
@@ -430,7 +431,8 @@ def test_licenses_of_dice_just_at_the_threshold(spark):
     assert license_scan.scan(df.limit(0)).count() == 0
     cols = "doc_id, license, dice, n_segments"
     want = con.sql(f"SELECT {cols} FROM ({license_scan.oracle()})").fetchall()
-    assert {r[0] for r in want if r[2] == 0.8} >= {0, 1, 2} and {r[0] for r in want} == {0, 1, 2, 3, 4, 5, 9}
+    assert [license_scan.bounds(n, 0.8) for n in (2, 4, 6)] == [(2, 3), (3, 6), (4, 9)]  # windows lift the other lines above it
+    assert {r[0] for r in want if r[2] == 0.8} >= {1} and {r[0] for r in want} == {0, 1, 2, 3, 4, 5, 9, 10, 11, 12}
     assert Counter(map(tuple, license_scan.scan(df).select(*cols.split(", ")).collect())) == Counter(want)
 
 
