@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +62,17 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def number(seen: Observation) -> int:
+    """The rows that were counted.  Of a frame that turns out to be empty while it runs
+    Spark may drop the counting node; the observation then has no row, which can't be converted."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError as e:
+        if "toPyRow" not in str(e):
+            raise
+        return 0
+
+
 def replace_partitions(
     df: DataFrame, path: str, by: str, order: Sequence[str], touched: Sequence = (), key: str | None = None, same_keys: bool = False, staging: str | None = None
 ) -> None:
@@ -111,7 +123,7 @@ def upsert(
     if touched:
         replace_partitions(merged, path, by, [c for c in (order or keys) if c != by], touched, keys[0] if moves else None, staging=staging)
     commits.Files(spark, path).delete(staging)
-    return {"inserted": kept.get["rows"] - updated, "updated": updated}
+    return {"inserted": number(kept) - updated, "updated": updated}
 
 
 def patch(stored: DataFrame, changes: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -152,12 +164,12 @@ def export_games(spark: SparkSession, games: DataFrame, facts: dict[str, DataFra
     date of their game.  Returns the row counts, taken while the rows are written."""
     told, seen = counted(games)
     upsert(spark, f"{folder}/games", told, ["game_pk"], "season", ["game_date"])
-    counts = {"games": seen.get["rows"]}
+    counts = {"games": number(seen)}
     for name, df in facts.items():
         dated, seen = counted(df.drop("game_date").join(games.select("game_pk", "game_date"), "game_pk"))
         keys = [c for c in ("game_pk", "at_bat_index", "pitch_number") if c in dated.columns]
         upsert(spark, f"{folder}/{name}", dated, keys, "game_date", keys, keys)
-        counts[name] = seen.get["rows"]
+        counts[name] = number(seen)
     return counts
 
 
@@ -179,7 +191,7 @@ def export_enriched(spark: SparkSession, pitches: DataFrame, games: DataFrame, f
     staging = commits.new_staging(path)
     df, seen = counted(enriched_week(pitches, games, day))
     df.write.parquet(f"{staging}/pitches_{start}_{end}")
-    if n := seen.get["rows"]:
+    if n := number(seen):
         commits.commit(spark, path, staging, [], "keep")
     else:
         commits.Files(spark, path).delete(staging)
@@ -206,7 +218,7 @@ def compact_month(spark: SparkSession, path: str, schema: T.StructType, year: in
     commits.recover(spark, path)
     df, seen = counted(read_table(spark, path, schema).where((F.year("game_date") == year) & (F.month("game_date") == month)))
     replace_partitions(df, path, "game_date", list(order), same_keys=True)
-    return seen.get["rows"]
+    return number(seen)
 
 
 def compact_last_month(spark: SparkSession, folder: str, schemas: dict[str, T.StructType], day: date, order: Sequence[str] = ("game_pk",)) -> dict[str, int]:
