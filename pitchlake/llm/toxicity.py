@@ -177,6 +177,18 @@ class Lexicon:
         return x, len(found), sum(e > 0 for _, e, _ in found), sum(c == "quoted" for *_, c in found)
 
 
+#: The automaton of the last lexicon asked for, kept by a worker from task to task.
+_last: dict[int, Lexicon] = {}
+
+
+def automaton(terms: list[tuple[str, bool, float, float]]) -> Lexicon:
+    key = hash(tuple(terms))
+    if key not in _last:
+        _last.clear()
+        _last[key] = Lexicon(terms)
+    return _last[key]
+
+
 @dataclass
 class Model:
     lexicon: Lexicon
@@ -247,7 +259,7 @@ def weigh_misspelled(texts: DataFrame, lexicon: Lexicon, toxic: int, clean: int)
     terms = lexicon.terms
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, own = Counter(), Lexicon(terms)
+        held, own = Counter(), automaton(terms)
         for part in parts:
             for text, y in zip(part["text"], part["y"], strict=True):
                 held.update((k, y) for k in {k for k, edits, _ in own.hits(text)[0] if edits})
@@ -283,7 +295,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
 
     @F.pandas_udf("array<double>")
     def statistics(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = Lexicon(terms)
+        own = automaton(terms)
         for part in parts:
             yield pd.Series([own.statistics(t)[0].tolist() for t in part], dtype=object)
 
@@ -303,7 +315,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     @F.pandas_udf("score double, n_hits long, n_misspelled long, n_quoted long")
     def judge(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = Model(Lexicon(terms), weights, share)
+        own = Model(automaton(terms), weights, share)
         for part in parts:
             rows = [(own.score(x), *n) for x, *n in map(own.lexicon.statistics, part)]
             yield pd.DataFrame(rows, columns=["score", "n_hits", "n_misspelled", "n_quoted"])
