@@ -47,8 +47,10 @@ class Files:
     def delete(self, path: str) -> None:
         self._files.delete(self._at(path), True)
 
+    def make(self, path: str) -> None:
+        self._files.mkdirs(self._at(path))
+
     def move(self, source: str, target: str) -> None:
-        self._files.mkdirs(self._at(target).getParent())
         if not self._files.rename(self._at(source), self._at(target)):
             raise OSError(f"{source} could not be moved to {target}")
 
@@ -84,16 +86,18 @@ def pending(files: Files, path: str) -> Change | None:
 
 def finish(files: Files, path: str, change: Change) -> None:
     """Move a change in; what was moved before stays as it is."""
-    for name in change.put:
-        for inside in [f"{INDEX}/{name}", name]:
-            if files.exists(f"{change.staging}/{inside}"):
-                files.delete(f"{path}/{inside}")
-                files.move(f"{change.staging}/{inside}", f"{path}/{inside}")
-        if change.index == "drop":
-            files.delete(f"{path}/{INDEX}/{name}")
-    for name in change.gone:
-        files.delete(f"{path}/{name}")
-        files.delete(f"{path}/{INDEX}/{name}")
+    for inside in (f"/{INDEX}", ""):
+        staged, stored = set(files.folders(f"{change.staging}{inside}")), set(files.folders(f"{path}{inside}"))
+        if staged:
+            files.make(f"{path}{inside}")
+        dropped = {*change.gone, *(change.put if inside and change.index == "drop" else ())}
+        for name in change.put:
+            if name in staged:
+                if name in stored:
+                    files.delete(f"{path}{inside}/{name}")
+                files.move(f"{change.staging}{inside}/{name}", f"{path}{inside}/{name}")
+        for name in sorted(dropped & stored):
+            files.delete(f"{path}{inside}/{name}")
     files.delete(change.staging)
     files.delete(f"{path}/{RECORD}")
 
@@ -118,6 +122,7 @@ def commit(spark: SparkSession, path: str, staging: str, gone: list[str], index:
     files, path = Files(spark, path), path.rstrip("/")
     put = [n for n in files.folders(staging) if not n.startswith("_")]
     change = Change(staging, put, sorted(set(gone) - set(put)), index)
+    files.make(path)
     files.write(f"{staging}/{RECORD}", json.dumps(asdict(change)))
     files.move(f"{staging}/{RECORD}", f"{path}/{RECORD}")
     finish(files, path, change)
