@@ -108,7 +108,7 @@ def bigrams(text: str) -> list[str]:
 MARKS, ENDS, BLANK = r"(?m)^[ \t]*(?:#+|/?\*+/?|//+|;+|--+)[ \t]*", r"([.!?;:])[ \t\r\n]+", r"\n[ \t\r]*\n"
 SENTENCES = 3
 #: Words of a text that are looked through for windows at a time.
-CHUNK = 2000
+CHUNK = 500
 
 
 def anchors(templates: dict[str, str], signs: dict[str, list[str]]) -> dict[str, list[tuple[int, int]]]:
