@@ -209,7 +209,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     pattern = any_word(sorted({w for words in signs.values() for w in words}))
     told = lambda c: F.rlike(c, F.lit(pattern))
     lower = docs.select("doc_id", F.lower("text").alias("text")).where(told(F.col("text")))
-    bare = lower.select("doc_id", F.regexp_replace("text", MARKS, "").alias("bare"))
+    # d: only a line feed ends a line, as everywhere here.
+    bare = lower.select("doc_id", F.regexp_replace("text", f"(?d){MARKS}", "").alias("bare"))
     segments = _segments(bare, told).unionByName(_windows(bare, anchors(templates, signs)))
     # A set of n bigrams needs n + 1 words, which need 2 n + 1 characters.
     short = segments.where(F.length("segment") >= 2 * least + 1)
