@@ -20,8 +20,8 @@ classes.
 
 Copies (equal words, whatever the white space and case) are one node throughout.
 A large bucket is dealt over several tasks: least texts and counts are added up
-before the shuffle, what is left is joined on both sides shuffled, so that a hot
-bucket's rows can be split.  All-pairs blocks stay quadratic in a bucket of many
+before the shuffle, and what is known of a bucket is sent to as many tasks as its
+rows are dealt to.  All-pairs blocks stay quadratic in a bucket of many
 texts that are unlike each other.
 
 Defined results: null and empty texts, and texts of white space, are a class of
@@ -51,6 +51,8 @@ RUN, SIMILARITY = 5, 0.8
 PAIRS, SINGLES, SHORT, SHORT_RUN, SHORT_SINGLES = 24, 8, 30, 2, 12
 #: Rows of a bucket that one task compares at once.
 BLOCK = 500
+#: Rows of a bucket that one task of a join takes.
+SLICE = 2000
 #: Bins of a text's counts of words.
 BINS = 128
 #: Tasks over which the rows of one class are dealt when it is named.
@@ -316,30 +318,40 @@ def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def told(rows: DataFrame, about: DataFrame, how: str = "inner") -> DataFrame:
+    """rows (bucket, rows, node, ...) joined with what is known ``about`` their buckets
+    (bucket, rows, ...; one row each).  The rows of a bucket are dealt over one task for
+    every ``SLICE`` of them, and each gets its bucket's row."""
+    slices = F.greatest(F.ceil(F.col("rows") / SLICE), F.lit(1)).cast("long")
+    dealt = rows.withColumn("slice", F.pmod(F.xxhash64("node", F.lit(2)), slices))
+    sent = about.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1))).drop("rows")
+    return dealt.join(sent, ["bucket", "slice"], how).drop("slice")
+
+
 def unsettled(inside: DataFrame, firsts: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
     """bucket, rows, node, root, n, bag of the buckets that hold several classes.
     firsts: (a, b), distinct, of a bucket's first node and another of it."""
     of_first = rooted(firsts.withColumnRenamed("a", "node"), roots).select(F.col("node").alias("first"), F.col("b").alias("node"), F.col("root").alias("of"))
     apart = rooted(of_first, roots).where("root <> of").select("first", "node")
-    several = inside.join(apart, ["first", "node"], "left_semi").select("bucket").distinct()
-    left = inside.join(several, "bucket", "left_semi").select("bucket", "rows", "node")
+    several = inside.join(apart, ["first", "node"], "left_semi").select("bucket", "rows").distinct()
+    left = told(inside, several, "left_semi").select("bucket", "rows", "node")
     return cut(rooted(left.join(nodes.select("node", "n", "bag"), "node"), roots))
 
 
 def still_apart(left: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows of ``left``, with new roots, of buckets that hold several classes."""
     now = cut(rooted(left.drop("root"), roots))
-    several = now.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p < q").select("bucket")
-    return now.join(several, "bucket", "left_semi")
+    several = now.groupBy("bucket").agg(F.first("rows").alias("rows"), F.min("root").alias("p"), F.max("root").alias("q")).where("p < q")
+    return told(now, several.select("bucket", "rows"), "left_semi")
 
 
 def to_hubs(left: DataFrame, found: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Distinct pairs of a bucket's text of most accepted pairs (``found``) and
     its texts of other classes."""
     degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    hub = left.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node", "root", "n")).alias("hub"))
+    hub = left.join(degree, "node").groupBy("bucket").agg(F.first("rows").alias("rows"), F.max(F.struct("degree", "node", "root", "n")).alias("hub"))
     fits = F.least("n", "hub.n") >= F.greatest("n", "hub.n") * least - 1e-9
-    met = left.join(hub, "bucket").where(F.col("root") != F.col("hub.root")).where(fits)
+    met = told(left, hub).where(F.col("root") != F.col("hub.root")).where(fits)
     return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
@@ -377,9 +389,9 @@ def between(left: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
     small_batches(left.sparkSession)
     sizes = left.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("rows"))
-    shape = main.select("bucket", F.col("main.root").alias("main"), _blocks(F.col("rows")).alias("alls"), _blocks(F.col("rows") - F.col("main.n")).alias("others"))
+    shape = main.select("bucket", "rows", F.col("main.root").alias("main"), _blocks(F.col("rows")).alias("alls"), _blocks(F.col("rows") - F.col("main.n")).alias("others"))
     held = left.groupBy("node").agg(F.collect_set("bucket").alias("held"))  # a node has a few dozen buckets at most
-    dealt = left.drop("rows").join(shape, "bucket").join(held, "node")
+    dealt = told(left, shape).join(held, "node")
     every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     own = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
     columns = ["bucket", "i", "j", "side", "node", "root", "main", "n", "bag", "held"]
