@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import Memo, cut, delete_folder, shared_folder, small_batches
+from pitchlake.llm.common import cut, delete_folder, shared_folder, small_batches
 from pitchlake.llm.components import components
 
 RUN, SIMILARITY = 5, 0.8
@@ -51,6 +51,10 @@ RUN, SIMILARITY = 5, 0.8
 PAIRS, SINGLES, SHORT, SHORT_RUN, SHORT_SINGLES = 24, 8, 30, 2, 12
 #: Rows of a bucket that one task compares at once.
 BLOCK = 500
+#: A block's key.
+BLOCK_KEY = ["bucket", "i", "j"]
+#: Rows of small blocks that a task looks through at once, and pairs of them.
+TOGETHER, CHUNK = 5000, 50_000
 #: Rows of a bucket that one task of a join takes.
 SLICE = 2000
 #: Bins of a text's counts of words.
@@ -67,16 +71,22 @@ def scrambled(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def hashes(words: list[str]) -> np.ndarray:
+    """A 64-bit number of each word.  To hash a word takes less time than to look
+    it up among many."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
+
+
 class Sketcher:
     def __init__(self):
         make = np.random.default_rng(10)
         n = PAIRS + SINGLES + SHORT_SINGLES
         self.turns = make.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.names = make.integers(0, 1 << 63, n, dtype=np.uint64)
-        self.word = Memo(xxhash.xxh3_64_intdigest)
 
-    def ids(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.word.__getitem__, words), np.uint64, len(words))
+    @staticmethod
+    def ids(words: list[str]) -> np.ndarray:
+        return hashes(words)
 
     @staticmethod
     def runs(ids: np.ndarray, run: int = RUN) -> np.ndarray:
@@ -87,10 +97,10 @@ class Sketcher:
         for k in range(width):
             h = (h ^ ids[k : k + n]) * MIX
             h ^= h >> np.uint64(29)
-        order = np.argsort(h, kind="stable")
-        s = h[order]
-        first = np.r_[True, s[1:] != s[:-1]]
-        if not first.all():
+        s = np.sort(h)
+        if (s[1:] == s[:-1]).any():
+            order = np.argsort(h, kind="stable")
+            first = np.r_[True, s[1:] != s[:-1]]
             start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
             label = np.empty(n, np.uint64)
             label[order] = (np.arange(n) - start).astype(np.uint64)
@@ -355,27 +365,69 @@ def to_hubs(left: DataFrame, found: DataFrame, least: float = SIMILARITY) -> Dat
     return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
-def opposed(rows: pd.DataFrame, bucket: int, least: float) -> Iterator[tuple[int, np.ndarray]]:
-    """For each asking row of a block (side 0) the asked rows (side 1) of other
-    classes whose lengths and bags allow the similarity.  A pair is left to the
-    least bucket that both are in and, if both ask, to the lower node."""
-    node, root, n, side = (rows[c].to_numpy() for c in ("node", "root", "n", "side"))
-    asks, held = root != rows["main"].to_numpy(), [set(m) for m in rows["held"]]
-    bag = np.frombuffer(b"".join(rows["bag"]), np.uint8).reshape(len(rows), BINS).astype(np.int16)
-    coarse = bag.reshape(len(rows), -1, 8).sum(axis=2, dtype=np.int16)
-    order = np.argsort(n, kind="stable")
-    here, there = np.flatnonzero(side == 0), order[side[order] == 1]
-    low = np.searchsorted(n[there], np.ceil(n[here] * least - 1e-9))
-    high = np.searchsorted(n[there], np.floor(n[here] / least + 1e-9), "right")
-    for x, s, e in zip(here.tolist(), low.tolist(), high.tolist(), strict=True):
-        y = there[s:e]
-        y = y[(root[y] != root[x]) & (~asks[y] | (node[y] > node[x]))]
-        for bins in (coarse, bag):
-            most = ((1 - least) * np.maximum(n[y], n[x]) + 1e-9).astype(np.int64)
-            y = y[np.abs(bins[y] - bins[x]).sum(axis=1) <= 2 * most]
-        y = y[[min(held[x] & held[k]) == bucket for k in y.tolist()]] if len(y) else y
-        if len(y):
-            yield x, y
+def whole_blocks(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of ``parts``, which come by block, in frames of about ``TOGETHER``
+    rows or one block."""
+    held, count = [], 0
+    for part in parts:
+        held.append(part)
+        count += len(part)
+        if count >= TOGETHER:
+            rows = pd.concat(held, ignore_index=True)
+            end = int(np.flatnonzero(_starts(rows))[-1])
+            if end:
+                yield rows[:end].reset_index(drop=True)
+            held, count = [rows[end:]], len(rows) - end
+    if count:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _starts(rows: pd.DataFrame) -> np.ndarray:
+    """Whether a row is the first of its block."""
+    of = rows[BLOCK_KEY].to_numpy()
+    return np.r_[True, (of[1:] != of[:-1]).any(axis=1)]
+
+
+def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sums of the differences of bags, row by row."""
+    differ = np.maximum(a, b) - np.minimum(a, b)
+    return differ.sum(axis=1, dtype=np.uint16)
+
+
+def opposed(rows: pd.DataFrame, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of blocks, each with its rows together, the pairs (places x, y) of an asking
+    row (side 0) and an asked row (side 1) of the same block and of other classes
+    whose lengths and bags allow the similarity.  A pair is left to the least
+    bucket that both are in and, if both ask, to the lower node.  Many small blocks
+    are one matter of arrays."""
+    node, root, n, side, bucket, held = (rows[c].to_numpy() for c in ("node", "root", "n", "side", "bucket", "held"))
+    asks, sets = root != rows["main"].to_numpy(), {}
+    bag = np.frombuffer(b"".join(rows["bag"]), np.uint8).reshape(len(rows), BINS)
+    width = int(n.max()) + 1
+    base = (np.cumsum(_starts(rows)) - 1) * width  # so that lengths of one block lie between those of its neighbours
+    here, there = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    there = there[np.argsort((base + n)[there], kind="stable")]
+    low = np.searchsorted((base + n)[there], base[here] + np.ceil(n[here] * least - 1e-9).astype(np.int64))
+    high = np.searchsorted((base + n)[there], base[here] + np.minimum(np.floor(n[here] / least + 1e-9), width - 1).astype(np.int64), "right")
+    count = high - low
+    ends = np.cumsum(count)
+
+    def buckets_of(k: int) -> set[int]:
+        if k not in sets:
+            sets[k] = set(held[k].tolist())
+        return sets[k]
+
+    for some in np.split(np.arange(len(here)), np.flatnonzero(np.diff(ends // CHUNK)) + 1):
+        x = np.repeat(here[some], count[some])
+        nth = np.arange(len(x)) - np.repeat(np.cumsum(count[some]) - count[some], count[some])
+        y = there[np.repeat(low[some], count[some]) + nth]
+        fits = (root[y] != root[x]) & (~asks[y] | (node[y] > node[x]))
+        x, y = x[fits], y[fits]
+        fits = apart(bag[x], bag[y]) <= 2 * ((1 - least) * np.maximum(n[y], n[x]) + 1e-9).astype(np.int64)
+        x, y = x[fits], y[fits]
+        fits = np.fromiter((min(buckets_of(p) & buckets_of(q)) == b for p, q, b in zip(x.tolist(), y.tolist(), bucket[x].tolist(), strict=True)), bool, len(x))
+        if fits.any():
+            yield x[fits], y[fits]
 
 
 def between(left: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -394,19 +446,20 @@ def between(left: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
     dealt = told(left, shape).join(held, "node")
     every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     own = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
-    columns = ["bucket", "i", "j", "side", "node", "root", "main", "n", "bag", "held"]
+    columns = [*BLOCK_KEY, "side", "node", "root", "main", "n", "bag", "held"]
     asking = dealt.where("root <> main").withColumns({"i": own("others"), "j": every("alls"), "side": F.lit(0)}).select(*columns)
     asked = dealt.withColumns({"j": own("alls"), "i": every("others"), "side": F.lit(1)}).select(*columns)
-    block, partitions = ["bucket", "i", "j"], _partitions(left)
+    partitions = _partitions(left)
 
-    def hopeful(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        has = np.zeros(len(rows), bool)
-        for x, y in opposed(rows, key[0], least):
-            has[x] = has[y] = True
-        return rows[has]
+    def hopeful(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in whole_blocks(parts):
+            has = np.zeros(len(rows), bool)
+            for x, y in opposed(rows, least):
+                has[x] = has[y] = True
+            yield rows[has]
 
-    def compared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        number, press = Memo(xxhash.xxh3_64_intdigest), zstandard.ZstdDecompressor()
+    def compared(rows: pd.DataFrame) -> pd.DataFrame:
+        press = zstandard.ZstdDecompressor()
         node, root, data, known = rows["node"].to_numpy(), rows["root"].tolist(), rows["data"].tolist(), {}
         up = {r: r for r in root}
 
@@ -417,12 +470,12 @@ def between(left: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
 
         def words(k: int) -> Sequence:
             if k not in known:
-                known[k] = unpacked(data[k], number, press)
+                known[k] = unpacked(data[k], press)
             return known[k]
 
         out = []
-        for x, ys in opposed(rows, key[0], least):
-            for y in ys.tolist():
+        for xs, ys in opposed(rows, least):
+            for x, y in zip(xs.tolist(), ys.tolist(), strict=True):
                 p, q = top(root[x]), top(root[y])
                 if p != q and aligned(words(x), words(y), least):
                     up[p] = q
@@ -431,8 +484,8 @@ def between(left: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
 
     # Little to read but much to compare: by a number of partitions that stays.
     shape = "bucket long, i long, j long, side int, node long, root long, main long, n long, bag binary, held array<long>"
-    kept = asking.unionByName(asked).repartition(partitions, *block).groupBy(*block).applyInPandas(hopeful, shape)
-    return kept.join(texts, "node").repartition(partitions, *block).groupBy(*block).applyInPandas(compared, "a long, b long").distinct()
+    kept = asking.unionByName(asked).repartition(partitions, *BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY).mapInPandas(hopeful, shape)
+    return kept.join(texts, "node").repartition(partitions, *BLOCK_KEY).groupBy(*BLOCK_KEY).applyInPandas(compared, "a long, b long").distinct()
 
 
 def _blocks(rows: Column) -> Column:
@@ -466,9 +519,8 @@ def packed_texts(docs: DataFrame, nodes: DataFrame, folder: str) -> DataFrame:
     return docs.sparkSession.read.parquet(f"{folder}/texts")
 
 
-def unpacked(data: bytes, number: Memo, press: zstandard.ZstdDecompressor) -> Sequence:
-    words = press.decompress(data).decode("utf-8", "surrogatepass").split(" ")
-    return Sequence(np.fromiter(map(number.__getitem__, words), np.uint64, len(words)))
+def unpacked(data: bytes, press: zstandard.ZstdDecompressor) -> Sequence:
+    return Sequence(hashes(press.decompress(data).decode("utf-8", "surrogatepass").split(" ")))
 
 
 def accepted(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -478,7 +530,7 @@ def accepted(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> D
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def align(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, press = Memo(xxhash.xxh3_64_intdigest), zstandard.ZstdDecompressor()
+        press = zstandard.ZstdDecompressor()
         lately: dict[int, Sequence] = {}
 
         def known(node: int, data: bytes) -> Sequence:
@@ -486,7 +538,7 @@ def accepted(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> D
             if node not in lately:
                 if len(lately) > 200:
                     lately.clear()
-                lately[node] = unpacked(data, number, press)
+                lately[node] = unpacked(data, press)
             return lately[node]
 
         for part in parts:

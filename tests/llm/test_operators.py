@@ -4,12 +4,15 @@ import functools
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
+from itertools import product
 from pathlib import Path
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
@@ -687,6 +690,59 @@ def test_a_family_of_edits_stays_together(spark, monkeypatch, rows, block):
     assert {x["doc_id"]: x["class_id"] for x in near_dup.classes(df).collect()} == {i: top(i) for i in range(len(texts))}
 
 
+def blocks_of(r, sizes):
+    """Rows of blocks as ``near_dup.between`` deals them, block by block."""
+    rows = []
+    for bucket, size in enumerate(sizes):
+        for k in range(size):
+            bag, root = bytearray(near_dup.BINS), r.randrange(4)
+            n = r.choice([1, 5, 20, 21, 25, 26, 300])
+            for _ in range(n):
+                bag[r.randrange(3)] += 1
+            for side in (0, 1) if root else (1,):
+                held = np.array([bucket, *r.sample(range(bucket, bucket + 40), 2)])
+                rows.append((bucket, 0, k % 2 if size > 9 else 0, side, 1000 * bucket + k, root, 0, n, bytes(bag), held))
+    rows = pd.DataFrame(rows, columns=["bucket", "i", "j", "side", "node", "root", "main", "n", "bag", "held"])
+    return rows.sort_values(["bucket", "i", "j"], kind="stable", ignore_index=True)
+
+
+@pytest.mark.parametrize(("together", "chunk"), [(5000, 50_000), (40, 7), (1, 1)])
+def test_pairs_of_many_blocks(monkeypatch, together, chunk):
+    """Blocks looked through together give what each gives, pair by pair."""
+    monkeypatch.setattr(near_dup, "TOGETHER", together)
+    monkeypatch.setattr(near_dup, "CHUNK", chunk)
+    r = random.Random(11)
+    rows = blocks_of(r, [r.choice([2, 2, 3, 5, 30]) for _ in range(120)])
+    want = []
+    for _, block in rows.groupby(["bucket", "i", "j"]):
+        for x, y in product(block.itertuples(), repeat=2):
+            if (x.side, y.side) == (0, 1) and x.root != y.root and (y.root == y.main or y.node > x.node):
+                longer, away = max(x.n, y.n), sum(abs(p - q) for p, q in zip(x.bag, y.bag, strict=True))
+                least = min(set(x.held.tolist()) & set(y.held.tolist()))
+                if min(x.n, y.n) >= 0.8 * longer - 1e-9 and away <= 2 * int(0.2 * longer + 1e-9) and least == x.bucket:
+                    want.append((x.bucket, x.j, x.node, y.node))
+    got, n = [], 0
+    for some in near_dup.whole_blocks(iter([rows[k : k + 7] for k in range(0, len(rows), 7)])):
+        n += len(some)
+        for x, y in near_dup.opposed(some, 0.8):
+            assert some.loc[x, ["bucket", "i", "j"]].to_numpy().tolist() == some.loc[y, ["bucket", "i", "j"]].to_numpy().tolist()
+            got += zip(*(some.loc[at, c].tolist() for at, c in ((x, "bucket"), (x, "j"), (x, "node"), (y, "node"))), strict=True)
+    assert n == len(rows) and len(want) > 100 and Counter(got) == Counter(want)
+
+
+def test_small_blocks_cost_little():
+    """Thousands of small blocks are not gone through one by one."""
+    rows = blocks_of(random.Random(12), [2] * 2000)
+    one = rows[rows["bucket"] < 50]
+    start = time.process_time()
+    for _, block in one.groupby(["bucket", "i", "j"]):
+        list(near_dup.opposed(block.reset_index(drop=True), 0.8))
+    middle = time.process_time()
+    for some in near_dup.whole_blocks(iter([rows])):
+        list(near_dup.opposed(some, 0.8))
+    assert time.process_time() - middle < 0.5 * 40 * (middle - start)
+
+
 def edited(words, share, r):
     """Scattered substitutions, insertions and deletions, ``share`` of the words in all."""
     out = list(words)
